@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import values
+from tripflow.schema import GREEN_FILE, SERVICE, YELLOW_FILE
+from tripflow.sources import (
+    jdbc_options,
+    read_array_elements,
+    read_columns,
+    read_csv_files,
+    read_file,
+    read_parquet_like,
+    read_query,
+    read_trip_files,
+    topic_options,
+)
+
+
+def test_suffix_picks_the_reader(spark, tmp_path):
+    df = spark.createDataFrame([("1", "x")], "a string, b string")
+    df.write.csv(str(tmp_path / "t.csv"), header=True)
+    df.write.parquet(str(tmp_path / "t.parquet"))
+    df.write.json(str(tmp_path / "t.json"))
+    (tmp_path / "t.csv.gz").write_bytes(gzip.compress(b"a,b\n1,x\n"))
+    for name, options in [("t.csv", {"header": True}), ("t.csv.gz", {"header": True}),
+                          ("t.parquet", {}), ("t.json", {})]:
+        assert values(read_file(spark, str(tmp_path / name), **options)) == [("1", "x")]
+
+
+@pytest.mark.parametrize("path", ["data.txt", "data.csv.bz2", "data", "csv"])
+def test_other_suffixes_are_refused(spark, path):
+    with pytest.raises(ValueError):
+        read_file(spark, path)
+
+
+def test_jdbc_options():
+    with pytest.raises(ValueError, match="dbtable"):
+        jdbc_options("jdbc:x:y", user="u")
+    assert jdbc_options("jdbc:x:y", dbtable="t", user="u", password="p", driver="d", other=1) == {
+        "url": "jdbc:x:y", "dbtable": "t", "user": "u", "password": "p", "driver": "d"}
+    split = {"partitionColumn": "id", "lowerBound": 0, "upperBound": 9, "numPartitions": 4}
+    assert jdbc_options("jdbc:x:y", dbtable="t", **split)["numPartitions"] == "4"
+    with pytest.raises(ValueError, match="split"):
+        jdbc_options("jdbc:x:y", dbtable="t", numPartitions=4)
+    with pytest.raises(ValueError, match="split"):
+        jdbc_options("jdbc:x:y", query="select 1", **split)
+    assert jdbc_options("jdbc:x:y", query="select 1") == {"url": "jdbc:x:y", "query": "select 1"}
+
+
+def test_jdbc_path_without_table_is_refused(spark):
+    with pytest.raises(ValueError, match="dbtable"):
+        read_file(spark, "jdbc:postgresql://host/db")
+
+
+def test_topic_options():
+    assert topic_options("h:9092", "green-trips", "g") == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "green-trips",
+        "startingOffsets": "earliest", "kafka.group.id": "g"}
+    assert topic_options("h", "t", startingOffsets="latest")["startingOffsets"] == "latest"
+
+
+YELLOW_ROW = "1,2024-01-01 00:10:00,2024-01-01 00:20:00,2,1.5,1,N,01,2,1,10.10,0,0.5,2,0,0.3,12.9,2.5"
+GREEN_ROW = "2,2024-01-01 00:10:00,2024-01-01 00:20:00,N,1,7,8,1,2.25,9,0,0.5,0,0,,0.3,9.8,2,1,"
+
+
+def write_csv(path, schema, *rows):
+    path.write_bytes(gzip.compress("\n".join([",".join(schema.fieldNames()), *rows, ""]).encode()))
+    return str(path)
+
+
+def test_declared_yellow_file(spark, tmp_path):
+    path = write_csv(tmp_path / SERVICE["yellow"].file_name(2024, 1), YELLOW_FILE, YELLOW_ROW)
+    assert path.endswith("yellow_tripdata_2024-01.csv.gz")
+    df = read_trip_files(spark, path, SERVICE["yellow"], partitions=3)
+    assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in YELLOW_FILE.fields]
+    row = df.first()
+    assert (row.VendorID, row.PULocationID, row.passenger_count) == ("1", "01", 2)
+    assert str(row.fare_amount) == "10.100000000"
+
+
+def test_extra_trailing_values(spark, tmp_path):
+    green = write_csv(tmp_path / "g.csv.gz", GREEN_FILE, GREEN_ROW, GREEN_ROW + ",extra,more")
+    kept = read_trip_files(spark, green, SERVICE["green"])
+    assert kept.count() == 2
+    assert values(kept.select("VendorID", "trip_type", "ehail_fee")) == [("2", "1", None)] * 2
+    yellow = write_csv(tmp_path / "y.csv.gz", YELLOW_FILE, YELLOW_ROW + ",extra")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_trip_files(spark, yellow, SERVICE["yellow"]).collect()
+
+
+def test_text_files_by_glob_carry_their_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,x\n")
+    (tmp_path / "b.csv").write_text("k,v\n02,\n")
+    df = read_csv_files(spark, str(tmp_path / "*.csv"))
+    assert [t for _, t in df.dtypes] == ["string"] * 3
+    assert values(df) == [("02", None, "b.csv"), ("1", "x", "a.csv")]
+
+
+def test_parquet_takes_the_first_files_schema(spark, tmp_path):
+    spark.createDataFrame([(1, 2)], "a bigint, b int").write.parquet(str(tmp_path / "1"))
+    spark.createDataFrame([(3, "x")], "a int, c string").write.parquet(str(tmp_path / "2"))
+    paths = [str(tmp_path / "1"), str(tmp_path / "2")]
+    df = read_parquet_like(spark, paths)
+    assert df.dtypes == [("a", "bigint"), ("b", "int")]
+    assert values(df) == [(1, 2), (3, None)]
+    assert read_parquet_like(spark, paths, reference=paths[1]).columns == ["a", "c"]
+
+
+def test_only_named_csv_columns_are_parsed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v,w\n1,x,9\n")
+    df = read_columns(spark, str(tmp_path / "a.csv"), ["w", "k"])
+    assert values(df) == [("9", "1")]
+    assert "ReadSchema: struct<k:string,w:string>" in df._jdf.queryExecution().toString()
+
+
+def test_array_elements(spark, tmp_path):
+    (tmp_path / "one.json").write_text('{"products": [\n {"a": 1},\n {"a": null}\n]}')
+    df = read_array_elements(spark, str(tmp_path / "one.json"), "products", multi_line=True)
+    assert values(df.select(F.to_json("element"))) == [('{"a":1}',), ('{"a":null}',)]
+    (tmp_path / "many.json").write_text('{"products": [{"a": 1}]}\n{}\n{"products": []}\n')
+    assert read_array_elements(spark, str(tmp_path / "many.json"), "products").count() == 1
+
+
+def test_query_as_source(spark):
+    df = read_query(spark, "SELECT sum(id) AS s FROM {ids}", ids=spark.range(4))
+    assert values(df) == [(6,)]
+
+
+def test_unknown_service_is_not_there():
+    assert SERVICE.get("fhv") is None
+    assert SERVICE["green"].table_name(2019, 3) == "green_tripdata_2019_03"
+    assert SERVICE["green"].hashed_key[1] == "lpep_pickup_datetime"
+    assert SERVICE["yellow"].hashed_key[1] == "tpep_pickup_datetime"

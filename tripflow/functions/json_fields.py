@@ -21,5 +21,5 @@ def field_or_default(document: Column, field: str, default: str) -> Column:
 
 
 def json_text(*columns: Column | str) -> Column:
-    """One JSON object per row."""
-    return F.to_json(F.struct(*columns))
+    """One JSON object per row; null fields are written, not dropped."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

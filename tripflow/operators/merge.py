@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,22 +27,63 @@ def with_row_id(
     )
 
 
-def heavy_keys(staging: DataFrame, key: str = ROW_ID, most: int = 64) -> list:
-    """Keys that hold a large share of the rows, at most ``most`` of them.
+@dataclass(frozen=True)
+class StagingProfile:
+    """What one pass over the key columns tells about staging rows.
 
-    Found with mergeable frequency sketches, so no row is shuffled; each sketch
-    tracks 1024 items and finds every key with over 1/768 of the rows. Sketches
-    merge in 64 groups before the last merge.
+    ``heavy`` holds row ids with a large share of the rows, usually none. ``days``
+    are the days the rows fall on, None among them for rows without one; it is None
+    altogether if not asked for or if there are more than ``MOST_DAYS``.
     """
+
+    heavy: list
+    days: list | None = None
+
+
+MOST_DAYS = 4096
+MOST_HEAVY = 64
+
+
+def profile_staging(
+    staging: DataFrame,
+    key_cols: Sequence[Column | str],
+    key: str = ROW_ID,
+    day: Column | None = None,
+) -> StagingProfile:
+    """Look through staging once, without shuffling rows or building row ids.
+
+    Frequent combinations of the key columns are found by hash with mergeable
+    sketches: a sketch tracks 1024 items and finds each with over 1/768 of the rows.
+    Sketches and days merge in 64 groups before the last merge. There are fewer
+    than four million dates, which bounds the sets of days.
+    """
+    hashed = F.xxhash64(*key_cols)
+    per_group = [F.call_function("approx_top_k_accumulate", hashed, F.lit(1024)).alias("_sketch")]
+    if day is not None:
+        per_group += [F.collect_set(day).alias("_days"),
+                      F.count_if(day.isNull()).alias("_undated")]
+    top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch), {MOST_HEAVY}).item")
+    overall = [top.alias("hashes")]
+    if day is not None:
+        every_day = F.array_distinct(F.flatten(F.collect_list("_days")))
+        overall += [F.slice(every_day, 1, MOST_DAYS + 1).alias("days"),
+                    F.sum("_undated").alias("undated")]
+    # Grouped by a constant, so that no rows give no result: sketches cannot be
+    # combined from nothing.
     found = (
-        staging.where(F.col(key).isNotNull())
-        .groupBy(F.expr("pmod(spark_partition_id(), 64)").alias("_part"))
-        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, 1024)").alias("_sketch"))
-        .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch), {most})").alias("_top"))
-        .selectExpr("_top.item AS items")
-        .first()
+        staging.groupBy(F.expr("pmod(spark_partition_id(), 64)")).agg(*per_group)
+        .groupBy(F.lit("all")).agg(*overall).first()
     )
-    return list(found["items"] or []) if found else []
+    if found is None:
+        return StagingProfile([], None if day is None else [])
+    heavy = []
+    if found["hashes"]:
+        wanted = staging.where(hashed.isin(found["hashes"]))
+        heavy = [r[0] for r in wanted.select(key).distinct().collect()]
+    days = None
+    if day is not None and len(found["days"] or []) <= MOST_DAYS:
+        days = list(found["days"] or []) + ([None] if found["undated"] else [])
+    return StagingProfile(heavy, days)
 
 
 def insert_only(
@@ -65,15 +107,6 @@ def insert_only(
     return usual.unionByName(staging.where(is_heavy).join(held, key, "left_anti"))
 
 
-def covered_days(staging: DataFrame, day: Column, most: int = 4096) -> list | None:
-    """Days the staging rows fall on, None among them for rows without one.
-
-    None instead of a list if there are more than ``most``.
-    """
-    rows = staging.select(day.alias("day")).distinct().limit(most + 1).collect()
-    return [r["day"] for r in rows] if len(rows) <= most else None
-
-
 def on_days(table: DataFrame, day: Column, days: Sequence | None) -> DataFrame:
     """Rows of the listed days; the whole table for None."""
     if days is None:

@@ -37,7 +37,8 @@ def monthly_revenue(
     counts combine on the map side, so a hot zone costs no more than any other.
     """
     kind = trips.schema["pickup_datetime"].dataType
-    month = F.date_trunc("month", "pickup_datetime").cast(kind)
+    # By way of the date, which costs less per row than truncating a timestamp.
+    month = F.trunc(F.to_date("pickup_datetime"), "month").cast(kind)
     wanted = time_range(trips, "pickup_datetime", start, end, day_col, half_open=half_open)
     return wanted.groupBy(
         F.col("PULocationID").alias("revenue_zone"),

@@ -16,10 +16,9 @@ from tripflow.operators.harmonize import harmonize, known_services
 from tripflow.operators.marks import latest_marks
 from tripflow.operators.merge import (
     ROW_ID,
-    covered_days,
-    heavy_keys,
     insert_only,
     on_days,
+    profile_staging,
     with_row_id,
 )
 from tripflow.operators.report import monthly_revenue, report_table_name, report_year
@@ -48,14 +47,15 @@ def staged_merge(
     collide across days for want of a separator. ``dedupe`` keeps one row per id;
     by default rows that share an id new to the target are all kept.
 
-    Two short passes over the key columns run at once: the days, and the keys too
+    One pass over the key columns runs at once, for the days and for keys too
     frequent for one task.
     """
     staging = with_row_id(raw, key_cols, source_name, make_key=make_key, sep=sep)
-    if staging_day is not None and target_day is not None:
-        target = on_days(target, target_day, covered_days(staging, staging_day))
-    heavy = heavy_keys(staging)
-    new = insert_only(staging, target, ROW_ID, heavy)
+    by_day = staging_day is not None and target_day is not None
+    profile = profile_staging(staging, key_cols, day=staging_day if by_day else None)
+    if by_day:
+        target = on_days(target, target_day, profile.days)
+    new = insert_only(staging, target, ROW_ID, profile.heavy)
     return new.dropDuplicates([ROW_ID]) if dedupe else new
 
 
@@ -129,7 +129,8 @@ def harmonize_new_rows(
     ])
     ids = recent.select(md5_key(HARMONIZED_KEY, "|").alias(ROW_ID))
     keyed = new.withColumn(ROW_ID, md5_key(HARMONIZED_KEY, "|"))
-    return insert_only(keyed, ids, ROW_ID, heavy_keys(keyed)).drop(ROW_ID)
+    heavy = profile_staging(keyed, HARMONIZED_KEY).heavy
+    return insert_only(keyed, ids, ROW_ID, heavy).drop(ROW_ID)
 
 
 def load_increment(

@@ -37,7 +37,13 @@ from tripflow.plans import harmonize_new_rows, project_with_defaults, staged_mer
 from tripflow.plans.jobs import load_files_to_tables
 from tripflow.schema import SERVICE, TRIP_MESSAGE
 from tripflow.session import shared_dir
-from tripflow.sinks import encode_messages, write_day_partitioned, write_json_lines, write_parquet
+from tripflow.sinks import (
+    append_table,
+    encode_messages,
+    ensure_table,
+    write_json_lines,
+    write_parquet,
+)
 from tripflow.sources import (
     read_array_elements,
     read_csv_files,
@@ -524,11 +530,15 @@ def stream_zone_pairs(spark, sf_dir):
 WITH {TRIPS} SELECT DISTINCT VendorID FROM trips
 WHERE dropoff_datetime BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1996-03-15'""")
 def partition_pruned_scan(spark, sf_dir):
-    """Distinct vendors of a fortnight from a table partitioned by day."""
-    path = shared_dir(spark, "by-day")
-    write_day_partitioned(fixtures.trips(spark, sf_dir), path, "dropoff_datetime", "dropoff_date",
-                          ["VendorID"])
-    rows = time_range(spark.read.parquet(path), "dropoff_datetime", "1996-03-01", "1996-03-15",
+    """Distinct vendors of a fortnight from a table partitioned by day, clustered by vendor."""
+    trips = fixtures.trips(spark, sf_dir)
+    path = shared_dir(spark, "by_day")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    ensure_table(spark, name, trips.schema, day_of="dropoff_datetime", day_col="dropoff_date",
+                 location=path)
+    append_table(trips, name, day_of="dropoff_datetime", day_col="dropoff_date",
+                 cluster_by=["VendorID"])
+    rows = time_range(spark.table(name), "dropoff_datetime", "1996-03-01", "1996-03-15",
                       "dropoff_date")
     return distinct_values(rows, "VendorID")
 

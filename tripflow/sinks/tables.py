@@ -49,16 +49,29 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
     writer.saveAsTable(name)
 
 
-def append_table(df: DataFrame, name: str, *, day_of: str | None = None,
-                 day_col: str = "pickup_date") -> None:
-    """Append by column name. With ``day_of`` the day column is filled and its rows spread."""
+def append_table(
+    df: DataFrame,
+    name: str,
+    *,
+    day_of: str | None = None,
+    day_col: str = "pickup_date",
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Append by column name.
+
+    With ``day_of`` the table's day column is filled from that time, and the rows
+    of a file are ordered by ``cluster_by``.
+    """
     spark = df.sparkSession
-    rows = spread_by_day(df, day_of, day_col) if day_of else df
+    rows = df
+    if day_of:
+        rows = spread_by_day(df, day_of, day_col).sortWithinPartitions(day_col, *cluster_by)
     with all_shuffle_partitions(spark) if day_of else nullcontext():
         rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=False)
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
+    """Empty a table that Spark manages; it refuses this for tables with a location."""
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
