@@ -1,0 +1,208 @@
+from __future__ import annotations
+
+import json
+import os
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.conftest import SMALL, values
+from tripflow import fixtures
+from tripflow.operators import tumbling_counts
+from tripflow.schema import TRIP_MESSAGE
+from tripflow.sinks import encode_messages
+from tripflow.sources import read_columns, read_query
+from tripflow.streaming import (
+    decode_messages,
+    replay_files,
+    start_append,
+    start_complete,
+    start_console,
+    stream_zone_pair_counts,
+    with_event_time,
+)
+
+SMALL_MESSAGE = T.StructType([
+    T.StructField("PULocationID", T.IntegerType()),
+    T.StructField("DOLocationID", T.IntegerType()),
+    T.StructField("lpep_dropoff_datetime", T.LongType()),
+    T.StructField("tip_amount", T.DoubleType()),
+    T.StructField("store_and_fwd_flag", T.StringType()),
+])
+
+
+def decoded(spark, *messages):
+    df = spark.createDataFrame([(m,) for m in messages], "value string")
+    return decode_messages(df, SMALL_MESSAGE)
+
+
+def test_fields_are_read_leniently(spark):
+    found = decoded(
+        spark,
+        '{"PULocationID": 1, "DOLocationID": "2", "lpep_dropoff_datetime": 1570000000999}',
+        '{"PULocationID": 1.0, "tip_amount": 3, "unknown": [1]}',
+        '{"PULocationID": "x", "lpep_dropoff_datetime": "2019-10-01 00:00:00", "tip_amount": "1.5"}',
+        '{"PULocationID": null, "tip_amount": NaN, "DOLocationID": NaN}',
+        "not json", "", None)
+    rows = [tuple(r) for r in found.collect()]
+    assert rows[:3] == [(1, 2, 1570000000999, None, None), (1, None, None, 3.0, None),
+                        (None, None, None, 1.5, None)]
+    assert rows[3][:3] == (None, None, None)
+    assert rows[4:] == [(None,) * 5] * 3
+
+
+def test_messages_survive_encoding(spark):
+    trips = fixtures.trip_messages(spark, SMALL)
+    back = decode_messages(encode_messages(trips), TRIP_MESSAGE)
+    assert back.schema.simpleString() == trips.schema.simpleString()
+    assert back.exceptAll(trips).count() == 0 and trips.exceptAll(back).count() == 0
+
+
+def test_messages_of_a_few_text_columns_have_no_event_time(spark, tmp_path):
+    """A producer that sends text times: rows decode, and none has an event time."""
+    (tmp_path / "g.csv").write_text(
+        "lpep_dropoff_datetime,PULocationID,DOLocationID,other\n2019-10-01 00:00:00,1,2,x\n")
+    sent = encode_messages(read_columns(spark, str(tmp_path / "g.csv"), [
+        "lpep_dropoff_datetime", "PULocationID", "DOLocationID"]))
+    rows = decode_messages(sent, SMALL_MESSAGE)
+    assert values(rows.select("PULocationID", "lpep_dropoff_datetime")) == [(1, None)]
+    assert with_event_time(rows, "lpep_dropoff_datetime").count() == 0
+
+
+def write_batches(folder, batches):
+    """One file per batch, in order; each row is (zone, minute, second)."""
+    folder.mkdir()
+    for i, rows in enumerate(batches):
+        lines = [json.dumps({"PULocationID": z, "DOLocationID": 0,
+                             "lpep_dropoff_datetime": 1_700_000_100_000 + (m * 60 + s) * 1000})
+                 for z, m, s in rows]
+        path = folder / f"{i}.json"
+        path.write_text("\n".join(lines))
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def replay(spark, folder, per_trigger=1, count_as=None):
+    stream = replay_files(spark, str(folder), fmt="text", files_per_trigger=per_trigger)
+    return with_event_time(decode_messages(stream, SMALL_MESSAGE), "lpep_dropoff_datetime",
+                           count_as=count_as)
+
+
+def run(start, df, folder):
+    query = start(df, str(folder / "rows"), str(folder / "checkpoint"))
+    query.awaitTermination()
+    return query, df.sparkSession.read.parquet(str(folder / "rows"))
+
+
+# Batches of (zone, minute, second). Minute 0 lies on a window limit.
+ORDERED = [[(1, 0, 0), (1, 4, 59), (2, 1, 0)], [(1, 5, 0)], [(1, 10, 6)], [(1, 20, 0)], [(1, 21, 0)]]
+
+
+def test_windows_come_out_once_closed(spark, tmp_path):
+    write_batches(tmp_path / "in", ORDERED)
+    _, found = run(start_append, stream_zone_pair_counts(replay(spark, tmp_path / "in")), tmp_path)
+    assert values(found.select("PULocationID", "trip_count")) == [(1, 1), (1, 1), (1, 2), (2, 1)]
+    assert found.columns == ["PULocationID", "DOLocationID", "trip_count", "start_time", "end_time"]
+    first = found.where("PULocationID = 1 and trip_count = 2").first()
+    assert (first["end_time"] - first["start_time"]) == 299_000
+
+
+def test_complete_results_equal_the_batch_results(spark, tmp_path):
+    write_batches(tmp_path / "in", ORDERED)
+    _, found = run(start_complete, stream_zone_pair_counts(replay(spark, tmp_path / "in")), tmp_path)
+    batch = with_event_time(decode_messages(
+        spark.read.text(str(tmp_path / "in")), SMALL_MESSAGE), "lpep_dropoff_datetime")
+    keys = ["PULocationID", "DOLocationID"]
+    assert values(found) == values(
+        tumbling_counts(batch, "event_time", keys, "lpep_dropoff_datetime"))
+
+
+def test_late_rows(spark, tmp_path):
+    """The filter uses the watermark of the batch before: one batch late still counts."""
+    late = (9, 1, 0)
+    one = [[(1, 1, 0)], [(1, 30, 0)], [late], [(1, 40, 0)], [(1, 60, 0)]]
+    two = [[(1, 1, 0)], [(1, 30, 0)], [(1, 31, 0)], [late], [(1, 60, 0)]]
+    counts = []
+    for name, batches in (("one", one), ("two", two)):
+        (tmp_path / name).mkdir()
+        write_batches(tmp_path / name / "in", batches)
+        query, found = run(start_append, stream_zone_pair_counts(
+            replay(spark, tmp_path / name / "in")), tmp_path / name)
+        counts.append(found.where("PULocationID = 9").count())
+        dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress
+                      for op in json.loads(p.json)["stateOperators"])
+        assert dropped == (1 if name == "two" else 0)
+    assert counts == [1, 0]
+
+
+def test_out_of_order_files_lose_nothing_in_one_batch(spark, tmp_path):
+    write_batches(tmp_path / "in", list(reversed(ORDERED)))
+    stream = replay(spark, tmp_path / "in", per_trigger=None)
+    _, found = run(start_append, stream_zone_pair_counts(stream), tmp_path)
+    assert found.agg(F.sum("trip_count")).first()[0] == 5
+
+
+def test_restart_continues_from_the_checkpoint(spark, tmp_path):
+    write_batches(tmp_path / "in", ORDERED[:3])
+    run(start_append, stream_zone_pair_counts(replay(spark, tmp_path / "in")), tmp_path)
+    (tmp_path / "more").mkdir()
+    write_batches(tmp_path / "more" / "x", ORDERED)
+    for i in (3, 4):
+        (tmp_path / "in" / f"{i}.json").write_text((tmp_path / "more" / "x" / f"{i}.json").read_text())
+    _, found = run(start_append, stream_zone_pair_counts(replay(spark, tmp_path / "in")), tmp_path)
+    assert values(found.select("PULocationID", "trip_count")) == [(1, 1), (1, 1), (1, 2), (2, 1)]
+
+
+def test_rows_without_a_time_are_counted(spark, tmp_path):
+    write_batches(tmp_path / "in", [[(1, 0, 0)]])
+    with open(tmp_path / "in" / "0.json", "a") as file:
+        file.write('\nnot json\n{"PULocationID": 4}\n')
+    query, found = run(start_append, replay(spark, tmp_path / "in", count_as="decoded"), tmp_path)
+    assert found.count() == 1
+    seen = [p.observedMetrics["decoded"] for p in query.recentProgress if p.numInputRows]
+    assert (seen[0]["rows"], seen[0]["rows_without_time"]) == (3, 2)
+
+
+def test_counts_by_sql_over_a_named_stream(spark, tmp_path):
+    write_batches(tmp_path / "in", ORDERED)
+    replay(spark, tmp_path / "in").withWatermark("event_time", "5 seconds").createOrReplaceTempView(
+        "green_trips")
+    counts = read_query(spark, """
+        SELECT PULocationID, DOLocationID, count(*) AS trip_count,
+          min(lpep_dropoff_datetime) AS start_time, max(lpep_dropoff_datetime) AS end_time
+        FROM green_trips
+        GROUP BY PULocationID, DOLocationID, window(event_time, '5 minutes')""")
+    _, by_sql = run(start_append, counts, tmp_path)
+    (tmp_path / "b").mkdir()
+    _, found = run(start_append, stream_zone_pair_counts(replay(spark, tmp_path / "in")),
+                   tmp_path / "b")
+    assert values(by_sql) == values(found)
+
+
+def test_console_sink(spark, tmp_path):
+    write_batches(tmp_path / "in", ORDERED)
+    query = start_console(stream_zone_pair_counts(replay(spark, tmp_path / "in")),
+                          str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_state_store_setting_is_put_back(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    chosen = spark.conf.get(key)
+    on_heap = chosen.replace("RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider")
+    spark.conf.set(key, on_heap)
+    try:
+        write_batches(tmp_path / "in", ORDERED)
+        run(start_append, stream_zone_pair_counts(replay(spark, tmp_path / "in")), tmp_path)
+        assert spark.conf.get(key) == on_heap
+        offsets = (tmp_path / "checkpoint" / "offsets" / "0").read_text()
+        assert "RocksDB" in offsets
+    finally:
+        spark.conf.set(key, chosen)
+
+
+def test_partial_counts_come_before_the_state(spark, tmp_path):
+    events = fixtures.table(spark, SMALL, "events")
+    counts = tumbling_counts(events, "ts", ["user_id"], "event_id")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan and "Expand" not in plan
