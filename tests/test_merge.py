@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from tests.conftest import SMALL, executed_plan_of, plan_of, values
 from tripflow import fixtures
 from tripflow.functions import concat_key
 from tripflow.operators import insert_only, profile_staging, with_row_id
-from tripflow.operators.merge import on_days
+from tripflow.operators.merge import MOST_RUNS, consecutive, on_days
 from tripflow.plans import merge_into_table, staged_merge
 
 
@@ -96,6 +98,16 @@ def test_days_include_rows_without_one(spark):
     assert on_days(staging, F.col("d").cast("date"), None).count() == 3
 
 
+def test_many_scattered_days(spark):
+    every_other = [date(2024, 1, 1) + timedelta(days=2 * i) for i in range(100)]
+    assert len(consecutive(every_other)) == 100 > MOST_RUNS
+    assert consecutive(every_other[:1] + [date(2024, 1, 2)]) == [(date(2024, 1, 1), date(2024, 1, 2))]
+    df = spark.range(200).select(F.expr("date_add(DATE'2024-01-01', CAST(id AS INT))").alias("d"))
+    for days in (every_other, every_other[:10]):
+        found = on_days(df, F.col("d"), [*days, None])
+        assert [r["d"] for r in found.orderBy("d").collect()] == days
+
+
 def test_merge_into_table_twice_adds_nothing(spark, tmp_path):
     for name in ("yellow", "green"):
         raw = fixtures.raw_trips(spark, SMALL, name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,8 +112,28 @@ def on_days(table: DataFrame, day: Column, days: Sequence | None) -> DataFrame:
     """Rows of the listed days; the whole table for None."""
     if days is None:
         return table
-    dated = [d for d in days if d is not None]
-    wanted = day.isin(dated) if dated else F.lit(False)
-    if len(dated) < len(days):
+    runs = consecutive([d for d in days if d is not None])
+    if len(runs) <= MOST_RUNS:
+        wanted = F.lit(False)
+        for first, last in runs:
+            wanted = wanted | day.between(F.lit(first), F.lit(last))
+    else:
+        wanted = day.isin([d for d in days if d is not None])
+    if None in days:
         wanted = wanted | day.isNull()
     return table.where(wanted)
+
+
+# Above this a list of days makes a flatter predicate than a chain of ranges.
+MOST_RUNS = 64
+
+
+def consecutive(days: Sequence[date]) -> list[tuple[date, date]]:
+    """First and last day of each unbroken run of days."""
+    runs: list[tuple[date, date]] = []
+    for day in sorted(days):
+        if runs and day - runs[-1][1] <= timedelta(days=1):
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((day, day))
+    return runs

@@ -66,28 +66,31 @@ def merge_into_table(
     service_name: str,
     source_name: str,
     *,
+    by_day: bool = True,
     day_col: str = "pickup_date",
     location: str | None = None,
     **options,
 ) -> None:
-    """Load a service's raw rows into its table partitioned by pickup day.
+    """Load a service's raw rows into its table, partitioned by pickup day or not.
 
     The table is created if need be. Running the job again, also after a failure,
     adds nothing twice. One writer per table at a time.
     """
     service = SERVICE[service_name]
-    ensure_table(spark, table, service.table_schema, day_of=service.pickup, day_col=day_col,
+    day_of = service.pickup if by_day else None
+    ensure_table(spark, table, service.table_schema, day_of=day_of, day_col=day_col,
                  location=location)
+    pickup_day = F.to_date(service.pickup)
     new = staged_merge(
         raw,
         spark.table(table),
         service.hashed_key,
         source_name,
-        staging_day=F.to_date(service.pickup),
-        target_day=F.col(day_col),
+        staging_day=pickup_day,
+        target_day=F.col(day_col) if by_day else pickup_day,
         **options,
     )
-    append_table(new, table, day_of=service.pickup, day_col=day_col)
+    append_table(new, table, day_of=day_of, day_col=day_col)
 
 
 HARMONIZED_KEY = ["service_type", "VendorID", "pickup_datetime", "dropoff_datetime",
@@ -153,28 +156,38 @@ def load_increment(
 
 
 def write_report(
-    trips: DataFrame, start: Moment, end: Moment | None = None, *, day_col: str | None = None
+    trips: DataFrame,
+    start: Moment,
+    end: Moment | None = None,
+    *,
+    day_col: str | None = None,
+    table: str | None = None,
+    location: str | None = None,
 ) -> str:
-    """Replace the report table of ``start``'s year; returns its name.
+    """Replace a report table, by default the one of ``start``'s year; returns its name.
 
     Without ``end`` the report covers the whole calendar year, its last second's
     fractions included.
     """
     half_open = end is None
     end = f"{report_year(start) + 1}-01-01 00:00:00" if end is None else end
-    name = report_table_name(start)
-    replace_table(monthly_revenue(trips, start, end, half_open=half_open, day_col=day_col), name)
+    name = table or report_table_name(start)
+    report = monthly_revenue(trips, start, end, half_open=half_open, day_col=day_col)
+    replace_table(report, name, location=location)
     return name
 
 
 def load_files_to_tables(
-    spark: SparkSession, paths: Sequence[str], write: Callable[[DataFrame, str], None]
+    spark: SparkSession, paths: str | Sequence[str], write: Callable[[DataFrame, str], None]
 ) -> list[str]:
     """Write each CSV file to the table named like the file up to its first dot.
 
-    ``write`` takes a frame and a table name, for instance ``replace_table`` or a
-    database writer. Only the list of files is handled on the driver.
+    ``paths`` is a glob or a list. ``write`` takes a frame and a table name, for
+    instance ``replace_table`` or a database writer. Only the list of files is
+    handled on the driver.
     """
+    if isinstance(paths, str):
+        paths = sorted(spark.read.text(paths).inputFiles())
     names = []
     for path in paths:
         name = posixpath.basename(path.rstrip("/")).split(".")[0]

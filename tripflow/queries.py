@@ -33,19 +33,28 @@ from tripflow.operators import (
     with_zone,
     zone_counts,
 )
-from tripflow.plans import harmonize_new_rows, project_with_defaults, staged_merge
-from tripflow.plans.jobs import load_files_to_tables
-from tripflow.schema import SERVICE, TRIP_MESSAGE
+from tripflow.plans import (
+    harmonize_new_rows,
+    load_files_to_tables,
+    load_increment,
+    merge_into_table,
+    project_with_defaults,
+    staged_merge,
+    write_report,
+)
+from tripflow.schema import SERVICE, TRIP_DATA, TRIP_MESSAGE
 from tripflow.session import shared_dir
 from tripflow.sinks import (
     append_table,
     encode_messages,
     ensure_table,
+    replace_table,
     write_json_lines,
     write_parquet,
 )
 from tripflow.sources import (
     read_array_elements,
+    read_columns,
     read_csv_files,
     read_file,
     read_parquet_like,
@@ -61,6 +70,7 @@ from tripflow.streaming import (
     start_complete,
     stream_zone_pair_counts,
     with_event_time,
+    with_watermark,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +126,16 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[convert(f) for f in df.schema.fields])
 
 
+def _new_table(spark: SparkSession, label: str) -> tuple[str, str]:
+    """An unused table name and the folder for its files."""
+    location = shared_dir(spark, label)
+    return location.rsplit("/", 1)[1].replace("-", "_"), location
+
+
+def _whole_numbers_as_int(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("int") for c in ("passenger_count", "payment_type")})
+
+
 # --- reports ---------------------------------------------------------------
 
 REVENUE_SQL = """
@@ -153,6 +173,16 @@ def monthly_revenue_between(spark, sf_dir):
         fixtures.trips(spark, sf_dir), "1996-01-01 00:00:00", "1996-12-31 23:59:59"))
 
 
+@query(f"""
+WITH {TRIPS} SELECT {REVENUE_SQL} FROM trips WHERE year(pickup_datetime) = 1998 GROUP BY ALL""")
+def report_table(spark, sf_dir):
+    """A year's report written to its table, twice, and read back."""
+    table, location = _new_table(spark, "report")
+    for _ in range(2):
+        write_report(fixtures.trips(spark, sf_dir), "1998-01-01", table=table, location=location)
+    return comparable(spark.table(table))
+
+
 @query(f"WITH {TRIPS} SELECT {REVENUE_SQL} FROM trips GROUP BY ALL")
 def monthly_revenue_all(spark, sf_dir):
     """The report over everything there is."""
@@ -305,10 +335,13 @@ SELECT {ALL_TRIP_COLUMNS} FROM (
   SELECT trips.* FROM trips JOIN marks USING (service_type)
   WHERE pickup_datetime > latest_datetime)""")
 def incremental_load(spark, sf_dir):
-    """The target after the job."""
-    target = _loaded(spark, sf_dir)
-    new = harmonize_new_rows(fixtures.raw_by_service(spark, sf_dir), target)
-    return comparable(target.unionByName(new))
+    """The target table after the job; a service it does not know is passed over."""
+    table, location = _new_table(spark, "trip_data")
+    ensure_table(spark, table, TRIP_DATA, location=location)
+    append_table(_loaded(spark, sf_dir), table)
+    raw = fixtures.raw_by_service(spark, sf_dir)
+    load_increment(spark, {**raw, "fhv": spark.range(1)}, table)
+    return comparable(_whole_numbers_as_int(spark.table(table)))
 
 
 @query(f"""
@@ -378,6 +411,30 @@ def staged_merge_result(spark, sf_dir):
     return comparable(target.unionByName(new))
 
 
+@query(f"""
+WITH {TRIPS}, keyed AS (SELECT {ROW_ID_SQL} AS unique_row_id, * FROM trips),
+target AS (SELECT * FROM keyed WHERE pickup_datetime < TIMESTAMP '1999-01-01')
+SELECT unique_row_id, 'before.csv' AS filename, service_type, pickup_datetime,
+  CAST(fare_amount AS DOUBLE) AS fare_amount FROM target
+UNION ALL
+SELECT unique_row_id, 'all.csv', service_type, pickup_datetime, CAST(fare_amount AS DOUBLE)
+FROM keyed s WHERE NOT EXISTS (SELECT 1 FROM target t
+  WHERE t.unique_row_id = s.unique_row_id AND t.service_type = s.service_type)""")
+def staged_merge_tables(spark, sf_dir):
+    """Both services' tables after a load and a second one that contains it."""
+    results = []
+    for name, service in SERVICE.items():
+        raw = fixtures.raw_trips(spark, sf_dir, name)
+        table, location = _new_table(spark, service.table_name())
+        before = time_range(raw, service.pickup, "1900-01-01", "1999-01-01", half_open=True)
+        for rows, source in ((before, "before.csv"), (raw, "all.csv")):
+            merge_into_table(spark, rows, table, name, source, by_day=False, location=location)
+        results.append(spark.table(table).select(
+            "unique_row_id", "filename", F.lit(name).alias("service_type"),
+            F.col(service.pickup).alias("pickup_datetime"), "fare_amount"))
+    return comparable(results[0].unionByName(results[1]))
+
+
 # --- JSON documents --------------------------------------------------------
 
 @query("""
@@ -481,6 +538,21 @@ def stream_tumbling_append(spark, sf_dir):
     return _run(start_append, _event_stream_counts(spark, sf_dir), "stream-append")
 
 
+@query(f"""
+SELECT user_id, event_type, event_count FROM ({EVENT_WINDOWS_SQL})
+WHERE window_end <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)""")
+def stream_sql_counts(spark, sf_dir):
+    """The windows counted by SQL over a named stream."""
+    name = shared_dir(spark, "events").rsplit("/", 1)[1].replace("-", "_")
+    with_watermark(_event_stream(spark, sf_dir), "ts").createOrReplaceTempView(name)
+    counts = read_query(spark, f"""
+        SELECT user_id, event_type, count(*) AS event_count FROM {name}
+        GROUP BY user_id, event_type, window(ts, '5 minutes')""")
+    found = _run(start_append, counts, "stream-sql")
+    spark.catalog.dropTempView(name)
+    return found
+
+
 MESSAGES_SQL = """
 messages AS (
   SELECT CAST(VendorID AS INT) AS VendorID, epoch_ms(pickup_datetime) AS lpep_pickup_datetime,
@@ -532,10 +604,9 @@ WHERE dropoff_datetime BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1996-03-15'
 def partition_pruned_scan(spark, sf_dir):
     """Distinct vendors of a fortnight from a table partitioned by day, clustered by vendor."""
     trips = fixtures.trips(spark, sf_dir)
-    path = shared_dir(spark, "by_day")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
+    name, location = _new_table(spark, "by_day")
     ensure_table(spark, name, trips.schema, day_of="dropoff_datetime", day_col="dropoff_date",
-                 location=path)
+                 location=location)
     append_table(trips, name, day_of="dropoff_datetime", day_col="dropoff_date",
                  cluster_by=["VendorID"])
     rows = time_range(spark.table(name), "dropoff_datetime", "1996-03-01", "1996-03-15",
@@ -553,8 +624,7 @@ def csv_gz_roundtrip(spark, sf_dir):
          .option("header", True).option("compression", "gzip").csv(path))
         raw[name] = read_trip_files(spark, path, service)
     trips = union_services(raw)
-    whole = ["passenger_count", "payment_type"]
-    return comparable(trips.withColumns({c: F.col(c).cast("int") for c in whole}))
+    return comparable(_whole_numbers_as_int(trips))
 
 
 @query(f"""
@@ -568,6 +638,16 @@ def csv_text_columns(spark, sf_dir):
     return read_csv_files(spark, path).drop("filename")
 
 
+@query(f"WITH {TRIPS} SELECT PULocationID, CAST(trip_distance AS DOUBLE) AS trip_distance FROM trips")
+def csv_column_subset(spark, sf_dir):
+    """Two columns of a wider CSV file."""
+    path = shared_dir(spark, "wide-csv")
+    fixtures.trips(spark, sf_dir).select(
+        "VendorID", "PULocationID", "DOLocationID", "trip_distance").write.csv(path, header=True)
+    subset = read_columns(spark, path, ["PULocationID", "trip_distance"])
+    return subset.withColumn("trip_distance", F.col("trip_distance").cast("double"))
+
+
 @query("SELECT event_id, user_id, event_type, props FROM events")
 def json_roundtrip(spark, sf_dir):
     path = shared_dir(spark, "events") + ".json"
@@ -579,13 +659,15 @@ def json_roundtrip(spark, sf_dir):
 
 @query(f"WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips")
 def parquet_like_first(spark, sf_dir):
-    """Two tables' Parquet files read under the schema of the first."""
+    """Two folders of Parquet files, under the schema of the first, loaded into a table."""
     paths = []
     trips = fixtures.trips(spark, sf_dir)
     for name in SERVICE:
         paths.append(shared_dir(spark, f"{name}-parquet"))
         write_parquet(trips.where(F.col("service_type") == name), paths[-1], files=4)
-    return comparable(read_parquet_like(spark, paths))
+    table, location = _new_table(spark, "native")
+    replace_table(read_parquet_like(spark, paths), table, location=location)
+    return comparable(spark.table(table))
 
 
 @query("""

@@ -41,9 +41,13 @@ def _column_ddl(field: T.StructField) -> str:
     return f"`{field.name}` {field.dataType.simpleString()}{note}"
 
 
-def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+def replace_table(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None
+) -> None:
     """Create or replace a table with the frame's rows and schema."""
     writer = df.write.mode("overwrite").format("parquet")
+    if location:
+        writer = writer.option("path", location)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
