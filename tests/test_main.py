@@ -27,7 +27,9 @@ def test_from_files_to_report(spark, tmp_path):
     job("merge", "--service", "yellow", "--path", february)
     job("increment", "--partitions", "2")
     job("increment", "--lookback-days", "60")
-    assert spark.table("yellow_tripdata").count() == 2
+    loaded = spark.table("yellow_tripdata").orderBy("tpep_pickup_datetime").collect()
+    assert [r["filename"].rsplit("/", 1)[1] for r in loaded] == [
+        "yellow_tripdata_2024-01.csv.gz", "yellow_tripdata_2024-02.csv.gz"]
     assert values(spark.table("trip_data").groupBy("service_type").count()) == [
         ("green", 1), ("yellow", 2)]
     job("report", "--start-time", "2024-01-01 00:00:00")

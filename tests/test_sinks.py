@@ -91,6 +91,25 @@ def test_rows_of_a_file_are_ordered(spark, tmp_path):
         assert vendors == sorted(vendors)
 
 
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    """A third of the rows fall on one day."""
+    rows = spark.range(0, 60000, numPartitions=8).select(
+        "id", F.md5(F.col("id").cast("string")).alias("text"),
+        F.date_add(F.lit("2024-03-01"), F.when(F.col("id") % 3 == 0, 0).otherwise(
+            F.col("id") % 30).cast("int")).cast("timestamp_ntz").alias("ts"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200KB")
+    try:
+        write_day_partitioned(rows, str(tmp_path / "t"), "ts", "day", ["id"])
+    finally:
+        spark.conf.set(key, before)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("day=*")}
+    assert files["day=2024-03-01"] > 1
+    assert len(files) == 30
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 60000
+
+
 def test_settings_are_put_back(spark, tmp_path):
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(key)

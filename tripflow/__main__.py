@@ -6,6 +6,7 @@ import argparse
 from datetime import timedelta
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tripflow.plans import load_files_to_tables, load_increment, merge_into_table, write_report
 from tripflow.schema import SERVICE
@@ -51,7 +52,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "merge":
         service = SERVICE[args.service]
         merge_into_table(spark, read_trip_files(spark, args.path, service),
-                         args.dest_table or service.table_name(), service.name, args.path)
+                         args.dest_table or service.table_name(), service.name, F.input_file_name())
     elif args.job == "increment":
         raw = {s: spark.table(SERVICE[s].table_name()) for s in args.services if s in SERVICE}
         lookback = timedelta(days=args.lookback_days) if args.lookback_days else None

@@ -17,12 +17,15 @@ ROW_ID = "unique_row_id"
 def with_row_id(
     raw: DataFrame,
     key_cols: Sequence[Column | str],
-    source_name: str,
+    source_name: str | Column,
     *,
     make_key=md5_key,
     sep: str = "",
 ) -> DataFrame:
-    """Staging rows: row id and source file in front of the raw columns."""
+    """Staging rows: row id and source file in front of the raw columns.
+
+    ``source_name`` may be a column, such as ``input_file_name()``.
+    """
     return raw.select(
         make_key(key_cols, sep).alias(ROW_ID), F.lit(source_name).alias("filename"), "*"
     )
@@ -32,7 +35,7 @@ def with_row_id(
 class StagingProfile:
     """What one pass over the key columns tells about staging rows.
 
-    ``heavy`` holds row ids with a large share of the rows, usually none. ``days``
+    ``heavy`` holds row ids with too many rows for one task, usually none. ``days``
     are the days the rows fall on, None among them for rows without one; it is None
     altogether if not asked for or if there are more than ``MOST_DAYS``.
     """
@@ -42,7 +45,8 @@ class StagingProfile:
 
 
 MOST_DAYS = 4096
-MOST_HEAVY = 64
+MOST_HEAVY = 1024
+TRACKED = 16384
 
 
 def profile_staging(
@@ -50,21 +54,25 @@ def profile_staging(
     key_cols: Sequence[Column | str],
     key: str = ROW_ID,
     day: Column | None = None,
+    heavy_rows: int = 1_000_000,
 ) -> StagingProfile:
     """Look through staging once, without shuffling rows or building row ids.
 
-    Frequent combinations of the key columns are found by hash with mergeable
-    sketches: a sketch tracks 1024 items and finds each with over 1/768 of the rows.
+    Combinations of the key columns with at least ``heavy_rows`` rows are found by
+    hash with mergeable sketches. A sketch tracks 16384 items, a few hundred
+    kilobytes, and finds every item with over 1/12288 of the rows, so a key it
+    misses is no larger than an ordinary shuffle partition of so much data.
     Sketches and days merge in 64 groups before the last merge. There are fewer
     than four million dates, which bounds the sets of days.
     """
     hashed = F.xxhash64(*key_cols)
-    per_group = [F.call_function("approx_top_k_accumulate", hashed, F.lit(1024)).alias("_sketch")]
+    sketch = F.call_function("approx_top_k_accumulate", hashed, F.lit(TRACKED))
+    per_group = [sketch.alias("_sketch")]
     if day is not None:
         per_group += [F.collect_set(day).alias("_days"),
                       F.count_if(day.isNull()).alias("_undated")]
-    top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch), {MOST_HEAVY}).item")
-    overall = [top.alias("hashes")]
+    top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch), {MOST_HEAVY})")
+    overall = [F.filter(top, lambda t: t["count"] >= heavy_rows)["item"].alias("hashes")]
     if day is not None:
         every_day = F.array_distinct(F.flatten(F.collect_list("_days")))
         overall += [F.slice(every_day, 1, MOST_DAYS + 1).alias("days"),

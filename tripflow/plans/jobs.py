@@ -32,11 +32,12 @@ def staged_merge(
     raw: DataFrame,
     target: DataFrame,
     key_cols: Sequence[Column | str],
-    source_name: str,
+    source_name: str | Column,
     *,
     make_key: Callable[..., Column] = md5_key,
     sep: str = "",
     dedupe: bool = False,
+    heavy_rows: int = 1_000_000,
     staging_day: Column | None = None,
     target_day: Column | None = None,
 ) -> DataFrame:
@@ -47,12 +48,13 @@ def staged_merge(
     collide across days for want of a separator. ``dedupe`` keeps one row per id;
     by default rows that share an id new to the target are all kept.
 
-    One pass over the key columns runs at once, for the days and for keys too
-    frequent for one task.
+    One pass over the key columns runs at once, for the days and for keys with at
+    least ``heavy_rows`` rows, which are kept out of the shuffle.
     """
     staging = with_row_id(raw, key_cols, source_name, make_key=make_key, sep=sep)
     by_day = staging_day is not None and target_day is not None
-    profile = profile_staging(staging, key_cols, day=staging_day if by_day else None)
+    profile = profile_staging(staging, key_cols, day=staging_day if by_day else None,
+                              heavy_rows=heavy_rows)
     if by_day:
         target = on_days(target, target_day, profile.days)
     new = insert_only(staging, target, ROW_ID, profile.heavy)
@@ -64,7 +66,7 @@ def merge_into_table(
     raw: DataFrame,
     table: str,
     service_name: str,
-    source_name: str,
+    source_name: str | Column,
     *,
     by_day: bool = True,
     day_col: str = "pickup_date",
