@@ -11,6 +11,7 @@ from tripflow.functions import concat_key
 from tripflow.operators import insert_only, profile_staging, with_row_id
 from tripflow.operators.merge import MOST_RUNS, consecutive, on_days
 from tripflow.plans import merge_into_table, staged_merge
+from tripflow.schema import SERVICE, database_types
 
 
 def rows(spark, data):
@@ -145,6 +146,42 @@ def test_merge_into_table_twice_adds_nothing(spark, tmp_path):
         spark.sql(f"DROP TABLE {table}")
 
 
+def test_nothing_is_shuffled_into_days_the_target_lacks(spark):
+    df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-02-01"), ("b", "2024-02-01")],
+                               "k string, d string").withColumn("d", F.col("d").cast("date"))
+    target = with_row_id(df.where("k = 'a'"), ["k", "d"], "old")
+    day = F.col("d")
+    new = staged_merge(df.where("k = 'b'"), target, ["k", "d"], "new", staging_day=day,
+                       target_day=day)
+    assert new.count() == 2
+    assert "Exchange" not in plan_of(new) and "Join" not in plan_of(new)
+    both = staged_merge(df, target, ["k", "d"], "new", staging_day=day, target_day=day)
+    assert values(both.select("k")) == [("b",), ("b",)]
+    one = staged_merge(df, target, ["k", "d"], "new", staging_day=day, target_day=day, dedupe=True)
+    assert values(one.select("k")) == [("b",)]
+
+
+def test_database_like_table(spark):
+    service = SERVICE["yellow"]
+    raw = fixtures.raw_trips(spark, SMALL, "yellow")
+
+    def load(source):
+        merge_into_table(
+            spark, raw, "yellow_database", "yellow", source, by_day=False,
+            schema=database_types(service.table_schema), key_cols=service.text_key,
+            make_key=concat_key)
+
+    load("a.csv")
+    load("b.csv")
+    table = spark.table("yellow_database")
+    assert table.schema["fare_amount"].dataType.simpleString() == "double"
+    assert table.schema["tpep_pickup_datetime"].dataType.simpleString() == "timestamp_ntz"
+    assert values(table.groupBy("filename").count()) == [("a.csv", raw.count())]
+    row = table.first()
+    assert row["unique_row_id"].startswith(f"{row['VendorID']}{row['tpep_pickup_datetime']}")
+    spark.sql("DROP TABLE yellow_database")
+
+
 def test_merge_reads_only_the_staging_days(spark, tmp_path):
     raw = fixtures.raw_trips(spark, SMALL, "green")
     raw = raw.where(F.date_format("lpep_pickup_datetime", "yyyy-MM") == "1998-01")

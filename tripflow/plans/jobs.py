@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripflow.functions.json_fields import field_or_default
 from tripflow.functions.keys import md5_key
@@ -44,7 +45,8 @@ def staged_merge(
     """Rows of ``raw``, with row id and file name, that the target lacks.
 
     Given both day columns, only target rows of the days found in ``raw`` are
-    compared. That is exact if the day is part of the key, short of ids that
+    compared; if the target has none, as when a new month arrives, nothing is joined
+    or shuffled. That is exact if the day is part of the key, short of ids that
     collide across days for want of a separator. ``dedupe`` keeps one row per id;
     by default rows that share an id new to the target are all kept.
 
@@ -57,7 +59,10 @@ def staged_merge(
                               heavy_rows=heavy_rows)
     if by_day:
         target = on_days(target, target_day, profile.days)
-    new = insert_only(staging, target, ROW_ID, profile.heavy)
+    if by_day and target.isEmpty():
+        new = staging
+    else:
+        new = insert_only(staging, target, ROW_ID, profile.heavy)
     return new.dropDuplicates([ROW_ID]) if dedupe else new
 
 
@@ -68,6 +73,8 @@ def merge_into_table(
     service_name: str,
     source_name: str | Column,
     *,
+    key_cols: Sequence[Column | str] | None = None,
+    schema: StructType | None = None,
     by_day: bool = True,
     day_col: str = "pickup_date",
     location: str | None = None,
@@ -76,17 +83,20 @@ def merge_into_table(
     """Load a service's raw rows into its table, partitioned by pickup day or not.
 
     The table is created if need be. Running the job again, also after a failure,
-    adds nothing twice. One writer per table at a time.
+    adds nothing twice. One writer per table at a time. The key defaults to the
+    service's hashed key and the layout to its table's; a database-like table takes
+    ``schema=database_types(service.table_schema)``, ``key_cols=service.text_key``,
+    ``make_key=concat_key`` and ``by_day=False``.
     """
     service = SERVICE[service_name]
     day_of = service.pickup if by_day else None
-    ensure_table(spark, table, service.table_schema, day_of=day_of, day_col=day_col,
+    ensure_table(spark, table, schema or service.table_schema, day_of=day_of, day_col=day_col,
                  location=location)
     pickup_day = F.to_date(service.pickup)
     new = staged_merge(
         raw,
         spark.table(table),
-        service.hashed_key,
+        key_cols or service.hashed_key,
         source_name,
         staging_day=pickup_day,
         target_day=F.col(day_col) if by_day else pickup_day,

@@ -583,6 +583,25 @@ def stream_json_decode(spark, sf_dir):
     return _run(start_append, _message_stream(spark, sf_dir), "stream-decode")
 
 
+@query(f"""
+WITH {TRIPS}, {MESSAGES_SQL}
+SELECT strftime(event_time, '%Y-%m-%dT%H:%M:%S.000') AS lpep_dropoff_datetime, PULocationID,
+  DOLocationID, passenger_count, trip_distance, tip_amount FROM messages""")
+def stream_csv_replay(spark, sf_dir):
+    """A CSV file's columns sent as JSON messages and decoded from a stream."""
+    landed, sent = shared_dir(spark, "green-csv"), shared_dir(spark, "green-messages")
+    fixtures.raw_trips(spark, sf_dir, "green").write.csv(landed, header=True)
+    columns = ["lpep_dropoff_datetime", "PULocationID", "DOLocationID", "passenger_count",
+               "trip_distance", "tip_amount"]
+    encode_messages(read_columns(spark, landed, columns)).select(
+        F.col("value").cast("string")).write.text(sent)
+    layout = T.StructType([
+        T.StructField(f.name, T.StringType() if f.name.endswith("_datetime") else f.dataType)
+        for f in TRIP_MESSAGE.fields if f.name in columns])
+    decoded = decode_messages(replay_files(spark, sent, fmt="text"), layout)
+    return _run(start_append, decoded, "csv-replay")
+
+
 @query(f"""
 WITH {TRIPS}, {MESSAGES_SQL}
 SELECT PULocationID, DOLocationID, count(*) AS trip_count,

@@ -124,6 +124,18 @@ TRIP_MESSAGE = _struct([
     ("trip_type", T.IntegerType()),
 ])
 
+
+
+def database_types(schema: T.StructType) -> T.StructType:
+    """The layout as a relational database keeps it: doubles, integers, times without a zone."""
+    kinds = {T.DecimalType: T.DoubleType(), T.LongType: T.IntegerType(),
+             T.TimestampType: T.TimestampNTZType()}
+    return T.StructType([
+        T.StructField(f.name, kinds.get(type(f.dataType), f.dataType), f.nullable, f.metadata)
+        for f in schema.fields
+    ])
+
+
 ZONE_LOOKUP = _struct([("LocationID", _STRING), ("Zone", _STRING)])
 
 EPOCH = "1970-01-01 00:00:00"
