@@ -57,8 +57,8 @@ def test_jdbc_path_without_table_is_refused(spark):
 
 
 def test_topic_options():
-    assert topic_options("h:9092", "green-trips", "g") == {
-        "kafka.bootstrap.servers": "h:9092", "subscribe": "green-trips",
+    assert topic_options("h:9092", "trips", "g") == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "trips",
         "startingOffsets": "earliest", "kafka.group.id": "g"}
     assert topic_options("h", "t", startingOffsets="latest")["startingOffsets"] == "latest"
 

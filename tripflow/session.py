@@ -22,11 +22,9 @@ DEFAULTS = {
 
 
 def init_spark(app_name: str = "tripflow", config_params: dict | None = None) -> SparkSession:
-    """Get or build a session; every value in ``config_params`` is passed as text."""
-    builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **(config_params or {})}.items():
-        builder = builder.config(key, str(value))
-    return builder.getOrCreate()
+    """Get or build a session under the defaults above and the given settings."""
+    settings = {k: str(v) for k, v in (DEFAULTS | (config_params or {})).items()}
+    return SparkSession.builder.appName(app_name).config(map=settings).getOrCreate()
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:

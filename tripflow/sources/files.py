@@ -12,23 +12,22 @@ from tripflow.schema import Service
 from tripflow.sources.jdbc import read_jdbc
 
 
+# The suffixes users' paths end in.
+FORMAT_OF_SUFFIX = {".csv": "csv", ".csv.gz": "csv", ".parquet": "parquet", ".json": "json"}
+
+
 def read_file(spark: SparkSession, path: str, **options) -> DataFrame:
     """Pick the reader by the path's prefix or suffix.
 
-    ``jdbc:`` URLs need ``dbtable``. Files end in ``.csv``, ``.csv.gz``,
-    ``.parquet`` or ``.json``; other paths raise ``ValueError``. The options go to
-    the reader, ``schema`` included.
+    ``jdbc:`` URLs need ``dbtable`` or ``query``; paths of other suffixes than those
+    above raise ``ValueError``. The options go to the reader, ``schema`` included.
     """
     if path.startswith("jdbc:"):
         return read_jdbc(spark, path, **options)
-    name = path.rstrip("/")
-    if name.endswith((".csv", ".csv.gz")):
-        return spark.read.csv(path, **options)
-    if name.endswith(".parquet"):
-        return spark.read.parquet(path, **options)
-    if name.endswith(".json"):
-        return spark.read.json(path, **options)
-    raise ValueError(f"unsupported file format or connection string: {path}")
+    found = [f for suffix, f in FORMAT_OF_SUFFIX.items() if path.rstrip("/").endswith(suffix)]
+    if not found:
+        raise ValueError(f"unsupported file format or connection string: {path}")
+    return spark.read.load(path, format=found[0], **options)
 
 
 def read_csv_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
