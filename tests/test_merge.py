@@ -3,6 +3,8 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, executed_plan_of, plan_of, values
@@ -95,6 +97,22 @@ def test_merging_with_heavy_keys_equals_merging_without(spark):
     assert values(split) == values(staged_merge(raw, held, ["k"], "new"))
 
 
+keys = st.one_of(st.none(), st.sampled_from("abc"))
+pairs = st.lists(st.tuples(keys, st.integers(0, 3)), max_size=12)
+
+
+@settings(max_examples=8, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pairs, pairs, st.sampled_from([2, 1_000_000]))
+def test_merge_equals_brute_force(spark, staged, held, heavy_rows):
+    """Rows of keys the target lacks, each as often as staged; a null key is empty text."""
+    known = {k or "" for k, _ in held}
+    wanted = sorted((p for p in staged if (p[0] or "") not in known), key=repr)
+    new = staged_merge(rows(spark, staged), with_row_id(rows(spark, held), ["k"], "old"), ["k"],
+                       "new", heavy_rows=heavy_rows)
+    assert values(new.select("k", "v")) == wanted
+
+
 def test_null_keys_survive_the_split(spark):
     staging = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "id string, v int")
     target = spark.createDataFrame([("a",), (None,)], "id string")

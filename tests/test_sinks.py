@@ -101,11 +101,13 @@ def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "200KB")
     try:
-        write_day_partitioned(rows, str(tmp_path / "t"), "ts", "day", ["id"])
+        write_day_partitioned(rows, str(tmp_path / "t"), "ts", "day", ["id"], partitions=64)
     finally:
         spark.conf.set(key, before)
     files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("day=*")}
     assert files["day=2024-03-01"] > 1
+    # With more partitions than days most days are alone in theirs.
+    assert min(files.values()) == 1
     assert len(files) == 21
     assert spark.read.parquet(str(tmp_path / "t")).count() == 60000
 

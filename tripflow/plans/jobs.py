@@ -78,6 +78,7 @@ def merge_into_table(
     by_day: bool = True,
     day_col: str = "pickup_date",
     location: str | None = None,
+    partitions: int | None = None,
     **options,
 ) -> None:
     """Load a service's raw rows into its table, partitioned by pickup day or not.
@@ -102,7 +103,7 @@ def merge_into_table(
         target_day=F.col(day_col) if by_day else pickup_day,
         **options,
     )
-    append_table(new, table, day_of=day_of, day_col=day_col)
+    append_table(new, table, day_of=day_of, day_col=day_col, partitions=partitions)
 
 
 HARMONIZED_KEY = ["service_type", "VendorID", "pickup_datetime", "dropoff_datetime",

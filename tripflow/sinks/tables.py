@@ -60,16 +60,19 @@ def append_table(
     day_of: str | None = None,
     day_col: str = "pickup_date",
     cluster_by: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> None:
     """Append by column name.
 
-    With ``day_of`` the table's day column is filled from that time, and the rows
-    of a file are ordered by ``cluster_by``.
+    With ``day_of`` the table's day column is filled from that time, the rows of a
+    file are ordered by ``cluster_by``, and ``partitions`` are made as in
+    :func:`spread_by_day`.
     """
     spark = df.sparkSession
     rows = df
     if day_of:
-        rows = spread_by_day(df, day_of, day_col).sortWithinPartitions(day_col, *cluster_by)
+        rows = spread_by_day(df, day_of, day_col, partitions)
+        rows = rows.sortWithinPartitions(day_col, *cluster_by)
     with all_shuffle_partitions(spark) if day_of else nullcontext():
         rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=False)
 
@@ -79,14 +82,18 @@ def truncate_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
-def spread_by_day(df: DataFrame, time_col: str, day_col: str) -> DataFrame:
+def spread_by_day(
+    df: DataFrame, time_col: str, day_col: str, partitions: int | None = None
+) -> DataFrame:
     """Add the day column and bring each day's rows together for writing.
 
-    A rebalance, unlike a plain repartition, lets adaptive execution cut a day that
-    is too large for one task.
+    A rebalance, unlike a plain repartition, lets adaptive execution cut a partition
+    that is too large for one task. Each piece of it then holds a part of every day
+    in that partition, so for large data let ``partitions``, by default the session's
+    shuffle partitions, exceed the number of days.
     """
     dated = df.withColumn(day_col, F.to_date(time_col))
-    return dated.hint("rebalance", day_col)
+    return dated.hint("rebalance", *([partitions] if partitions else []), day_col)
 
 
 @contextmanager
@@ -112,12 +119,14 @@ def write_day_partitioned(
     day_col: str,
     cluster_by: Sequence[str] = (),
     mode: str = "errorifexists",
+    partitions: int | None = None,
 ) -> None:
     """Parquet partitioned by day, rows of a file ordered by ``cluster_by``.
 
     The ordering narrows the row groups' value ranges, so filters on those columns
     skip row groups.
     """
-    rows = spread_by_day(df, time_col, day_col).sortWithinPartitions(day_col, *cluster_by)
+    rows = spread_by_day(df, time_col, day_col, partitions)
+    rows = rows.sortWithinPartitions(day_col, *cluster_by)
     with all_shuffle_partitions(df.sparkSession):
         rows.write.mode(mode).partitionBy(day_col).parquet(path)
