@@ -118,6 +118,22 @@ def test_increments_add_up(spark):
     spark.sql("DROP TABLE increments")
 
 
+def test_increments_by_day(spark):
+    frames = {"yellow": raw(spark, "yellow", ["2024-01-01T05:00", "2024-01-02T06:00", None]),
+              "green": raw(spark, "green", ["2024-01-01T07:00"])}
+    load_increment(spark, frames, "by_day", by_day=True, partitions=3)
+    table = spark.table("by_day")
+    assert latest_marks(table, ["yellow", "green"], day_col="pickup_date") == latest_marks(
+        table, ["yellow", "green"])
+    more = {"yellow": raw(spark, "yellow", ["2024-01-02T06:00", "2024-01-02T06:00:01"])}
+    load_increment(spark, more, "by_day", by_day=True)
+    load_increment(spark, more, "by_day", by_day=True)
+    assert values(spark.table("by_day").groupBy("pickup_date", "service_type").count().select(
+        F.col("pickup_date").cast("string"), "service_type", "count")) == [
+        ("2024-01-01", "green", 1), ("2024-01-01", "yellow", 1), ("2024-01-02", "yellow", 2)]
+    spark.sql("DROP TABLE by_day")
+
+
 def test_lookback_finds_late_rows_once(spark):
     ensure_table(spark, "late", TRIP_DATA)
     known = raw(spark, "yellow", ["2024-01-01", "2024-01-03"])

@@ -12,7 +12,8 @@ from tripflow.__main__ import parser, run
 from tripflow.schema import GREEN_FILE, YELLOW_FILE
 
 
-def test_from_files_to_report(spark, tmp_path):
+@pytest.mark.parametrize("layout", [[], ["--by-day"]])
+def test_from_files_to_report(spark, tmp_path, layout):
     later = YELLOW_ROW.replace("2024-01-01", "2024-02-01")
     january = write_csv(tmp_path / "yellow_tripdata_2024-01.csv.gz", YELLOW_FILE, YELLOW_ROW)
     february = write_csv(tmp_path / "yellow_tripdata_2024-02.csv.gz", YELLOW_FILE, YELLOW_ROW, later)
@@ -23,7 +24,7 @@ def test_from_files_to_report(spark, tmp_path):
 
     job("merge", "--service", "yellow", "--path", january)
     job("merge", "--service", "green", "--path", green)
-    job("increment")
+    job("increment", *layout)
     job("merge", "--service", "yellow", "--path", february)
     job("increment", "--partitions", "2")
     job("increment", "--lookback-days", "60")

@@ -141,6 +141,20 @@ def test_out_of_order_files_lose_nothing_in_one_batch(spark, tmp_path):
     assert found.agg(F.sum("trip_count")).first()[0] == 5
 
 
+def test_replay_of_a_partitioned_folder_and_of_one_file(spark, tmp_path):
+    events = spark.range(6).selectExpr("id", "id % 2 AS day")
+    folder = str(tmp_path / "in")
+    events.coalesce(1).write.partitionBy("day").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    _, found = run(start_append, replay_files(spark, folder, schema), tmp_path)
+    assert values(found) == values(spark.read.parquet(folder))
+    file = next((tmp_path / "in").glob("day=0/*.parquet"))
+    (tmp_path / "b").mkdir()
+    one = replay_files(spark, str(file), T.StructType([schema["id"]]), single_file=True)
+    _, found = run(start_append, one, tmp_path / "b")
+    assert values(found.select("id")) == [(0,), (2,), (4,)]
+
+
 def test_restart_continues_from_the_checkpoint(spark, tmp_path):
     write_batches(tmp_path / "in", ORDERED[:3])
     run(start_append, stream_zone_pair_counts(replay(spark, tmp_path / "in")), tmp_path)

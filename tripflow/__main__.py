@@ -14,6 +14,8 @@ from tripflow.session import init_spark
 from tripflow.sinks import replace_table, write_jdbc
 from tripflow.sources import read_trip_files
 
+DAY = "pickup_date"
+
 
 def parser() -> argparse.ArgumentParser:
     main = argparse.ArgumentParser(prog="tripflow")
@@ -33,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
     increment = jobs.add_parser("increment", help="append new trips of all services to one table")
     increment.add_argument("--services", nargs="+", default=sorted(SERVICE))
     increment.add_argument("--dest-table", default="trip_data")
+    increment.add_argument("--by-day", action="store_true",
+                           help="partition a new table by pickup day")
     increment.add_argument("--partitions", type=int)
     increment.add_argument("--lookback-days", type=int)
 
@@ -47,8 +51,9 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "report":
-        write_report(spark.table(args.source_table), args.start_time, args.end_time,
-                     table=args.dest_table)
+        trips = spark.table(args.source_table)
+        write_report(trips, args.start_time, args.end_time, table=args.dest_table,
+                     day_col=DAY if DAY in trips.columns else None)
     elif args.job == "merge":
         service = SERVICE[args.service]
         merge_into_table(spark, read_trip_files(spark, args.path, service),
@@ -56,8 +61,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "increment":
         raw = {s: spark.table(SERVICE[s].table_name()) for s in args.services if s in SERVICE}
         lookback = timedelta(days=args.lookback_days) if args.lookback_days else None
-        load_increment(spark, raw, args.dest_table, partitions=args.partitions, lookback=lookback,
-                       raw_day="pickup_date")
+        by_day = args.by_day or (spark.catalog.tableExists(args.dest_table)
+                                 and DAY in spark.table(args.dest_table).columns)
+        load_increment(spark, raw, args.dest_table, by_day=by_day, partitions=args.partitions,
+                       lookback=lookback, raw_day=DAY)
     elif args.job == "import-files":
         login = {k: getattr(args, k) for k in ("user", "password", "driver") if getattr(args, k)}
 

@@ -46,9 +46,10 @@ def latest_marks(
 
     As literals they reach the raw tables' scans and prune there. Without a target
     every mark is 1970-01-01; other failures are raised, since starting over would
-    load everything again. If the target is partitioned by service and day, name
-    ``day_col``: the last day is then found from partition values and file footers,
-    and only that day's times are read.
+    load everything again. If the target is partitioned by day, name ``day_col``: each
+    service's last day is then found from the service column and the partition
+    values, or from file footers alone if the service is a partition column too, and
+    only those days' times are read.
     """
     if target is None:
         return {s: EPOCH for s in services}

@@ -154,6 +154,8 @@ def load_increment(
     raw_by_service: Mapping[str, DataFrame],
     table: str = "trip_data",
     *,
+    by_day: bool = False,
+    day_col: str = "pickup_date",
     partitions: int | None = None,
     location: str | None = None,
     **options,
@@ -161,11 +163,17 @@ def load_increment(
     """Append each service's new rows to the harmonised table, creating it if absent.
 
     ``partitions`` fixes the number of writing tasks; by default they follow the
-    plan.
+    plan. A table partitioned ``by_day`` finds its marks in its last days alone, and
+    reports on it read only their range.
     """
-    ensure_table(spark, table, TRIP_DATA, location=location)
-    new = harmonize_new_rows(raw_by_service, spark.table(table), **options)
-    append_table(new.repartition(partitions) if partitions else new, table)
+    day_of = "pickup_datetime" if by_day else None
+    ensure_table(spark, table, TRIP_DATA, day_of=day_of, day_col=day_col, location=location)
+    new = harmonize_new_rows(raw_by_service, spark.table(table),
+                             target_day=day_col if by_day else None, **options)
+    if by_day:
+        append_table(new, table, day_of=day_of, day_col=day_col, partitions=partitions)
+    else:
+        append_table(new.repartition(partitions) if partitions else new, table)
 
 
 def write_report(

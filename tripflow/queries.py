@@ -508,7 +508,7 @@ def tumbling_counts_ms(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     schema = fixtures.table(spark, sf_dir, "events").schema
-    return replay_files(spark, f"{sf_dir}/events.parquet", schema)
+    return replay_files(spark, f"{sf_dir}/events.parquet", schema, single_file=True)
 
 
 def _event_stream_counts(spark, sf_dir):

@@ -12,9 +12,14 @@ def replay_files(
     schema: T.StructType | None = None,
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
+    *,
+    single_file: bool = False,
     **options,
 ) -> DataFrame:
-    """Stream the files under ``path``, a folder, glob or single file.
+    """Stream the files under ``path``, a folder or glob.
+
+    With ``single_file`` the path may also name one file; partition columns of a
+    folder are then not read from its subfolders' names.
 
     By default everything present is one batch, so no row can be late whatever the
     order of the files. ``files_per_trigger`` paces the replay; files then go by
@@ -25,7 +30,7 @@ def replay_files(
         reader = reader.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(_as_glob(path))
+    return reader.load(_as_glob(path) if single_file else path)
 
 
 def _as_glob(path: str) -> str:
