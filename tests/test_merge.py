@@ -11,6 +11,7 @@ from tests.conftest import SMALL, executed_plan_of, plan_of, values
 from tripflow import fixtures
 from tripflow.functions import concat_key
 from tripflow.operators import insert_only, profile_staging, with_row_id
+from tripflow.operators import merge
 from tripflow.operators.merge import MOST_RUNS, consecutive, on_days
 from tripflow.plans import merge_into_table, staged_merge
 from tripflow.schema import SERVICE, database_types
@@ -113,6 +114,22 @@ def test_merge_equals_brute_force(spark, staged, held, heavy_rows):
     assert values(new.select("k", "v")) == wanted
 
 
+@pytest.mark.parametrize("most", [0, 2, 250_000])
+def test_few_target_rows_are_broadcast_and_many_are_not(spark, monkeypatch, most):
+    monkeypatch.setattr(merge, "MOST_BROADCAST", most)
+    target = with_row_id(rows(spark, [("a", 1), ("a", 2), ("c", 3)]), ["k"], "old")
+    raw = rows(spark, [("a", 1), ("b", 1), ("b", 1)])
+    day = F.lit("2024-01-01").cast("date")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = staged_merge(raw, target, ["k"], "new", staging_day=day, target_day=day)
+        assert merged(new) == [("b", 1), ("b", 1)]
+        assert ("BroadcastHashJoin" in plan_of(new)) == (most >= 3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_null_keys_survive_the_split(spark):
     staging = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "id string, v int")
     target = spark.createDataFrame([("a",), (None,)], "id string")

@@ -46,6 +46,8 @@ class StagingProfile:
 
 MOST_DAYS = 4096
 MOST_HEAVY = 1024
+# Hashed ids take some hundred bytes each in a broadcast table: 25 MB.
+MOST_BROADCAST = 250_000
 TRACKED = 16384
 
 
@@ -96,7 +98,11 @@ def profile_staging(
 
 
 def insert_only(
-    staging: DataFrame, target: DataFrame, key: str = ROW_ID, heavy: Sequence = ()
+    staging: DataFrame,
+    target: DataFrame,
+    key: str = ROW_ID,
+    heavy: Sequence = (),
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Staging rows whose ``key`` is absent from the target.
 
@@ -106,7 +112,14 @@ def insert_only(
     The target sends each id once, so copies there cost nothing. Rows of the
     ``heavy`` keys are not shuffled: which of those few keys the target holds is
     broadcast to them, at most one row per heavy key.
+
+    Pass ``target_rows`` if it has been counted: with none nothing is joined, and up
+    to ``MOST_BROADCAST`` ids are broadcast, so that staging is not shuffled at all.
     """
+    if target_rows == 0:
+        return staging
+    if target_rows is not None and target_rows <= MOST_BROADCAST:
+        return staging.join(F.broadcast(target.select(key)), key, "left_anti")
     known = target.select(key).distinct()
     if not heavy:
         return staging.join(known, key, "left_anti")

@@ -45,9 +45,10 @@ def staged_merge(
     """Rows of ``raw``, with row id and file name, that the target lacks.
 
     Given both day columns, only target rows of the days found in ``raw`` are
-    compared; if the target has none, as when a new month arrives, nothing is joined
-    or shuffled. That is exact if the day is part of the key, short of ids that
-    collide across days for want of a separator. ``dedupe`` keeps one row per id;
+    compared. They are counted first, which on a table partitioned by day reads file
+    footers only: without any, as when a new month arrives, nothing is joined or
+    shuffled, and few are broadcast. Comparing by day is exact if the day is part of
+    the key, short of ids that collide across days for want of a separator. ``dedupe`` keeps one row per id;
     by default rows that share an id new to the target are all kept.
 
     One pass over the key columns runs at once, for the days and for keys with at
@@ -57,12 +58,11 @@ def staged_merge(
     by_day = staging_day is not None and target_day is not None
     profile = profile_staging(staging, key_cols, day=staging_day if by_day else None,
                               heavy_rows=heavy_rows)
+    target_rows = None
     if by_day:
         target = on_days(target, target_day, profile.days)
-    if by_day and target.isEmpty():
-        new = staging
-    else:
-        new = insert_only(staging, target, ROW_ID, profile.heavy)
+        target_rows = target.count()
+    new = insert_only(staging, target, ROW_ID, profile.heavy, target_rows)
     return new.dropDuplicates([ROW_ID]) if dedupe else new
 
 
