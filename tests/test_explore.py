@@ -50,6 +50,19 @@ def test_days(trips):
     assert values(count_where(trips, same_day("up", "down"))) == [(2,)]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_a_day_is_a_pushed_range(spark, tmp_path, kind):
+    times = ["2024-10-14 23:59:59.999999", "2024-10-15 00:00:00", "2024-10-15 23:59:59.999999",
+             "2024-10-16 00:00:00", None]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast(kind))
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = stored.where(on_day("2024-10-15", "t"))
+    assert found.count() == stored.where("to_date(t) = DATE'2024-10-15'").count() == 2
+    assert "GreaterThanOrEqual(t,2024-10-15" in plan_of(found)
+    assert "LessThan(t,2024-10-16" in plan_of(found)
+
+
 def test_longest(trips):
     assert values(longest_hours(trips, "up", "down")) == [(1.0,)]
 

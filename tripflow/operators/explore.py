@@ -28,9 +28,13 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def on_day(day: str | date, *time_cols: str) -> Column:
-    """Every named time falls on ``day``."""
-    wanted = F.lit(str(day)).cast("date")
-    return _all(F.to_date(c) == wanted for c in time_cols)
+    """Every named time falls on ``day``.
+
+    Written as a range, which unlike a comparison of ``to_date`` reaches the scan.
+    """
+    begin = F.lit(str(day)).cast("date")
+    end = F.date_add(begin, 1)
+    return _all((F.col(c) >= begin) & (F.col(c) < end) for c in time_cols)
 
 
 def same_day(first: str, *others: str) -> Column:

@@ -62,8 +62,8 @@ def profile_staging(
 
     Combinations of the key columns with at least ``heavy_rows`` rows are found by
     hash with mergeable sketches. A sketch tracks 16384 items, a few hundred
-    kilobytes, and finds every item with over 1/12288 of the rows, so a key it
-    misses is no larger than an ordinary shuffle partition of so much data.
+    kilobytes, and finds every item with over 1/4000 of the rows, so a key it
+    misses is about as large as an ordinary shuffle partition of so much data.
     Sketches and days merge in 64 groups before the last merge. There are fewer
     than four million dates, which bounds the sets of days.
     """

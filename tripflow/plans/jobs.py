@@ -48,8 +48,9 @@ def staged_merge(
     compared. They are counted first, which on a table partitioned by day reads file
     footers only: without any, as when a new month arrives, nothing is joined or
     shuffled, and few are broadcast. Comparing by day is exact if the day is part of
-    the key, short of ids that collide across days for want of a separator. ``dedupe`` keeps one row per id;
-    by default rows that share an id new to the target are all kept.
+    the key, short of ids that collide across days for want of a separator.
+
+    Rows that share an id new to the target are all kept; ``dedupe`` keeps one of them.
 
     One pass over the key columns runs at once, for the days and for keys with at
     least ``heavy_rows`` rows, which are kept out of the shuffle.
