@@ -46,6 +46,18 @@ def third_fold(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def hashed_sample(rows: DataFrame, about: int) -> DataFrame:
+    """About so many of the rows, or all if there are fewer, chosen by hash of id and text.
+
+    For fitting models of fixed size only.
+    """
+    total = rows.count()
+    if total <= about:
+        return rows
+    highest = int(-(1 << 63) + about / total * ((1 << 64) - 1))
+    return rows.where(F.xxhash64("doc_id", "text") <= F.lit(highest))
+
+
 def upper_part(hashed: Column, parts: int) -> Column:
     """Which of ``parts`` equal ranges of the signed 64-bit numbers a hash is in."""
     return F.shiftright((F.shiftright(hashed, 32) + F.lit(1 << 31)) * F.lit(parts), 32)

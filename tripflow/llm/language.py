@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,13 +11,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import code_points, mixed, text_of, text_runs, third_fold, without
+from tripflow.llm.common import (
+    code_points,
+    hashed_sample,
+    mixed,
+    text_of,
+    text_runs,
+    third_fold,
+    without,
+)
 
 BUCKETS = 1 << 16
 LONGEST = 3  # characters of an n-gram
 SAMPLE_ROWS = 20_000
 UNDETERMINED = "und"
 OUTPUTS = ("lang_pred", "score")
+NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 @dataclass(frozen=True)
@@ -42,11 +52,8 @@ def gram_buckets(joined: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def spaced(text: str) -> str:
     """Lower-cased, every run of other characters than letters one space."""
-    lowered = text.lower()
-    kept = lowered if lowered.isalpha() else "".join(
-        c if c.isalpha() else " " for c in lowered)
-    words = kept.split()
-    return f" {' '.join(words)} " if words else ""
+    kept = NOT_LETTERS.sub(" ", text.lower())
+    return f" {kept.strip()} " if any(map(str.isalpha, kept)) else ""
 
 
 def count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,22 +74,14 @@ def count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, smoothing: float = 0.1) -> Model | None:
-    """Learn from at most ``sample_rows`` rows with a text and a language.
+    """Learn from about ``sample_rows`` rows with a text and a language, or all if fewer.
 
     The sample is bounded because its use is to learn a model of fixed size; which
     rows it holds follows from their hash. Columns: ``doc_id``, ``text``, ``lang``.
     None if no row can be learnt from.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = F.xxhash64(F.col("doc_id"), F.lit(17))
-    chosen = usable.select("doc_id", "lang", order.alias("_h"))
-    total = chosen.count()
-    if total == 0:
-        return None
-    share = min(1.0, sample_rows / total)
-    below = F.col("_h") <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)))
-    sample = usable.withColumn("_h", order)
-    sample = sample if share == 1.0 else sample.where(below)
+    sample = hashed_sample(usable, sample_rows)
     counted = sample.select("lang", "text").mapInPandas(
         count_grams, "lang string, bucket int, n long")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
