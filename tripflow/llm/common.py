@@ -63,25 +63,28 @@ def upper_part(hashed: Column, parts: int) -> Column:
     return F.shiftright((F.shiftright(hashed, 32) + F.lit(1 << 31)) * F.lit(parts), 32)
 
 
-def ranked(df: DataFrame, keys: Sequence[str], hashed: str, ties: Sequence[str],
-           parts: int | None = None, name: str = "rank") -> DataFrame:
-    """Add each row's rank from 0 within its keys, in the order of a hash and ``ties``.
-
-    No task sees more than one hash range of a key, however frequent the key is:
-    rows are counted per key and range, and numbered within their range. ``df`` is
-    read twice, so it should be a stored table. Keys must not be null.
+def ranked(df: DataFrame, keys: Sequence[str], hashed: str, ties: Sequence[str] = (),
+           plan: DataFrame | None = None) -> DataFrame:
+    """Add each row's ``rank`` from 0 within its keys, in the order of a hash and ``ties``.
+
+    No task gets more than one hash range of a key, however frequent the key is: rows
+    are counted per key and range, and numbered within their range. Whole rows are
+    shuffled once; for counting, ``df`` is read once more with few columns. Keys must
+    not be null. ``plan`` may hold further columns, one row per key.
     """
-    spread = df.withColumn("_part", upper_part(F.col(hashed), parts or tasks(df.sparkSession)))
+    spread = df.withColumn("_part", upper_part(F.col(hashed), tasks(df.sparkSession)))
     counts = spread.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_part",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    if plan is not None:
+        starts = starts.join(plan, list(keys))
     within = Window.partitionBy(*keys, "_part").orderBy(hashed, *ties)
     numbered = spread.withColumn("_row", F.row_number().over(within).cast("long"))
     return (
         numbered.join(starts, [*keys, "_part"])
-        .withColumn(name, F.col("_start") + F.col("_row") - 1)
+        .withColumn("rank", F.col("_start") + F.col("_row") - 1)
         .drop("_part", "_start", "_row")
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import language, quality
+from tripflow.llm import bagminhash, language, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,9 @@ def op9_language_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_bagminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = bagminhash.near_classes(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "class_id", "class_size", "kept")
