@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bagminhash, language, quality
+from tripflow.llm import bagminhash, language, mixing, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,13 @@ def op10_quality_factorization_machine(spark: SparkSession, sf_dir: str) -> Data
 def op5_bagminhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = bagminhash.near_classes(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "class_id", "class_size", "kept")
+
+
+@query
+def op7_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
