@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripflow.llm import bagminhash, language, mixing, packing, quality
+from tripflow.llm import bagminhash, language, mixing, packing, quality, sharding
+from tripflow.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +47,12 @@ def op7_subset_sum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.histogram_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", F.crc32(text_of().cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
