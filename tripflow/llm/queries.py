@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bagminhash, language, mixing, packing, quality, sharding
+from tripflow.llm import (
+    bagminhash,
+    extraction,
+    language,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    urls,
+)
 from tripflow.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +65,14 @@ def op1_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", F.crc32(text_of().cast("binary")).alias("text_crc32"),
         F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op6_site_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extraction.main_texts(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op4_url_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
