@@ -12,6 +12,7 @@ from tripflow.llm import (
     extraction,
     language,
     mixing,
+    neighbours,
     packing,
     quality,
     sharding,
@@ -76,3 +77,9 @@ def op6_site_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_url_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query
+def op3_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"))
