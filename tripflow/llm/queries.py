@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import (
     bagminhash,
+    edits,
     extraction,
     language,
     mixing,
@@ -83,3 +84,8 @@ def op4_url_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op8_edit_embedding_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edits.fingerprint_rows(table(spark, sf_dir, "documents"))
