@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+
+from tripflow.llm.bagminhash import bag_min_hash, bags, keep_one, likeness, near_classes
+from tripflow.llm.components import components
+
+
+def shingles(text: str, size: int = 5) -> Counter:
+    words = text.split()
+    if not words:
+        return Counter()
+    return Counter(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def brute_classes(rows: list[tuple]) -> dict:
+    """Smallest id per class, by comparing all pairs of texts."""
+    texts = list(dict.fromkeys(t or "" for _, t in rows))
+    bag = {t: shingles(t) for t in texts}
+    group = {t: {t} for t in texts}
+    for i, a in enumerate(texts):
+        for b in texts[:i]:
+            total = (bag[a] | bag[b]).total()
+            if total and (bag[a] & bag[b]).total() / total >= 0.8 and group[a] is not group[b]:
+                merged = group[a] | group[b]
+                for t in merged:
+                    group[t] = merged
+    ids = {}
+    for i, t in rows:
+        key = id(group[t or ""])
+        ids.setdefault(key, []).append(i)
+    return {t: min((i for i in ids[id(group[t])] if i is not None), default=None) for t in texts}
+
+
+def test_signatures_agree_as_weighted_jaccard():
+    rng = np.random.default_rng(5)
+    off = []
+    for _ in range(30):
+        element = rng.integers(0, 1 << 43, 300).astype(np.uint64)
+        a, b = rng.integers(0, 12, 300), rng.integers(0, 12, 300)
+        b = np.where(rng.random(300) < 0.7, a, b)
+        true = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+        at = np.repeat([0, 1], [(a > 0).sum(), (b > 0).sum()])
+        both = np.concatenate([element[a > 0], element[b > 0]])
+        weight = np.concatenate([a[a > 0], b[b > 0]])
+        signed = bag_min_hash(at, both, weight, 2, 400)
+        off.append((signed[0] == signed[1]).mean() - true)
+    assert abs(np.mean(off)) < 0.015
+    assert np.std(off) < 0.04
+
+
+def test_large_weights_and_single_elements():
+    one = bag_min_hash(np.array([0, 1]), np.array([7, 7], dtype=np.uint64),
+                       np.array([1_000_000, 1_000_000]), 2)
+    assert (one[0] == one[1]).all()
+
+
+def test_bags_equal_counted_shingles():
+    texts = ["a b c d e f a b c d e f a b c d e", "one two", "", "x " * 30]
+    for (values, counts), text in zip(bags(texts), texts):
+        assert sorted(counts) == sorted(shingles(text).values())
+        assert len(values) == len(shingles(text))
+    a, b = bags(["a b c d e f g", "a b c d e f h"])
+    assert likeness(a, b) == 2 / 4
+
+
+def test_same_classes_as_brute_force(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    base = rows[0][1].split()
+    for k in range(40):  # a chain: each differs a little from the one before
+        base = [*base]
+        base[(k * 7) % len(base)] = f"changed{k}"
+        rows.append((10_000 + k, " ".join(base)))
+    found, _ = near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    wanted = brute_classes(rows)
+    text = dict(rows)
+    got = {r.doc_id: r.class_id for r in found.collect()}
+    assert got == {i: wanted[text[i] or ""] for i in got}
+
+
+def test_awkward_rows(awkward, nothing):
+    rows, _ = near_classes(awkward)
+    rows = rows.collect()
+    assert len(rows) == awkward.count()
+    heads = Counter(r.class_id for r in rows if r.kept)
+    assert heads[1] == 1 and sum(r.kept for r in rows) == len({r.class_id for r in rows})
+    assert {r.class_id for r in rows if r.doc_id in (1, 2)} == {1}
+    assert {r.class_id for r in rows if r.doc_id in (6, 7)} == {6}
+    kept = keep_one(awkward)
+    assert kept.columns == awkward.columns
+    assert kept.count() == len({r.class_id for r in rows})
+    assert near_classes(nothing)[0].count() == 0
+    assert keep_one(nothing).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)],
+                                  "a long, b long")
+    labels = {r.node: r.label for r in components(edges).collect()}
+    assert all(labels[i] == 0 for i in range(61))
+    assert labels[100] == labels[101] == 100

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import re
-import unicodedata
 
 import regex
 
 # Runs the tokenizer file splits a text into before merging; a fixed value of it.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
+# Letters whose lower case and composition depend on nothing around them.
+PLAIN = re.compile(r"[!-~\xa1-\u012f\u0131-\u024f]*")
 REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 ID_BYTES = 4
@@ -44,13 +45,11 @@ class WordTokens(dict):
         self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        # Beyond U+024F lower case and composition may depend on more than a character.
-        if "<|" in word or any(c > "ɏ" or c == "İ" for c in word):
+        if "<|" in word or not PLAIN.fullmatch(word):
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             found = b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
         else:
-            lowered = unicodedata.normalize("NFC", word).lower()
-            found = b"".join(self.piece(p) for p in PIECE.findall(lowered))
+            found = b"".join(self.piece(p) for p in PIECE.findall(word.lower()))
         if len(word) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
                 self.clear()
