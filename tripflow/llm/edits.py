@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,8 +29,8 @@ PERIOD = 1024
 SAMPLES = 64
 SEED = 8
 RUN_CHARS = 1 << 23
-BANDS = 12
-BAND_SYMBOLS = 6
+BANDS = 32
+BAND_SYMBOLS = 5
 THRESHOLD = 0.8
 HEX = np.frombuffer(b"0123456789abcdef", dtype=np.uint8)
 
@@ -250,9 +251,15 @@ def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([to_hex(f) for f in fingerprints(texts.tolist())], dtype=object)
 
 
+@lru_cache(maxsize=1 << 14)
+def band_steps(top: int, band: int, within: int) -> list[int]:
+    rng = np.random.default_rng([SEED, top, band])
+    return np.sort(rng.choice(within, min(BAND_SYMBOLS, within), replace=False)).tolist()
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def bands(found: pd.Series) -> pd.Series:
-    """Hashes of bit samples, drawn from the first half of a walk.
+    """Hashes of bit samples of a walk, drawn from its whole octaves.
 
     A walk is sampled in its own octave and the one below, so that texts whose lengths
     fall on two sides of a power of two share bands.
@@ -263,8 +270,7 @@ def bands(found: pd.Series) -> pd.Series:
         for top in {octaves, max(octaves - 1, 0)}:
             within = max(1, min(len(text), top * SAMPLES))
             for b in range(BANDS):
-                rng = np.random.default_rng([SEED, top, b])
-                steps = np.sort(rng.choice(within, min(BAND_SYMBOLS, within), replace=False))
+                steps = band_steps(top, b, within)
                 key = f"{top}.{b}." + "".join(text[s] for s in steps)
                 out.add(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(),
                                        "little", signed=True))
