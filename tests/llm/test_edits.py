@@ -14,7 +14,7 @@ def plain_walk(text: str) -> str:
     classes, symbol = edits.symbols(edits.code_points(text))
     on = []
     for c, s in zip(classes, symbol):
-        on += [s] * edits.STAYS[c * edits.PERIOD + len(on) % edits.PERIOD]
+        on += [s] * edits.stays()[c * edits.PERIOD + len(on) % edits.PERIOD]
     return edits.to_hex(np.array([on[i] for i in edits.sampled_steps(len(on))], dtype=np.uint8))
 
 

@@ -31,23 +31,22 @@ SEED = 8
 RUN_CHARS = 1 << 23
 BANDS = 32
 BAND_SYMBOLS = 5
+WALKS = 3
 THRESHOLD = 0.8
 HEX = np.frombuffer(b"0123456789abcdef", dtype=np.uint8)
 
 
-def _stays() -> np.ndarray:
-    """Steps the walk stands on a character of a class that it reaches at a step."""
-    go = np.random.default_rng(SEED).random((CLASSES, PERIOD)) < 0.5
+@lru_cache
+def stays(walk: int = 0) -> np.ndarray:
+    """Steps a walk stands on a character of a class that it reaches at a step, flattened."""
+    go = np.random.default_rng(SEED + walk).random((CLASSES, PERIOD)) < 0.5
     go[:, -1] = True
-    stays = np.empty((CLASSES, PERIOD), dtype=np.int32)
+    found = np.empty((CLASSES, PERIOD), dtype=np.int32)
     ahead = np.zeros(CLASSES, dtype=np.int32)
     for step in range(PERIOD - 1, -1, -1):
         ahead = np.where(go[:, step], 1, ahead + 1)
-        stays[:, step] = ahead
-    return stays
-
-
-STAYS = _stays().ravel()
+        found[:, step] = ahead
+    return found.ravel()
 
 
 def sampled_steps(most: int) -> np.ndarray:
@@ -75,8 +74,11 @@ def symbols(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         (spread >> np.uint64(40)) & np.uint64(15)).astype(np.uint8)
 
 
-def fingerprints(texts: Sequence[str]) -> list[np.ndarray]:
-    """Symbols at the sampled steps of each whole text's walk; none for an empty text."""
+def fingerprints(texts: Sequence[str], walk: int = 0) -> list[np.ndarray]:
+    """Symbols at the sampled steps of each whole text's walk; none for an empty text.
+
+    Different values of ``walk`` are independent walks.
+    """
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint8)] * len(texts)
     order = np.argsort(-sizes, kind="stable")
@@ -86,13 +88,13 @@ def fingerprints(texts: Sequence[str]) -> list[np.ndarray]:
         # Texts of similar length walk together, about so many characters at once.
         ends = np.cumsum(sizes[order[at:]])
         n = max(1, int(np.searchsorted(ends, RUN_CHARS, "right")))
-        for i, found in zip(order[at:at + n], _walks([texts[i] for i in order[at:at + n]])):
+        for i, found in zip(order[at:at + n], _walks([texts[i] for i in order[at:at + n]], stays(walk))):
             out[i] = found
         at += n
     return out
 
 
-def _walks(texts: list[str]) -> list[np.ndarray]:
+def _walks(texts: list[str], stays: np.ndarray) -> list[np.ndarray]:
     """Fingerprints of texts in order of falling length, none empty."""
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     classes, symbol = symbols(code_points("".join(texts)))
@@ -105,14 +107,14 @@ def _walks(texts: list[str]) -> list[np.ndarray]:
     for i in range(int(sizes[0])):
         n = walking[i]
         if n == 1:
-            _walk_alone(rows, reached, int(first[0]), i, int(sizes[0]), int(step[0]))
-            step[0] = reached[first[0] + sizes[0] - 1] + STAYS[
-                rows[first[0] + sizes[0] - 1] + reached[first[0] + sizes[0] - 1] % PERIOD]
+            _walk_alone(rows, reached, int(first[0]), i, int(sizes[0]), int(step[0]), stays)
+            end = first[0] + sizes[0] - 1
+            step[0] = reached[end] + stays[rows[end] + reached[end] % PERIOD]
             break
         here = first[:n] + i
         now = step[:n]
         reached[here] = now
-        step[:n] = now + STAYS[rows[here] + now % PERIOD]
+        step[:n] = now + stays[rows[here] + now % PERIOD]
     steps = sampled_steps(int(step.max()))
     out = []
     for a, size, last in zip(first, sizes, step):
@@ -123,13 +125,13 @@ def _walks(texts: list[str]) -> list[np.ndarray]:
 
 
 def _walk_alone(rows: np.ndarray, reached: np.ndarray, first: int, at: int, size: int,
-                step: int) -> None:
+                step: int, stays: np.ndarray) -> None:
     """The rest of one walk, when no other text is as long."""
-    stays = memoryview(STAYS)
+    known = memoryview(stays)
     found = []
     for row in rows[first + at:first + size].tolist():
         found.append(step)
-        step += stays[row + step % PERIOD]
+        step += known[row + step % PERIOD]
     reached[first + at:first + size] = found
 
 
@@ -245,10 +247,12 @@ def fingerprint_rows(docs: DataFrame) -> DataFrame:
                   "edited_fingerprint string, near_edited double, near_next double")
 
 
-@F.pandas_udf(T.StringType())
-def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def walk_fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Fingerprints of several independent walks: one may lose step for long, hardly all."""
     for texts in batches:
-        yield pd.Series([to_hex(f) for f in fingerprints(texts.tolist())], dtype=object)
+        each = [[to_hex(f) for f in fingerprints(texts.tolist(), walk)] for walk in range(WALKS)]
+        yield pd.Series([list(f) for f in zip(*each)], dtype=object)
 
 
 @lru_cache(maxsize=1 << 14)
@@ -264,19 +268,20 @@ def bands(found: pd.Series) -> pd.Series:
     A walk is sampled in its own octave and the one below, so that texts whose lengths
     fall on two sides of a power of two share bands.
     """
-    def keys(text: str) -> list[int]:
+    def keys(text: str, walk: int) -> set[int]:
         octaves = len(text) // SAMPLES
         out = set()
         for top in {octaves, max(octaves - 1, 0)}:
             within = max(1, min(len(text), top * SAMPLES))
             for b in range(BANDS):
                 steps = band_steps(top, b, within)
-                key = f"{top}.{b}." + "".join(text[s] for s in steps)
+                key = f"{walk}.{top}.{b}." + "".join(text[s] for s in steps)
                 out.add(int.from_bytes(hashlib.blake2b(key.encode(), digest_size=8).digest(),
                                        "little", signed=True))
-        return sorted(out)
+        return out
 
-    return found.map(lambda text: keys(text) if text else [])
+    return found.map(lambda walks: sorted(set().union(
+        *(keys(text, w) for w, text in enumerate(walks) if text))))
 
 
 def edit_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -291,7 +296,7 @@ def edit_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
                    "edit-rows")
     nodes = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("text").alias("text"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "edit-nodes")
-    met = written(nodes.select("node", F.explode(bands(fingerprint("text"))).alias("bucket")),
+    met = written(nodes.select("node", F.explode(bands(walk_fingerprints("text"))).alias("bucket")),
                   "edit-bands")
     pairs = pivot_pairs(met, 0)
     left = nodes.select(F.col("node").alias("a"), F.col("text").alias("_left"))

@@ -12,7 +12,7 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 # Letters whose lower case and composition depend on nothing around them.
 PLAIN = re.compile(r"[!-~\xa1-\u012f\u0131-\u024f]*")
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 LONGEST_REMEMBERED = 64
 ID_BYTES = 4
 
