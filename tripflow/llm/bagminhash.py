@@ -12,11 +12,11 @@ a shingle occurs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,10 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 COMPONENTS = BANDS * ROWS
+# Of 64 components, how many may disagree in two bits; see ``likely``.
+MOST_DIFFERENT = 21
+# Buckets of up to so many members compare all of them; larger ones go on with pivots.
+SMALL_BUCKET = 32
 NEVER = np.uint64(np.iinfo(np.uint64).max)
 
 
@@ -118,68 +122,86 @@ def overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
         yield pd.Series(found)
 
 
+@F.pandas_udf(T.StructType([T.StructField("low", T.LongType()), T.StructField("high", T.LongType())]))
+def planes(found: pd.Series) -> pd.DataFrame:
+    """Two bits of each of a signature's first 64 components, as two bit planes."""
+    if not len(found):
+        return pd.DataFrame({"low": np.zeros(0, np.int64), "high": np.zeros(0, np.int64)})
+    rows = np.frombuffer(b"".join(found), dtype=np.uint32).reshape(len(found), COMPONENTS)[:, :64]
+    bits = [np.packbits((rows >> k & 1).astype(np.uint8), axis=1).view(np.int64)[:, 0] for k in (0, 1)]
+    return pd.DataFrame({"low": bits[0], "high": bits[1]})
+
+
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """``node`` and ``bucket``, one row per band of each signature."""
+    """``node``, ``low``, ``high`` and ``bucket``, one row per band of each signature."""
     keys = [F.xxhash64(F.lit(b), F.expr(f"substring(signature, {1 + 4 * ROWS * b}, {4 * ROWS})"))
             for b in range(BANDS)]
-    return nodes.select(
-        "node", F.explode(F.array(*keys)).alias("bucket"))
+    return nodes.withColumn("_bits", planes("signature")).select(
+        "node", "_bits.low", "_bits.high", F.explode(F.array(*keys)).alias("bucket"))
 
 
-def pivot_pairs(bands: DataFrame, salt: int) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of each bucket's members with two pivots of it.
+def likely(left: str, right: str) -> Column:
+    """Whether two sketches do not speak against the threshold.
 
-    Pivots are the first and last of the bucket in an order that differs by bucket and
-    ``salt``, so a large bucket makes two pairs per member, not all pairs, and a bucket
-    of up to three members makes all its pairs.
+    Of 64 components two bits agree with a probability of 0.85 or more if the similarity is
+    0.8; more than 21 disagree in fewer than one of ten thousand cases.
     """
-    mask = F.xxhash64("bucket", F.lit(salt))
-    order = F.col("node").bitwiseXOR(mask)
-    pivots = written(
-        bands.groupBy("bucket").agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
-        .where("lo < hi")
-        .select("bucket", F.array(F.col("lo").bitwiseXOR(mask), F.col("hi").bitwiseXOR(mask))
-                .alias("pivots")), "pivots")
-    met = bands.join(pivots, "bucket").select("node", F.explode("pivots").alias("pivot"))
-    return met.where("node != pivot").select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-
-
-@F.pandas_udf(T.DoubleType())
-def agreement(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Share of equal components of two signatures."""
-    for left, right in batches:
-        a = np.frombuffer(b"".join(left), dtype=np.uint32).reshape(len(left), COMPONENTS)
-        b = np.frombuffer(b"".join(right), dtype=np.uint32).reshape(len(right), COMPONENTS)
-        yield pd.Series((a == b).mean(axis=1))
+    differ = [F.col(f"{left}{p}").bitwiseXOR(F.col(f"{right}{p}")) for p in ("low", "high")]
+    return F.bit_count(differ[0].bitwiseOR(differ[1])) <= MOST_DIFFERENT
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose signatures do not speak against the threshold.
+def pivot_pairs(bands: DataFrame, salts: Sequence[int] = (0,), *others: str,
+                where: Callable[[str, str], Column] | None = None) -> DataFrame:
+    """Distinct pairs ``a`` < ``b`` of each bucket's members with pivots of it.
 
-    Of 80 components that agree with a probability of 0.8, fewer than 0.55 do so in
-    less than one of a million cases.
+    Pivots are the first and last of the bucket in an order that differs by bucket and
+    salt: a large bucket makes two pairs per member and salt, not all pairs, and a
+    bucket of up to three members makes all its pairs. ``where`` takes the prefixes of a
+    member's and a pivot's columns ``others`` and may rule pairs out at once.
     """
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("_left"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("_right"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.where(agreement("_left", "_right") >= threshold - 0.25).select("a", "b")
-
-
-def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different classes; a node without a label is its own."""
-    left = labels.select(F.col("node").alias("a"), F.col("label").alias("_la"))
-    right = labels.select(F.col("node").alias("b"), F.col("label").alias("_lb"))
-    both = pairs.join(left, "a", "left").join(right, "b", "left")
-    return both.where(F.coalesce("_la", "a") != F.coalesce("_lb", "b")).select("a", "b")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs of which the whole texts' multisets overlap by ``threshold`` or more."""
+    ends = []
+    for salt in salts:
+        order = F.col("node").bitwiseXOR(F.xxhash64("bucket", F.lit(salt)))
+        whole = F.struct(order.alias("order"), "node", *others)
+        ends += [F.min(whole), F.max(whole)]
+    pivots = written(
+        bands.groupBy("bucket").agg(F.array_distinct(F.transform(
+            F.array(*ends), lambda e: F.struct(e["node"].alias("node"), *[
+                e[o].alias(o) for o in others]))).alias("pivots"))
+        .where(F.size("pivots") > 1), "pivots")
+    met = bands.join(pivots, "bucket").withColumn("p", F.explode("pivots"))
+    met = met.where(F.col("node") != F.col("p.node"))
+    if where is not None:
+        met = met.where(where("", "p."))
+    return met.select(F.least("node", "p.node").alias("a"),
+                      F.greatest("node", "p.node").alias("b")).distinct()
+
+
+def all_pairs(bands: DataFrame, where: Callable[[str, str], Column]) -> DataFrame:
+    """Distinct pairs of all members of small buckets."""
+    left, right = bands.alias("l"), bands.alias("r")
+    met = left.join(right, (F.col("l.bucket") == F.col("r.bucket"))
+                    & (F.col("l.node") < F.col("r.node")) & where("l.", "r."))
+    return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+
+
+def apart(left: str, right: str) -> Column:
+    """Likely pairs of different classes."""
+    return (F.col(f"{left}label") != F.col(f"{right}label")) & likely(left, right)
+
+
+def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """The stored pairs of which the whole texts' multisets overlap by ``threshold`` or more."""
+    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    needed = written(reps.join(met, "node"), "needed")
+    own = docs.select("doc_id", text_of().alias("text")).withColumn("rep_digest", F.md5("text"))
+    texts = own.join(needed, (own["rep_digest"] == needed["rep_digest"])
+                     & own["doc_id"].eqNullSafe(needed["rep_id"])).select("node", "text")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("_left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("_right"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(overlap("_left", "_right") >= threshold).select("a", "b")
+    alike = both.where(overlap("_left", "_right") >= threshold).select("a", "b")
+    return written(alike.distinct(), "alike")
 
 
 def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -198,8 +220,10 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     are not looked at. No rows give no rows.
 
     Large buckets are not expanded into pairs: members meet two pivots in each of 20
-    bands, different ones in each; then members of the same bucket that are still in
-    different classes go on meeting new pivots until a round finds no further pair.
+    bands, different ones in each. Of buckets that then still hold different classes,
+    small ones compare all members of different classes, and large ones go on with new
+    pivots until a round finds no further pair. Pairs are ruled out by two bits of each
+    signature component first and decided by the whole texts.
     """
     signed = written(
         docs.select("doc_id", text_of().alias("text"))
@@ -211,30 +235,23 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     reps = groups.select(F.col("first.uid").alias("node"), F.col("first.doc_id").alias("rep_id"),
                          F.col("digest").alias("rep_digest"))
     nodes = reps.select("node").join(
-        signed.select(F.col("uid").alias("node"), "signature"), "node")
-    nodes = written(nodes.where(F.col("signature").isNotNull()), "nodes")
+        signed.where(F.col("signature").isNotNull()).select(
+            F.col("uid").alias("node"), "signature"), "node")
     bands = written(band_rows(nodes), "bands")
-    edges, labels, salt, members = None, None, 0, bands
+    edges = labels = None
+    pairs = pivot_pairs(bands, (0,), "low", "high", where=likely)
+    turn = 0
     while True:
-        pairs = pivot_pairs(members, salt)
-        if labels is not None:
-            pairs = across(pairs, labels)
-        pairs = written(likely(pairs, nodes, threshold), "pairs")
-        if not pairs.take(1):
-            break
-        met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        needed = written(reps.join(met, "node"), "needed")
-        own = docs.select("doc_id", text_of().alias("text")).withColumn("rep_digest", F.md5("text"))
-        texts = own.join(
-            needed, (own["rep_digest"] == needed["rep_digest"])
-            & own["doc_id"].eqNullSafe(needed["rep_id"])).select("node", "text")
-        found = written(verified(pairs, texts, threshold).distinct(), "alike")
+        found = verified(docs, written(pairs, "pairs"), reps, threshold)
         if not found.take(1):
             break
         edges = found if edges is None else edges.unionByName(found)
         labels = components(edges)
-        members = unsettled(bands, labels)
-        salt += 1
+        small, large = unsettled(bands, labels)
+        turn += 1
+        pairs = pivot_pairs(large, (2 * turn, 2 * turn + 1), "label", "low", "high", where=apart)
+        if turn == 1:
+            pairs = pairs.union(all_pairs(small, apart)).distinct()
     if labels is None:
         labels = docs.sparkSession.createDataFrame([], "node long, label long")
     known = groups.select("digest", "first", "n", F.col("first.uid").alias("node")).join(
@@ -251,15 +268,16 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     return rows, classes.select("digest", "class_id")
 
 
-def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """Band rows of buckets whose members are in different classes."""
+def unsettled(bands: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Band rows, with labels, of small and of large buckets that hold different classes."""
     placed = written(
-        bands.join(labels, "node", "left").select(
-            "node", "bucket", F.coalesce("label", "node").alias("label")), "placed")
+        bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
     split = written(
-        placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        .where("lo < hi").select("bucket"), "split")
-    return written(placed.join(split, "bucket").select("node", "bucket"), "unsettled")
+        placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                     F.count(F.lit(1)).alias("members"))
+        .where("lo < hi").select("bucket", "members"), "split")
+    left = written(placed.join(split, "bucket"), "unsettled")
+    return left.where(F.col("members") <= SMALL_BUCKET), left.where(F.col("members") > SMALL_BUCKET)
 
 
 def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:

@@ -298,7 +298,7 @@ def edit_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "edit-nodes")
     met = written(nodes.select("node", F.explode(bands(walk_fingerprints("text"))).alias("bucket")),
                   "edit-bands")
-    pairs = pivot_pairs(met, 0)
+    pairs = pivot_pairs(met)
     left = nodes.select(F.col("node").alias("a"), F.col("text").alias("_left"))
     right = nodes.select(F.col("node").alias("b"), F.col("text").alias("_right"))
     longer = F.greatest(F.length("_left"), F.length("_right"))
