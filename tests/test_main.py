@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import gzip
+import os
+import subprocess
+import sys
 
+import pyarrow.parquet as pq
 import pytest
 
 from tests.conftest import values
@@ -20,7 +24,7 @@ def test_from_files_to_report(spark, tmp_path, layout):
     green = write_csv(tmp_path / "green_tripdata_2024-01.csv.gz", GREEN_FILE, GREEN_ROW)
 
     def job(*argv):
-        run(spark, parser().parse_args(argv))
+        run(spark, parser().parse_args(["--root", str(tmp_path / "tables"), *argv]))
 
     job("merge", "--service", "yellow", "--path", january)
     job("merge", "--service", "green", "--path", green)
@@ -44,10 +48,44 @@ def test_from_files_to_report(spark, tmp_path, layout):
         spark.sql(f"DROP TABLE {table}")
 
 
+@pytest.mark.parametrize("layout", [[], ["--by-day"]])
+def test_jobs_of_separate_processes(tmp_path, layout):
+    """Each job starts with an empty catalog and finds the tables under the root."""
+    january = write_csv(tmp_path / "yellow_tripdata_2024-01.csv.gz", YELLOW_FILE, YELLOW_ROW)
+    later = YELLOW_ROW.replace("2024-01-01", "2024-02-01")
+    february = write_csv(tmp_path / "yellow_tripdata_2024-02.csv.gz", YELLOW_FILE, YELLOW_ROW, later)
+    root = tmp_path / "tables"
+
+    def job(*argv):
+        code = ("import sys; from tripflow.__main__ import main; main(sys.argv[1:])")
+        done = subprocess.run(
+            [sys.executable, "-c", code, "--root", str(root), *argv], capture_output=True, text=True,
+            cwd=tmp_path, env=os.environ | {
+                "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false "
+                                       "--conf spark.sql.shuffle.partitions=2 pyspark-shell"})
+        assert done.returncode == 0, done.stderr[-3000:]
+
+    job("merge", "--service", "yellow", "--path", january)
+    job("increment", "--services", "yellow", *layout)
+    job("merge", "--service", "yellow", "--path", february)
+    job("merge", "--service", "yellow", "--path", february)
+    job("increment", "--services", "yellow")
+    job("report", "--start-time", "2024-01-01 00:00:00")
+    job("report", "--start-time", "2024-01-01 00:00:00")
+
+    def rows(table):
+        return pq.read_table(root / table).num_rows
+
+    assert rows("yellow_tripdata") == 2 and rows("trip_data") == 2
+    assert rows("trip_data_report_2024") == 2
+
+
 def test_import_files(spark, tmp_path):
     (tmp_path / "zones.csv").write_text("LocationID,Zone\n1,A\n")
     (tmp_path / "rates.csv.gz").write_bytes(gzip.compress(b"id\n5\n"))
-    run(spark, parser().parse_args(["import-files", "--path", f"{tmp_path}/*.csv*"]))
+    run(spark, parser().parse_args(
+        ["--root", str(tmp_path / "tables"), "import-files", "--path", f"{tmp_path}/*.csv*"]))
     assert values(spark.table("zones")) == [("1", "A")]
     assert values(spark.table("rates")) == [("5",)]
     spark.sql("DROP TABLE zones")

@@ -7,12 +7,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import SMALL, executed_plan_of, plan_of, values
+from tests.conftest import SMALL, executed_plan_of, values
 from tripflow import fixtures
 from tripflow.functions import concat_key
-from tripflow.operators import insert_only, profile_staging, with_row_id
-from tripflow.operators import merge
-from tripflow.operators.merge import MOST_RUNS, consecutive, on_days
+from tripflow.operators import days_of, insert_only, on_days, with_row_id
 from tripflow.plans import merge_into_table, staged_merge
 from tripflow.schema import SERVICE, database_types
 
@@ -46,8 +44,7 @@ def test_staging_columns_come_first(spark):
 
 def test_empty_staging(spark):
     target = with_row_id(rows(spark, [("a", 1)]), ["k"], "old")
-    day = F.lit("2024-01-01").cast("date")
-    new = staged_merge(rows(spark, []), target, ["k"], "new", staging_day=day, target_day=day)
+    new = staged_merge(rows(spark, []), target, ["k"], "new")
     assert new.count() == 0
 
 
@@ -58,44 +55,45 @@ def test_unhashed_ids(spark):
 
 
 @pytest.mark.parametrize("held", [True, False])
-def test_a_hot_key_is_found_and_not_shuffled(spark, held):
-    """A third of the rows share one id; the others are unique."""
-    raw = spark.range(30000, numPartitions=4).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
-        F.col("id").cast("int").alias("v"))
-    others = raw.where((F.col("v") % 2 == 1) & (F.col("k") != "hot"))
-    target = with_row_id(
-        others.unionByName(rows(spark, [("hot", 0)] * 5 if held else [])), ["k"], "old")
-    staging = with_row_id(raw, ["k"], "new")
-    profile = profile_staging(staging, ["k"], heavy_rows=1000)
-    hot_id = staging.where("k = 'hot'").first()["unique_row_id"]
-    assert profile.heavy == [hot_id]
-
-    new = insert_only(staging, target, heavy=profile.heavy)
-    plain = insert_only(staging, target)
-    assert values(new.select("k", "v")) == values(plain.select("k", "v"))
-    assert new.where("k = 'hot'").count() == (0 if held else 10000)
-    assert "BroadcastHashJoin" in plan_of(new)
-
-
-def test_no_heavy_keys_among_unique_rows(spark):
-    staging = with_row_id(spark.range(20000).select(F.col("id").cast("string").alias("k")),
-                          ["k"], "new")
-    assert profile_staging(staging, ["k"], heavy_rows=100).heavy == []
-
-
-def test_few_rows_make_no_key_heavy(spark):
-    staging = with_row_id(rows(spark, [("a", 1)] * 50), ["k"], "new")
-    assert profile_staging(staging, ["k"]).heavy == []
-    assert len(profile_staging(staging, ["k"], heavy_rows=50).heavy) == 1
-
-
-def test_merging_with_heavy_keys_equals_merging_without(spark):
-    raw = spark.range(5000).select((F.col("id") % 7).cast("string").alias("k"),
-                                   F.col("id").cast("int").alias("v"))
-    held = with_row_id(raw.where("k in ('1', '2')").limit(10), ["k"], "old")
-    split = staged_merge(raw, held, ["k"], "new", heavy_rows=100)
-    assert values(split) == values(staged_merge(raw, held, ["k"], "new"))
+def test_a_hot_key_is_split_by_adaptive_execution(spark, held):
+    """Three quarters of the rows share one id, which the target may hold many times."""
+    keep = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keep}
+    raw = spark.range(40000, numPartitions=8).select(
+        F.when(F.col("id") % 4 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("int").alias("v"), F.sha2(F.col("id").cast("string"), 512).alias("more"))
+    others = raw.where((F.col("v") % 8 == 0) & (F.col("k") != "hot"))
+    hot = rows(spark, [("hot", 0)] * 50 if held else [])
+    target = with_row_id(others.select("k", "v").unionByName(hot), ["k"], "old")
+    new = insert_only(with_row_id(raw, ["k"], "new"), target)
+    try:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        plan = executed_plan_of(new)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan and "LeftAnti" in plan
+    assert new.count() == 5000 + (0 if held else 30000)
+
+
+@pytest.mark.parametrize("days", [3, 4500])
+def test_a_key_without_the_day_is_compared_with_all_days(spark, days):
+    """The same id on another day is the same row, however many days there are."""
+    day = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).cast("timestamp_ntz")
+    raw = spark.range(days).select(F.col("id").cast("string").alias("k"), day.alias("t"))
+    target = with_row_id(raw.select("k", (F.col("t") + F.expr("INTERVAL 20 YEARS")).alias("t")),
+                         ["k"], "old")
+    new = staged_merge(raw, target, ["k"], "new", time_col="t", target_day=F.to_date("t"))
+    assert new.count() == 0
+    other = with_row_id(raw.select("k", (F.col("t") + F.expr("INTERVAL 20 YEARS")).alias("t")),
+                        ["k", "t"], "old")
+    new = staged_merge(raw, other, ["k", "t"], "new", time_col="t", target_day=F.to_date("t"))
+    assert new.count() == days
 
 
 keys = st.one_of(st.none(), st.sampled_from("abc"))
@@ -104,55 +102,36 @@ pairs = st.lists(st.tuples(keys, st.integers(0, 3)), max_size=12)
 
 @settings(max_examples=8, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(pairs, pairs, st.sampled_from([2, 1_000_000]))
-def test_merge_equals_brute_force(spark, staged, held, heavy_rows):
+@given(pairs, pairs)
+def test_merge_equals_brute_force(spark, staged, held):
     """Rows of keys the target lacks, each as often as staged; a null key is empty text."""
     known = {k or "" for k, _ in held}
     wanted = sorted((p for p in staged if (p[0] or "") not in known), key=repr)
     new = staged_merge(rows(spark, staged), with_row_id(rows(spark, held), ["k"], "old"), ["k"],
-                       "new", heavy_rows=heavy_rows)
+                       "new")
     assert values(new.select("k", "v")) == wanted
 
 
-@pytest.mark.parametrize("most", [0, 2, 250_000])
-def test_few_target_rows_are_broadcast_and_many_are_not(spark, monkeypatch, most):
-    monkeypatch.setattr(merge, "MOST_BROADCAST", most)
-    target = with_row_id(rows(spark, [("a", 1), ("a", 2), ("c", 3)]), ["k"], "old")
-    raw = rows(spark, [("a", 1), ("b", 1), ("b", 1)])
-    day = F.lit("2024-01-01").cast("date")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        new = staged_merge(raw, target, ["k"], "new", staging_day=day, target_day=day)
-        assert merged(new) == [("b", 1), ("b", 1)]
-        assert ("BroadcastHashJoin" in plan_of(new)) == (most >= 3)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
-def test_null_keys_survive_the_split(spark):
+def test_null_keys_are_kept(spark):
     staging = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "id string, v int")
     target = spark.createDataFrame([("a",), (None,)], "id string")
-    found = insert_only(staging, target, "id", heavy=["b"])
+    found = insert_only(staging, target, "id")
     assert values(found.select("v")) == [(1,), (3,)]
 
 
 def test_days_include_rows_without_one(spark):
     staging = with_row_id(spark.createDataFrame(
         [("a", "2024-01-01"), ("b", None), ("c", "2024-01-01")], "k string, d string"), ["k"], "f")
-    days = profile_staging(staging, ["k"], day=F.col("d").cast("date")).days
-    assert [str(d) for d in days] == ["2024-01-01", "None"]
+    days = days_of(staging, F.col("d").cast("date"))
+    assert sorted(map(str, days)) == ["2024-01-01", "None"]
     kept = on_days(staging, F.col("d").cast("date"), days)
     assert kept.count() == 3
     assert on_days(staging, F.col("d").cast("date"), []).count() == 0
-    assert on_days(staging, F.col("d").cast("date"), None).count() == 3
 
 
 def test_many_scattered_days(spark):
-    every_other = [date(2024, 1, 1) + timedelta(days=2 * i) for i in range(100)]
-    assert len(consecutive(every_other)) == 100 > MOST_RUNS
-    assert consecutive(every_other[:1] + [date(2024, 1, 2)]) == [(date(2024, 1, 1), date(2024, 1, 2))]
-    df = spark.range(200).select(F.expr("date_add(DATE'2024-01-01', CAST(id AS INT))").alias("d"))
+    every_other = [date(2024, 1, 1) + timedelta(days=2 * i) for i in range(3000)]
+    df = spark.range(6000).select(F.expr("date_add(DATE'2024-01-01', CAST(id AS INT))").alias("d"))
     for days in (every_other, every_other[:10]):
         found = on_days(df, F.col("d"), [*days, None])
         assert [r["d"] for r in found.orderBy("d").collect()] == days
@@ -181,18 +160,17 @@ def test_merge_into_table_twice_adds_nothing(spark, tmp_path):
         spark.sql(f"DROP TABLE {table}")
 
 
-def test_nothing_is_shuffled_into_days_the_target_lacks(spark):
+def test_no_join_is_left_for_days_the_target_lacks(spark):
     df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-02-01"), ("b", "2024-02-01")],
                                "k string, d string").withColumn("d", F.col("d").cast("date"))
     target = with_row_id(df.where("k = 'a'"), ["k", "d"], "old")
-    day = F.col("d")
-    new = staged_merge(df.where("k = 'b'"), target, ["k", "d"], "new", staging_day=day,
-                       target_day=day)
-    assert new.count() == 2
-    assert "Exchange" not in plan_of(new) and "Join" not in plan_of(new)
-    both = staged_merge(df, target, ["k", "d"], "new", staging_day=day, target_day=day)
+    options = {"time_col": "d", "target_day": F.col("d")}
+    new = staged_merge(df.where("k = 'b'"), target, ["k", "d"], "new", **options)
+    final = executed_plan_of(new).split("== Initial Plan ==")[0]
+    assert new.count() == 2 and "Join" not in final
+    both = staged_merge(df, target, ["k", "d"], "new", **options)
     assert values(both.select("k")) == [("b",), ("b",)]
-    one = staged_merge(df, target, ["k", "d"], "new", staging_day=day, target_day=day, dedupe=True)
+    one = staged_merge(df, target, ["k", "d"], "new", dedupe=True, **options)
     assert values(one.select("k")) == [("b",)]
 
 
@@ -224,8 +202,7 @@ def test_merge_reads_only_the_staging_days(spark, tmp_path):
     few = raw.where(F.to_date("lpep_pickup_datetime").isin("1998-01-05", "1998-01-06"))
     new = staged_merge(few, spark.table("green_pruned"), ["VendorID", "lpep_pickup_datetime",
                        "lpep_dropoff_datetime", "PULocationID", "DOLocationID"], "b.csv",
-                       staging_day=F.to_date("lpep_pickup_datetime"),
-                       target_day=F.col("pickup_date"))
+                       time_col="lpep_pickup_datetime", target_day=F.col("pickup_date"))
     plan = executed_plan_of(new)
     filters = [f.split("]")[0] for f in plan.split("PartitionFilters: [")[1:]]
     assert any("pickup_date" in f and "1998-01-05" in f and "1998-01-06" in f for f in filters)

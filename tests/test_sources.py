@@ -135,3 +135,14 @@ def test_unknown_service_is_not_there():
     assert SERVICE["green"].table_name(2019, 3) == "green_tripdata_2019_03"
     assert SERVICE["green"].hashed_key[1] == "lpep_pickup_datetime"
     assert SERVICE["yellow"].hashed_key[1] == "tpep_pickup_datetime"
+
+
+@pytest.mark.parametrize("at, bad", [("fare_amount", "abc"), ("lpep_pickup_datetime", "soon")])
+def test_a_bad_value_in_a_green_file_fails_the_read(spark, tmp_path, at, bad):
+    values_ = GREEN_ROW.split(",")
+    values_[GREEN_FILE.fieldNames().index(at)] = bad
+    path = write_csv(tmp_path / "green.csv", GREEN_FILE, ",".join(values_) + ",extra,values")
+    with pytest.raises(Exception, match="bad value in"):
+        read_trip_files(spark, path, SERVICE["green"]).collect()
+    path = write_csv(tmp_path / "good.csv", GREEN_FILE, GREEN_ROW + ",extra,values")
+    assert read_trip_files(spark, path, SERVICE["green"]).count() == 1

@@ -15,6 +15,7 @@ from tripflow.sources import read_columns, read_query
 from tripflow.streaming import (
     decode_messages,
     replay_files,
+    read_complete,
     start_append,
     start_complete,
     start_console,
@@ -108,7 +109,9 @@ def test_windows_come_out_once_closed(spark, tmp_path):
 
 def test_complete_results_equal_the_batch_results(spark, tmp_path):
     write_batches(tmp_path / "in", ORDERED)
-    _, found = run(start_complete, stream_zone_pair_counts(replay(spark, tmp_path / "in")), tmp_path)
+    start_complete(stream_zone_pair_counts(replay(spark, tmp_path / "in")), str(tmp_path / "rows"),
+                   str(tmp_path / "checkpoint")).awaitTermination()
+    found = read_complete(spark, str(tmp_path / "rows"))
     batch = with_event_time(decode_messages(
         spark.read.text(str(tmp_path / "in")), SMALL_MESSAGE), "lpep_dropoff_datetime")
     keys = ["PULocationID", "DOLocationID"]

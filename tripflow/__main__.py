@@ -5,13 +5,14 @@ from __future__ import annotations
 import argparse
 from datetime import timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.operators.report import report_table_name
 from tripflow.plans import load_files_to_tables, load_increment, merge_into_table, write_report
 from tripflow.schema import SERVICE
 from tripflow.session import init_spark
-from tripflow.sinks import replace_table, write_jdbc
+from tripflow.sinks import register_stored, replace_table, write_jdbc
 from tripflow.sources import read_trip_files
 
 DAY = "pickup_date"
@@ -19,6 +20,8 @@ DAY = "pickup_date"
 
 def parser() -> argparse.ArgumentParser:
     main = argparse.ArgumentParser(prog="tripflow")
+    main.add_argument("--root", help="folder under which each table's files lie, so that jobs "
+                      "of other processes find them; the session's warehouse if left out")
     jobs = main.add_subparsers(dest="job", required=True)
 
     report = jobs.add_parser("report", help="write the monthly revenue of a time range")
@@ -50,28 +53,42 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    root = (args.root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+    def place(table: str) -> str:
+        return f"{root}/{table}"
+
+    def stored(table: str) -> DataFrame:
+        register_stored(spark, table, place(table))
+        return spark.table(table)
+
     if args.job == "report":
-        trips = spark.table(args.source_table)
-        write_report(trips, args.start_time, args.end_time, table=args.dest_table,
+        trips = stored(args.source_table)
+        table = args.dest_table or report_table_name(args.start_time)
+        write_report(trips, args.start_time, args.end_time, table=table, location=place(table),
                      day_col=DAY if DAY in trips.columns else None)
     elif args.job == "merge":
         service = SERVICE[args.service]
-        merge_into_table(spark, read_trip_files(spark, args.path, service),
-                         args.dest_table or service.table_name(), service.name, F.input_file_name())
+        table = args.dest_table or service.table_name()
+        merge_into_table(spark, read_trip_files(spark, args.path, service), table, service.name,
+                         F.input_file_name(), location=place(table))
     elif args.job == "increment":
-        raw = {s: spark.table(SERVICE[s].table_name()) for s in args.services if s in SERVICE}
+        raw = {s: stored(SERVICE[s].table_name()) for s in args.services if s in SERVICE}
         lookback = timedelta(days=args.lookback_days) if args.lookback_days else None
-        by_day = args.by_day or (spark.catalog.tableExists(args.dest_table)
-                                 and DAY in spark.table(args.dest_table).columns)
+        known = register_stored(spark, args.dest_table, place(args.dest_table))
+        by_day = DAY in spark.table(args.dest_table).columns if known else args.by_day
         load_increment(spark, raw, args.dest_table, by_day=by_day, partitions=args.partitions,
-                       lookback=lookback, raw_day=DAY)
+                       lookback=lookback, raw_day=DAY, location=place(args.dest_table))
     elif args.job == "import-files":
         login = {k: getattr(args, k) for k in ("user", "password", "driver") if getattr(args, k)}
 
         def to_database(df, table):
             write_jdbc(df, args.url, table, mode="overwrite", **login)
 
-        load_files_to_tables(spark, args.path, to_database if args.url else replace_table)
+        def to_table(df, table):
+            replace_table(df, table, location=place(table))
+
+        load_files_to_tables(spark, args.path, to_database if args.url else to_table)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -23,3 +23,12 @@ def concat_key(columns: Sequence[Column | str], sep: str = "") -> Column:
 def md5_key(columns: Sequence[Column | str], sep: str = "") -> Column:
     """Hex MD5 of :func:`concat_key`."""
     return F.md5(concat_key(columns, sep))
+
+
+def plain_number(column: Column | str) -> Column:
+    """An amount's digits without needless zeros or an exponent: ``12.5``, ``12``, ``0``.
+
+    So do databases print double precision numbers of up to fifteen digits.
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    return F.regexp_replace(value.cast("decimal(38,9)").cast("string"), r"\.?0+$", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.schema import SERVICE, TRIP_DATA, Service
@@ -27,8 +27,15 @@ def known_services(raw_by_service: Mapping[str, DataFrame]) -> dict[str, DataFra
 
 
 def union_services(raw_by_service: Mapping[str, DataFrame]) -> DataFrame:
-    """All known services' trips in one frame."""
+    """All known services' trips in one frame, without rows if none is known."""
     frames = [harmonize(raw, SERVICE[n]) for n, raw in known_services(raw_by_service).items()]
     if not frames:
-        raise ValueError(f"none of {sorted(raw_by_service)} is a known service")
+        return no_trips(raw_by_service)
     return reduce(DataFrame.unionByName, frames)
+
+
+def no_trips(raw_by_service: Mapping[str, DataFrame]) -> DataFrame:
+    """A frame of the common columns without rows."""
+    sessions = [raw.sparkSession for raw in raw_by_service.values()]
+    spark = sessions[0] if sessions else SparkSession.active()
+    return spark.createDataFrame([], TRIP_DATA)

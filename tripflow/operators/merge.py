@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,130 +29,27 @@ def with_row_id(
     )
 
 
-@dataclass(frozen=True)
-class StagingProfile:
-    """What one pass over the key columns tells about staging rows.
-
-    ``heavy`` holds row ids with too many rows for one task, usually none. ``days``
-    are the days the rows fall on, None among them for rows without one; it is None
-    altogether if not asked for or if there are more than ``MOST_DAYS``.
-    """
+def insert_only(staging: DataFrame, target: DataFrame, key: str = ROW_ID) -> DataFrame:
+    """Staging rows whose ``key`` is absent from the target.
 
-    heavy: list
-    days: list | None = None
+    Rows the target holds are left out whatever their other columns say. Rows that
+    share a key absent from the target are all kept.
 
+    One anti join straight over both shuffles, so that adaptive execution can split a
+    hot key, broadcast a side it finds small, and drop the join if a side is empty.
+    """
+    return staging.join(target.select(key), key, "left_anti")
 
-MOST_DAYS = 4096
-MOST_HEAVY = 1024
-# Hashed ids take some hundred bytes each in a broadcast table: 25 MB.
-MOST_BROADCAST = 250_000
-TRACKED = 16384
 
+def days_of(rows: DataFrame, day: Column) -> list:
+    """The days rows fall on, None among them for rows without one.
 
-def profile_staging(
-    staging: DataFrame,
-    key_cols: Sequence[Column | str],
-    key: str = ROW_ID,
-    day: Column | None = None,
-    heavy_rows: int = 1_000_000,
-) -> StagingProfile:
-    """Look through staging once, without shuffling rows or building row ids.
-
-    Combinations of the key columns with at least ``heavy_rows`` rows are found by
-    hash with mergeable sketches. A sketch tracks 16384 items, a few hundred
-    kilobytes, and finds every item with over 1/4000 of the rows, so a key it
-    misses is about as large as an ordinary shuffle partition of so much data.
-    Sketches and days merge in 64 groups before the last merge. There are fewer
-    than four million dates, which bounds the sets of days.
+    One row per day reaches the driver, so the calendar bounds it.
     """
-    hashed = F.xxhash64(*key_cols)
-    sketch = F.call_function("approx_top_k_accumulate", hashed, F.lit(TRACKED))
-    per_group = [sketch.alias("_sketch")]
-    if day is not None:
-        per_group += [F.collect_set(day).alias("_days"),
-                      F.count_if(day.isNull()).alias("_undated")]
-    top = F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch), {MOST_HEAVY})")
-    overall = [F.filter(top, lambda t: t["count"] >= heavy_rows)["item"].alias("hashes")]
-    if day is not None:
-        every_day = F.array_distinct(F.flatten(F.collect_list("_days")))
-        overall += [F.slice(every_day, 1, MOST_DAYS + 1).alias("days"),
-                    F.sum("_undated").alias("undated")]
-    # Grouped by a constant, so that no rows give no result: sketches cannot be
-    # combined from nothing.
-    found = (
-        staging.groupBy(F.expr("pmod(spark_partition_id(), 64)")).agg(*per_group)
-        .groupBy(F.lit("all")).agg(*overall).first()
-    )
-    if found is None:
-        return StagingProfile([], None if day is None else [])
-    heavy = []
-    if found["hashes"]:
-        wanted = staging.where(hashed.isin(found["hashes"]))
-        heavy = [r[0] for r in wanted.select(key).distinct().collect()]
-    days = None
-    if day is not None and len(found["days"] or []) <= MOST_DAYS:
-        days = list(found["days"] or []) + ([None] if found["undated"] else [])
-    return StagingProfile(heavy, days)
-
-
-def insert_only(
-    staging: DataFrame,
-    target: DataFrame,
-    key: str = ROW_ID,
-    heavy: Sequence = (),
-    target_rows: int | None = None,
-) -> DataFrame:
-    """Staging rows whose ``key`` is absent from the target.
+    return [r["day"] for r in rows.select(day.alias("day")).distinct().collect()]
 
-    Rows the target holds are left out whatever their other columns say. Rows that
-    share a key absent from the target are all kept.
-
-    The target sends each id once, so copies there cost nothing. Rows of the
-    ``heavy`` keys are not shuffled: which of those few keys the target holds is
-    broadcast to them, at most one row per heavy key.
 
-    Pass ``target_rows`` if it has been counted: with none nothing is joined, and up
-    to ``MOST_BROADCAST`` ids are broadcast, so that staging is not shuffled at all.
-    """
-    if target_rows == 0:
-        return staging
-    if target_rows is not None and target_rows <= MOST_BROADCAST:
-        return staging.join(F.broadcast(target.select(key)), key, "left_anti")
-    known = target.select(key).distinct()
-    if not heavy:
-        return staging.join(known, key, "left_anti")
-    is_heavy = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))
-    usual = staging.where(~is_heavy).join(known, key, "left_anti")
-    held = F.broadcast(known.where(is_heavy))
-    return usual.unionByName(staging.where(is_heavy).join(held, key, "left_anti"))
-
-
-def on_days(table: DataFrame, day: Column, days: Sequence | None) -> DataFrame:
-    """Rows of the listed days; the whole table for None."""
-    if days is None:
-        return table
-    runs = consecutive([d for d in days if d is not None])
-    if len(runs) <= MOST_RUNS:
-        wanted = F.lit(False)
-        for first, last in runs:
-            wanted = wanted | day.between(F.lit(first), F.lit(last))
-    else:
-        wanted = day.isin([d for d in days if d is not None])
-    if None in days:
-        wanted = wanted | day.isNull()
-    return table.where(wanted)
-
-
-# Above this a list of days makes a flatter predicate than a chain of ranges.
-MOST_RUNS = 64
-
-
-def consecutive(days: Sequence[date]) -> list[tuple[date, date]]:
-    """First and last day of each unbroken run of days."""
-    runs: list[tuple[date, date]] = []
-    for day in sorted(days):
-        if runs and day - runs[-1][1] <= timedelta(days=1):
-            runs[-1] = (runs[-1][0], day)
-        else:
-            runs.append((day, day))
-    return runs
+def on_days(table: DataFrame, day: Column, days: Sequence) -> DataFrame:
+    """Rows of the listed days; None stands for rows without a day."""
+    wanted = day.isin([d for d in days if d is not None])
+    return table.where(wanted | day.isNull() if None in days else wanted)

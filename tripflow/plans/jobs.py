@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -13,19 +14,19 @@ from pyspark.sql.types import StructType
 
 from tripflow.functions.json_fields import field_or_default
 from tripflow.functions.keys import md5_key
-from tripflow.operators.harmonize import harmonize, known_services
+from tripflow.operators.harmonize import harmonize, known_services, no_trips
 from tripflow.operators.marks import latest_marks
 from tripflow.operators.merge import (
     ROW_ID,
+    days_of,
     insert_only,
     on_days,
-    profile_staging,
     with_row_id,
 )
 from tripflow.operators.report import monthly_revenue, report_table_name, report_year
 from tripflow.schema import SERVICE, TRIP_DATA
 from tripflow.sinks.tables import append_table, ensure_table, replace_table
-from tripflow.sources.files import read_csv_files
+from tripflow.sources.files import list_paths, read_csv_files
 from tripflow.sources.tables import Moment, read_since
 
 
@@ -38,32 +39,23 @@ def staged_merge(
     make_key: Callable[..., Column] = md5_key,
     sep: str = "",
     dedupe: bool = False,
-    heavy_rows: int = 1_000_000,
-    staging_day: Column | None = None,
+    time_col: str | None = None,
     target_day: Column | None = None,
 ) -> DataFrame:
     """Rows of ``raw``, with row id and file name, that the target lacks.
 
-    Given both day columns, only target rows of the days found in ``raw`` are
-    compared. They are counted first, which on a table partitioned by day reads file
-    footers only: without any, as when a new month arrives, nothing is joined or
-    shuffled, and few are broadcast. Comparing by day is exact if the day is part of
-    the key, short of ids that collide across days for want of a separator.
-
     Rows that share an id new to the target are all kept; ``dedupe`` keeps one of them.
 
-    One pass over the key columns runs at once, for the days and for keys with at
-    least ``heavy_rows`` rows, which are kept out of the shuffle.
+    If ``time_col`` is among the key columns, rows of different days cannot be the same,
+    short of ids that collide for want of a separator: given ``target_day`` as well,
+    only target rows of the days found in ``raw`` are compared. The days are found at
+    once from that one column. Otherwise the whole target is compared.
     """
     staging = with_row_id(raw, key_cols, source_name, make_key=make_key, sep=sep)
-    by_day = staging_day is not None and target_day is not None
-    profile = profile_staging(staging, key_cols, day=staging_day if by_day else None,
-                              heavy_rows=heavy_rows)
-    target_rows = None
-    if by_day:
-        target = on_days(target, target_day, profile.days)
-        target_rows = target.count()
-    new = insert_only(staging, target, ROW_ID, profile.heavy, target_rows)
+    in_key = time_col in [c for c in key_cols if isinstance(c, str)]
+    if in_key and target_day is not None:
+        target = on_days(target, target_day, days_of(raw, F.to_date(time_col)))
+    new = insert_only(staging, target, ROW_ID)
     return new.dropDuplicates([ROW_ID]) if dedupe else new
 
 
@@ -94,14 +86,13 @@ def merge_into_table(
     day_of = service.pickup if by_day else None
     ensure_table(spark, table, schema or service.table_schema, day_of=day_of, day_col=day_col,
                  location=location)
-    pickup_day = F.to_date(service.pickup)
     new = staged_merge(
         raw,
         spark.table(table),
         key_cols or service.hashed_key,
         source_name,
-        staging_day=pickup_day,
-        target_day=F.col(day_col) if by_day else pickup_day,
+        time_col=service.pickup,
+        target_day=F.col(day_col) if by_day else F.to_date(service.pickup),
         **options,
     )
     append_table(new, table, day_of=day_of, day_col=day_col, partitions=partitions)
@@ -124,17 +115,19 @@ def harmonize_new_rows(
 
     Rows at or before the mark are missed by this rule. With ``lookback`` that span
     before the mark is read again and compared with the target by row id, so late
-    rows are found and known rows are not repeated.
+    rows are found and known rows are not repeated. ``raw_day`` names the day column
+    of raw tables that have it. Without a known service there are no rows.
     """
     known = known_services(raw_by_service)
     if not known:
-        raise ValueError(f"none of {sorted(raw_by_service)} is a known service")
+        return no_trips(raw_by_service)
     if marks is None:
         marks = latest_marks(target, list(known), day_col=target_day)
     if lookback:
         marks = {s: str(datetime.fromisoformat(m) - lookback) for s, m in marks.items()}
     new = reduce(DataFrame.unionByName, [
-        harmonize(read_since(raw, SERVICE[s].pickup, marks[s], raw_day), SERVICE[s])
+        harmonize(read_since(raw, SERVICE[s].pickup, marks[s],
+                             raw_day if raw_day in raw.columns else None), SERVICE[s])
         for s, raw in known.items()
     ])
     if not lookback or target is None:
@@ -146,8 +139,7 @@ def harmonize_new_rows(
     ])
     ids = recent.select(md5_key(HARMONIZED_KEY, "|").alias(ROW_ID))
     keyed = new.withColumn(ROW_ID, md5_key(HARMONIZED_KEY, "|"))
-    heavy = profile_staging(keyed, HARMONIZED_KEY).heavy
-    return insert_only(keyed, ids, ROW_ID, heavy).drop(ROW_ID)
+    return insert_only(keyed, ids, ROW_ID).drop(ROW_ID)
 
 
 def load_increment(
@@ -200,22 +192,31 @@ def write_report(
 
 
 def load_files_to_tables(
-    spark: SparkSession, paths: str | Sequence[str], write: Callable[[DataFrame, str], None]
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    write: Callable[[DataFrame, str], None],
+    parallel: int = 4,
 ) -> list[str]:
-    """Write each CSV file to the table named like the file up to its first dot.
+    """Write each CSV file or folder to the table named like it up to its first dot.
 
-    ``paths`` is a glob or a list. ``write`` takes a frame and a table name, for
-    instance ``replace_table`` or a database writer. Only the list of files is
-    handled on the driver.
+    ``paths`` is a glob or a list. Files of the same table name are loaded together, by
+    column name. ``write`` takes a frame and a table name, for instance
+    ``replace_table`` or a database writer; ``parallel`` tables are written at a time.
+    Only the list of files is handled on the driver.
     """
-    if isinstance(paths, str):
-        paths = sorted(spark.read.text(paths).inputFiles())
-    names = []
-    for path in paths:
+    found = list_paths(spark, paths) if isinstance(paths, str) else paths
+    sources: dict[str, list[str]] = {}
+    for path in found:
         name = posixpath.basename(path.rstrip("/")).split(".")[0]
-        write(read_csv_files(spark, path).drop("filename"), name)
-        names.append(name)
-    return names
+        sources.setdefault(name, []).append(path)
+
+    def load(name: str) -> str:
+        frames = [read_csv_files(spark, path).drop("filename") for path in sources[name]]
+        write(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), name)
+        return name
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(load, sources))
 
 
 def project_with_defaults(

@@ -7,6 +7,8 @@ engines are compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,7 @@ from tripflow.sinks import (
     encode_messages,
     ensure_table,
     replace_table,
+    truncate_table,
     write_json_lines,
     write_parquet,
 )
@@ -65,6 +68,7 @@ from tripflow.sources import (
 )
 from tripflow.streaming import (
     decode_messages,
+    read_complete,
     replay_files,
     start_append,
     start_complete,
@@ -183,6 +187,19 @@ def report_table(spark, sf_dir):
     return comparable(spark.table(table))
 
 
+@query(f"""
+WITH {TRIPS} SELECT {REVENUE_SQL} FROM trips WHERE year(pickup_datetime) = 1997 GROUP BY ALL""")
+def report_from_days(spark, sf_dir):
+    """A year's report over a table partitioned by day, of which only its days are read."""
+    source, place = _new_table(spark, "trip_days")
+    ensure_table(spark, source, TRIP_DATA, day_of="pickup_datetime", location=place)
+    append_table(fixtures.trips(spark, sf_dir), source, day_of="pickup_datetime")
+    table, location = _new_table(spark, "report")
+    write_report(spark.table(source), "1997-01-01", table=table, location=location,
+                 day_col="pickup_date")
+    return comparable(spark.table(table))
+
+
 @query(f"WITH {TRIPS} SELECT {REVENUE_SQL} FROM trips GROUP BY ALL")
 def monthly_revenue_all(spark, sf_dir):
     """The report over everything there is."""
@@ -245,6 +262,17 @@ def trips_on_day(spark, sf_dir):
     return count_where(fixtures.trips(spark, sf_dir), on_day("1996-10-15", "pickup_datetime"))
 
 
+@query(f"""
+WITH {TRIPS} SELECT count(*) AS row_count FROM trips
+WHERE CAST(pickup_datetime AS DATE) = DATE '1996-10-15'
+  AND CAST(dropoff_datetime AS DATE) = DATE '1996-10-16'""")
+def trips_within_day(spark, sf_dir):
+    """Both times on one day, dropoff times being moved back by a day."""
+    trips = fixtures.trips(spark, sf_dir).withColumn(
+        "dropoff_datetime", F.col("dropoff_datetime") - F.expr("INTERVAL 1 DAY"))
+    return count_where(trips, on_day("1996-10-15", "pickup_datetime", "dropoff_datetime"))
+
+
 @query(f"""
 WITH {TRIPS} SELECT max((epoch(dropoff_datetime) - epoch(pickup_datetime)) / 3600.0)
   AS longest_hours FROM trips""")
@@ -344,6 +372,47 @@ def incremental_load(spark, sf_dir):
     return comparable(_whole_numbers_as_int(spark.table(table)))
 
 
+@query(f"""
+WITH {TRIPS}, {LOADED_SQL}, {MARKS_SQL}
+SELECT {ALL_TRIP_COLUMNS}, CAST(pickup_datetime AS DATE) AS pickup_date FROM (
+  SELECT * FROM loaded UNION ALL
+  SELECT trips.* FROM trips JOIN marks USING (service_type)
+  WHERE pickup_datetime > latest_datetime)""")
+def incremental_load_by_day(spark, sf_dir):
+    """The same into a table partitioned by day, by twenty tasks."""
+    table, location = _new_table(spark, "trip_data")
+    ensure_table(spark, table, TRIP_DATA, day_of="pickup_datetime", location=location)
+    append_table(_loaded(spark, sf_dir), table, day_of="pickup_datetime")
+    load_increment(spark, fixtures.raw_by_service(spark, sf_dir), table, by_day=True,
+                   partitions=20)
+    return comparable(_whole_numbers_as_int(spark.table(table)))
+
+
+LATE_ID_SQL = """concat_ws('|', service_type, VendorID, CAST(pickup_datetime AS VARCHAR),
+  CAST(dropoff_datetime AS VARCHAR), PULocationID, DOLocationID)"""
+
+
+@query(f"""
+WITH {TRIPS}, first_load AS (SELECT * FROM trips
+  WHERE pickup_datetime < TIMESTAMP '1999-01-01' AND CAST(PULocationID AS INT) % 3 > 0),
+marks AS (SELECT service_type, max(pickup_datetime) AS mark FROM first_load GROUP BY service_type)
+SELECT {ALL_TRIP_COLUMNS} FROM first_load
+UNION ALL SELECT trips.* REPLACE ({MONEY_AS_DOUBLE}) FROM trips JOIN marks USING (service_type)
+WHERE pickup_datetime > mark - INTERVAL 200 DAY AND NOT EXISTS (
+  SELECT 1 FROM (SELECT {LATE_ID_SQL} AS id FROM first_load) t
+  WHERE t.id = {LATE_ID_SQL.replace("service_type", "trips.service_type")})""")
+def lookback_late_rows(spark, sf_dir):
+    """Rows that came late, found by reading a span before the marks again."""
+    table, location = _new_table(spark, "trip_data")
+    trips = fixtures.trips(spark, sf_dir)
+    early = F.col("pickup_datetime") < F.lit("1999-01-01").cast("timestamp_ntz")
+    ensure_table(spark, table, TRIP_DATA, location=location)
+    append_table(trips.where(early & (F.col("PULocationID").cast("int") % 3 > 0)), table)
+    load_increment(spark, fixtures.raw_by_service(spark, sf_dir), table,
+                   lookback=timedelta(days=200))
+    return comparable(_whole_numbers_as_int(spark.table(table)))
+
+
 @query(f"""
 WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips
 WHERE service_type = 'yellow' AND pickup_datetime >
@@ -372,15 +441,20 @@ def row_id_md5(spark, sf_dir):
     return fixtures.trips(spark, sf_dir).select(md5_key(KEY).alias("unique_row_id"))
 
 
+PLAIN_NUMBER_SQL = r"regexp_replace(CAST({} AS VARCHAR), '\.?0+$', '')"
+
+
 @query(f"""
-WITH {TRIPS} SELECT concat(VendorID, CAST(pickup_datetime AS VARCHAR),
+WITH {TRIPS} SELECT service_type, concat(VendorID, CAST(pickup_datetime AS VARCHAR),
   CAST(dropoff_datetime AS VARCHAR), PULocationID, DOLocationID,
-  CAST(CAST(fare_amount AS DECIMAL(18,2)) AS VARCHAR),
-  CAST(CAST(trip_distance AS DECIMAL(18,2)) AS VARCHAR)) AS unique_row_id FROM trips""")
+  {PLAIN_NUMBER_SQL.format("fare_amount")}, {PLAIN_NUMBER_SQL.format("trip_distance")}
+  ) AS unique_row_id FROM trips""")
 def row_id_concat(spark, sf_dir):
-    amounts = [F.col(c).cast("decimal(18,2)") for c in ("fare_amount", "trip_distance")]
-    return fixtures.trips(spark, sf_dir).select(
-        concat_key([*KEY, *amounts]).alias("unique_row_id"))
+    """The unhashed ids of both services' raw rows."""
+    ids = [fixtures.raw_trips(spark, sf_dir, name).select(
+        F.lit(name).alias("service_type"), concat_key(service.text_key).alias("unique_row_id"))
+        for name, service in SERVICE.items()]
+    return ids[0].unionByName(ids[1])
 
 
 @query(f"""
@@ -407,32 +481,49 @@ def staged_merge_result(spark, sf_dir):
     target = with_row_id(time_range(trips, "pickup_datetime", "1900-01-01", "1999-01-01",
                                     half_open=True), KEY, "before.csv")
     raw = time_range(trips, "pickup_datetime", "1998-01-01", "2100-01-01", half_open=True)
-    new = staged_merge(raw, target, KEY, "after.csv", staging_day=day, target_day=day)
+    new = staged_merge(raw, target, KEY, "after.csv", time_col="pickup_datetime", target_day=day)
     return comparable(target.unionByName(new))
 
 
-@query(f"""
+MERGED_COLUMNS = f"""service_type, VendorID, pickup_datetime, dropoff_datetime, store_and_fwd_flag,
+  RatecodeID, PULocationID, DOLocationID, passenger_count, {MONEY_AS_DOUBLE}, payment_type,
+  CAST(NULL AS DOUBLE) AS ehail_fee, CAST(NULL AS INT) AS trip_type"""
+MERGED_TABLES_SQL = f"""
 WITH {TRIPS}, keyed AS (SELECT {ROW_ID_SQL} AS unique_row_id, * FROM trips),
 target AS (SELECT * FROM keyed WHERE pickup_datetime < TIMESTAMP '1999-01-01')
-SELECT unique_row_id, 'before.csv' AS filename, service_type, pickup_datetime,
-  CAST(fare_amount AS DOUBLE) AS fare_amount FROM target
+SELECT unique_row_id, 'before.csv' AS filename, {MERGED_COLUMNS} FROM target
 UNION ALL
-SELECT unique_row_id, 'all.csv', service_type, pickup_datetime, CAST(fare_amount AS DOUBLE)
+SELECT unique_row_id, 'all.csv', {MERGED_COLUMNS}
 FROM keyed s WHERE NOT EXISTS (SELECT 1 FROM target t
-  WHERE t.unique_row_id = s.unique_row_id AND t.service_type = s.service_type)""")
-def staged_merge_tables(spark, sf_dir):
-    """Both services' tables after a load and a second one that contains it."""
+  WHERE t.unique_row_id = s.unique_row_id AND t.service_type = s.service_type)"""
+
+
+def _merged_tables(spark, sf_dir, by_day):
+    """Both services' tables, all columns, after a load and a second one that contains it."""
     results = []
     for name, service in SERVICE.items():
         raw = fixtures.raw_trips(spark, sf_dir, name)
         table, location = _new_table(spark, service.table_name())
         before = time_range(raw, service.pickup, "1900-01-01", "1999-01-01", half_open=True)
         for rows, source in ((before, "before.csv"), (raw, "all.csv")):
-            merge_into_table(spark, rows, table, name, source, by_day=False, location=location)
-        results.append(spark.table(table).select(
-            "unique_row_id", "filename", F.lit(name).alias("service_type"),
-            F.col(service.pickup).alias("pickup_datetime"), "fare_amount"))
-    return comparable(results[0].unionByName(results[1]))
+            merge_into_table(spark, rows, table, name, source, by_day=by_day, location=location)
+        neutral = {service.pickup: "pickup_datetime", service.dropoff: "dropoff_datetime"}
+        stored = spark.table(table).drop("pickup_date").withColumnsRenamed(neutral)
+        results.append(stored.withColumn("service_type", F.lit(name)))
+    both = results[0].unionByName(results[1], allowMissingColumns=True)
+    return comparable(_whole_numbers_as_int(both).withColumn(
+        "trip_type", F.col("trip_type").cast("int")))
+
+
+@query(MERGED_TABLES_SQL)
+def staged_merge_tables(spark, sf_dir):
+    return _merged_tables(spark, sf_dir, by_day=False)
+
+
+@query(MERGED_TABLES_SQL)
+def staged_merge_by_day(spark, sf_dir):
+    """The same into tables partitioned by day, as the job runs by default."""
+    return _merged_tables(spark, sf_dir, by_day=True)
 
 
 # --- JSON documents --------------------------------------------------------
@@ -527,7 +618,10 @@ def _run(start, df, label):
 @query(EVENT_WINDOWS_SQL)
 def stream_tumbling_counts(spark, sf_dir):
     """Every window, open ones included."""
-    return _run(start_complete, _event_stream_counts(spark, sf_dir), "stream-counts")
+    out = shared_dir(spark, "stream-counts")
+    start_complete(_event_stream_counts(spark, sf_dir), f"{out}/rows",
+                   f"{out}/checkpoint").awaitTermination()
+    return comparable(read_complete(spark, f"{out}/rows"))
 
 
 @query(f"""
@@ -585,14 +679,15 @@ def stream_json_decode(spark, sf_dir):
 
 @query(f"""
 WITH {TRIPS}, {MESSAGES_SQL}
-SELECT strftime(event_time, '%Y-%m-%dT%H:%M:%S.000') AS lpep_dropoff_datetime, PULocationID,
-  DOLocationID, passenger_count, trip_distance, tip_amount FROM messages""")
+SELECT strftime(make_timestamp(lpep_pickup_datetime * 1000), '%Y-%m-%dT%H:%M:%S.000')
+    AS lpep_pickup_datetime,
+  strftime(event_time, '%Y-%m-%dT%H:%M:%S.000') AS lpep_dropoff_datetime, PULocationID, DOLocationID, passenger_count, trip_distance, tip_amount FROM messages""")
 def stream_csv_replay(spark, sf_dir):
     """A CSV file's columns sent as JSON messages and decoded from a stream."""
     landed, sent = shared_dir(spark, "green-csv"), shared_dir(spark, "green-messages")
     fixtures.raw_trips(spark, sf_dir, "green").write.csv(landed, header=True)
-    columns = ["lpep_dropoff_datetime", "PULocationID", "DOLocationID", "passenger_count",
-               "trip_distance", "tip_amount"]
+    columns = ["lpep_pickup_datetime", "lpep_dropoff_datetime", "PULocationID", "DOLocationID",
+               "passenger_count", "trip_distance", "tip_amount"]
     encode_messages(read_columns(spark, landed, columns)).select(
         F.col("value").cast("string")).write.text(sent)
     layout = T.StructType([
@@ -646,15 +741,36 @@ def csv_gz_roundtrip(spark, sf_dir):
     return comparable(_whole_numbers_as_int(trips))
 
 
+TEXT_COLUMNS = ", ".join(
+    [f"strftime({c}, '%Y-%m-%dT%H:%M:%S.000') AS {c}" for c in ("pickup_datetime", "dropoff_datetime")]
+    + [f"CAST({c} AS VARCHAR) AS {c}" for c in ("passenger_count", "payment_type")]
+    # A decimal zero of nine places is written so.
+    + [f"CASE WHEN {c} = 0 THEN '0E-9' ELSE CAST({c} AS VARCHAR) END AS {c}" for c in MONEY_COLUMNS])
+
+
 @query(f"""
-WITH {TRIPS} SELECT VendorID, PULocationID, CAST(passenger_count AS VARCHAR) AS passenger_count
-FROM trips""")
+WITH {TRIPS} SELECT * REPLACE ({TEXT_COLUMNS}), service_type || '.csv' AS filename FROM trips""")
 def csv_text_columns(spark, sf_dir):
-    """CSV read without a schema: every column is text."""
-    path = shared_dir(spark, "text-csv")
-    fixtures.trips(spark, sf_dir).select("VendorID", "PULocationID", "passenger_count").write.csv(
-        path, header=True)
-    return read_csv_files(spark, path).drop("filename")
+    """CSV read without a schema, with the file's name: every column is text."""
+    landed = shared_dir(spark, "text-csv")
+    for name in SERVICE:
+        rows = fixtures.trips(spark, sf_dir).where(F.col("service_type") == name)
+        rows.write.csv(f"{landed}/{name}.csv", header=True)
+    text = read_csv_files(spark, [f"{landed}/{name}.csv" for name in SERVICE])
+    # Spark names the files of a folder by itself.
+    folder = F.element_at(F.split(F.input_file_name(), "/"), -2)
+    return text.where(F.col("filename").startswith("part-")).withColumn("filename", folder)
+
+
+@query(f"""
+WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips WHERE service_type = 'green'""")
+def green_extra_values(spark, sf_dir):
+    """Green files whose rows have more values than columns: the extras are ignored."""
+    path = shared_dir(spark, "green-extra")
+    raw = fixtures.raw_trips(spark, sf_dir, "green")
+    raw.withColumns({"extra_1": F.lit("x"), "extra_2": F.lit(5)}).write.csv(path, header=True)
+    read = read_trip_files(spark, path, SERVICE["green"])
+    return comparable(_whole_numbers_as_int(union_services({"green": read})))
 
 
 @query(f"WITH {TRIPS} SELECT PULocationID, CAST(trip_distance AS DOUBLE) AS trip_distance FROM trips")
@@ -667,13 +783,15 @@ def csv_column_subset(spark, sf_dir):
     return subset.withColumn("trip_distance", F.col("trip_distance").cast("double"))
 
 
-@query("SELECT event_id, user_id, event_type, props FROM events")
+@query("SELECT * FROM events")
 def json_roundtrip(spark, sf_dir):
+    """All columns, times to the microsecond."""
     path = shared_dir(spark, "events") + ".json"
-    events = fixtures.table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "props")
-    write_json_lines(events, path)
-    return read_file(spark, path, schema=events.schema)
+    micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    events = fixtures.table(spark, sf_dir, "events")
+    write_json_lines(events, path, **micros)
+    return comparable(read_file(spark, path, schema=events.schema, **micros))
 
 
 @query(f"WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips")
@@ -689,18 +807,72 @@ def parquet_like_first(spark, sf_dir):
     return comparable(spark.table(table))
 
 
-@query("""
-SELECT 'customer' AS table_name, count(*) AS row_count FROM customer
-UNION ALL SELECT 'part', count(*) FROM part
-UNION ALL SELECT 'supplier', count(*) FROM supplier""")
+@query(f"""
+WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips
+WHERE service_type = 'green' AND payment_type < 4""")
+def replace_partitioned_table(spark, sf_dir):
+    """A partitioned table replaced by fewer partitions: the others are gone."""
+    table, location = _new_table(spark, "replaced")
+    trips = fixtures.trips(spark, sf_dir)
+    few = trips.where((F.col("service_type") == "green") & (F.col("payment_type") < 4))
+    for rows in (trips, few):
+        replace_table(rows, table, partition_by=["service_type"], location=location)
+    return comparable(spark.table(table))
+
+
+@query(f"WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips WHERE service_type = 'yellow'")
+def truncate_then_append(spark, sf_dir):
+    """A staging table emptied before each load."""
+    table, _ = _new_table(spark, "staging")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    ensure_table(spark, table, TRIP_DATA)
+    trips = fixtures.trips(spark, sf_dir)
+    for name in ("green", "yellow"):
+        truncate_table(spark, table)
+        append_table(trips.where(F.col("service_type") == name), table)
+    return comparable(_whole_numbers_as_int(spark.table(table)))
+
+
+FILE_TABLES = ("customer", "nation", "part", "region", "supplier")
+
+
+@query(" UNION ALL BY NAME ".join(
+    f"SELECT '{t}' AS table_name, COLUMNS(*)::VARCHAR FROM {t}" for t in FILE_TABLES))
 def files_to_tables(spark, sf_dir):
-    """CSV files loaded into one table each."""
+    """CSV files found by a glob and loaded into one table each; all their values."""
     source, stored = shared_dir(spark, "landed"), shared_dir(spark, "stored")
-    names = ["customer", "part", "supplier"]
-    for name in names:
+    for name in FILE_TABLES:
         fixtures.table(spark, sf_dir, name).write.csv(f"{source}/{name}.csv", header=True)
-    load_files_to_tables(
-        spark, [f"{source}/{n}.csv" for n in names],
-        lambda df, table: df.write.parquet(f"{stored}/table_name={table}"))
-    return spark.read.option("mergeSchema", "true").parquet(stored).groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("row_count"))
+    loaded = load_files_to_tables(
+        spark, f"{source}/*.csv", lambda df, table: df.write.parquet(f"{stored}/{table}"))
+    frames = [spark.read.parquet(f"{stored}/{t}").withColumn("table_name", F.lit(t)) for t in loaded]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+@query("""
+WITH e AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS n FROM events),
+batches AS (SELECT *, CASE WHEN event_id % 10 = 3 THEN 3 WHEN ts < (SELECT ts FROM e WHERE n =
+  (SELECT count(*) // 2 FROM e)) THEN 1 ELSE 2 END AS batch FROM events),
+seen AS (SELECT max(ts) - INTERVAL 5 SECOND AS mark FROM batches WHERE batch < 3),
+kept AS (SELECT b.* FROM batches b, seen WHERE batch < 3 OR
+  time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE > mark)
+SELECT user_id, event_type, count(*) AS event_count, min(event_id) AS first_id,
+  max(event_id) AS last_id, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+  time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end
+FROM kept GROUP BY ALL
+HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <=
+  (SELECT max(ts) - INTERVAL 5 SECOND FROM batches)""")
+def stream_late_rows(spark, sf_dir):
+    """Three batches; a tenth of the rows comes in the last, behind the watermark, and is dropped."""
+    events = fixtures.table(spark, sf_dir, "events")
+    half = events.orderBy("ts", "event_id").select("ts").offset(events.count() // 2 - 1).first()["ts"]
+    late = F.col("event_id") % 10 == 3
+    early = F.col("ts") < F.lit(half)
+    out = shared_dir(spark, "stream-late")
+    for rows in (events.where(~late & early), events.where(~late & ~early), events.where(late)):
+        rows.write.mode("append").parquet(f"{out}/in")
+        stream = replay_files(spark, f"{out}/in", events.schema)
+        counts = stream_zone_pair_counts(stream, event_time="ts", keys=EVENT_KEYS,
+                                         bound="event_id", **EVENT_NAMES)
+        start_append(counts, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return comparable(spark.read.parquet(f"{out}/rows"))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import Column
 from pyspark.sql import types as T
 
+from tripflow.functions.keys import plain_number
+
 MONEY = T.DecimalType(38, 9)
 
 # Column names, order and types of the trip files, the harmonised
@@ -164,9 +167,9 @@ class Service:
         return ["VendorID", self.pickup, self.dropoff, "PULocationID", "DOLocationID"]
 
     @property
-    def text_key(self) -> list[str]:
-        """Columns behind the unhashed row id."""
-        return [*self.hashed_key, "fare_amount", "trip_distance"]
+    def text_key(self) -> list[str | Column]:
+        """Columns behind the unhashed row id, amounts as plain numbers."""
+        return [*self.hashed_key, plain_number("fare_amount"), plain_number("trip_distance")]
 
     @property
     def table_schema(self) -> T.StructType:

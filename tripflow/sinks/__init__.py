@@ -6,6 +6,7 @@ from tripflow.sinks.messages import encode_messages, write_topic
 from tripflow.sinks.tables import (
     append_table,
     ensure_table,
+    register_stored,
     replace_table,
     truncate_table,
     write_day_partitioned,
@@ -15,6 +16,7 @@ __all__ = [
     "append_table",
     "encode_messages",
     "ensure_table",
+    "register_stored",
     "replace_table",
     "truncate_table",
     "write_day_partitioned",

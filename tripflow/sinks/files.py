@@ -15,6 +15,11 @@ def write_parquet(
     (df.repartition(files) if files else df).write.mode(mode).parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object per row; null fields are written, not dropped."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+def write_json_lines(
+    df: DataFrame, path: str, mode: str = "errorifexists", **options: str
+) -> None:
+    """One JSON object per row; null fields are written, not dropped.
+
+    Times have milliseconds unless ``timestampFormat`` or ``timestampNTZFormat`` say more.
+    """
+    df.write.mode(mode).options(**{"ignoreNullFields": "false"} | options).json(path)

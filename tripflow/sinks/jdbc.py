@@ -18,5 +18,5 @@ def write_jdbc(
 
     Every partition opens a connection of its own; ``connections`` bounds them.
     """
-    rows = df.coalesce(connections) if connections else df
+    rows = df.repartition(connections) if connections else df
     rows.write.option("batchsize", batch_rows).jdbc(url, table, mode, properties)

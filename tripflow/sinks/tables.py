@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.sources.files import list_paths
+
 
 def ensure_table(
     spark: SparkSession,
@@ -22,19 +23,42 @@ def ensure_table(
     """Create a Parquet table unless it exists.
 
     ``day_of`` names a time column; the table then gets a derived ``day_col`` and
-    is partitioned by it.
+    is partitioned by it. A ``location`` may hold the table's files already. An existing
+    table must have the same columns, types and partitioning.
     """
-    if spark.catalog.tableExists(name):
-        return
     fields = list(schema.fields)
     if day_of:
         fields.append(T.StructField(day_col, T.DateType(), True, {"comment": f"Day of {day_of}."}))
+    if location:
+        register_stored(spark, name, location)
+    if spark.catalog.tableExists(name):
+        wanted = {f.name: (f.dataType.simpleString(), bool(day_of) and f.name == day_col)
+                  for f in fields}
+        found = {c.name: (c.dataType, c.isPartition) for c in spark.catalog.listColumns(name)}
+        if wanted != found:
+            differing = sorted(set(wanted.items()) ^ set(found.items()))
+            raise ValueError(f"table {name} has another layout: {differing}")
+        return
     columns = ", ".join(_column_ddl(f) for f in fields)
     partitioned = f" PARTITIONED BY (`{day_col}`)" if day_of else ""
     stored = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned}{stored}")
 
 
+def register_stored(spark: SparkSession, name: str, location: str) -> bool:
+    """Make files of an earlier process a table again, partitions included.
+
+    Returns whether the catalog knows the table afterwards.
+    """
+    if not spark.catalog.tableExists(name) and list_paths(spark, f"{location}/_SUCCESS"):
+        stored = spark.read.parquet(location)
+        if stored.columns:
+            spark.catalog.createTable(name, path=location, source="parquet")
+            if any(c.isPartition for c in spark.catalog.listColumns(name)):
+                spark.catalog.recoverPartitions(name)
+    return spark.catalog.tableExists(name)
+
+
 def _column_ddl(field: T.StructField) -> str:
     comment = (field.metadata or {}).get("comment")
     note = " COMMENT '{}'".format(comment.replace("'", "\\'")) if comment else ""
@@ -44,8 +68,13 @@ def _column_ddl(field: T.StructField) -> str:
 def replace_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None
 ) -> None:
-    """Create or replace a table with the frame's rows and schema."""
-    writer = df.write.mode("overwrite").format("parquet")
+    """Create or replace a table with the frame's rows and schema.
+
+    All earlier rows go, partitions without new rows included, whatever the session
+    says about overwriting partitions.
+    """
+    writer = df.write.mode("overwrite").format("parquet").option(
+        "partitionOverwriteMode", "static")
     if location:
         writer = writer.option("path", location)
     if partition_by:
@@ -68,13 +97,11 @@ def append_table(
     file are ordered by ``cluster_by``, and ``partitions`` are made as in
     :func:`spread_by_day`.
     """
-    spark = df.sparkSession
     rows = df
     if day_of:
         rows = spread_by_day(df, day_of, day_col, partitions)
         rows = rows.sortWithinPartitions(day_col, *cluster_by)
-    with all_shuffle_partitions(spark) if day_of else nullcontext():
-        rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=False)
+    rows.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=False)
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
@@ -85,31 +112,18 @@ def truncate_table(spark: SparkSession, name: str) -> None:
 def spread_by_day(
     df: DataFrame, time_col: str, day_col: str, partitions: int | None = None
 ) -> DataFrame:
-    """Add the day column and bring each day's rows together for writing.
+    """Add the day column and order rows by it across tasks, for writing.
 
-    A rebalance, unlike a plain repartition, lets adaptive execution cut a partition
-    that is too large for one task. Each piece of it then holds a part of every day
-    in that partition, so for large data let ``partitions``, by default the session's
-    shuffle partitions, exceed the number of days.
+    A task holds one day or a few neighbouring ones, so there are about as many files
+    as tasks and days together; a day with many rows spreads over several tasks, in
+    ranges of a hash of the row. ``partitions`` fixes the number of tasks; otherwise it
+    is the session's, and adaptive execution joins small ones.
     """
     dated = df.withColumn(day_col, F.to_date(time_col))
-    return dated.hint("rebalance", *([partitions] if partitions else []), day_col)
-
-
-@contextmanager
-def all_shuffle_partitions(spark: SparkSession):
-    """Keep small shuffle partitions apart while writing by day.
-
-    A day lies in one shuffle partition, so joining partitions would save no files
-    and only leave fewer tasks to write them.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    order = [F.col(day_col), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    if partitions:
+        return dated.repartitionByRange(partitions, *order)
+    return dated.repartitionByRange(*order)
 
 
 def write_day_partitioned(
@@ -128,5 +142,4 @@ def write_day_partitioned(
     """
     rows = spread_by_day(df, time_col, day_col, partitions)
     rows = rows.sortWithinPartitions(day_col, *cluster_by)
-    with all_shuffle_partitions(df.sparkSession):
-        rows.write.mode(mode).partitionBy(day_col).parquet(path)
+    rows.write.mode(mode).partitionBy(day_col).parquet(path)

@@ -2,6 +2,7 @@
 
 from tripflow.sources.documents import read_array_elements
 from tripflow.sources.files import (
+    list_paths,
     read_columns,
     read_csv_files,
     read_file,
@@ -14,6 +15,7 @@ from tripflow.sources.topics import read_topic, topic_options
 
 __all__ = [
     "jdbc_options",
+    "list_paths",
     "read_array_elements",
     "read_columns",
     "read_csv_files",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,19 +45,38 @@ def read_trip_files(
     """A service's CSV files, gzipped or not, under its declared schema.
 
     The header row is skipped and columns bind by position. Where the service
-    ignores extra trailing values such rows are kept; elsewhere a row that does not
-    fit the schema fails the read. Gzip files do not split, so one file is one
+    ignores extra trailing values such rows are kept without them; elsewhere a row that
+    does not fit the schema fails the read. A value that is not of its column's type
+    fails the read in either case. Gzip files do not split, so one file is one
     task: pass ``partitions`` when there are fewer files than cores.
     """
-    files = spark.read.csv(
-        paths,
-        schema=service.file_schema,
-        header=True,
-        mode="PERMISSIVE" if service.ignore_extra_values else "FAILFAST",
-    )
+    if service.ignore_extra_values:
+        # Permissive parsing would turn bad values into nulls along with ignoring extras.
+        as_text = T.StructType([T.StructField(f.name, T.StringType())
+                                for f in service.file_schema.fields])
+        text = spark.read.csv(paths, schema=as_text, header=True, mode="PERMISSIVE")
+        files = text.select(*[_strict(f).alias(f.name) for f in service.file_schema.fields])
+    else:
+        files = spark.read.csv(paths, schema=service.file_schema, header=True, mode="FAILFAST")
     return files.repartition(partitions) if partitions else files
 
 
+def _strict(field: T.StructField) -> Column:
+    """The text column as the field's type; a value that is not of it raises."""
+    text = F.col(field.name)
+    value = text.try_cast(field.dataType)
+    problem = F.concat(F.lit(f"bad value in {field.name}: "), text)
+    return F.when(text.isNotNull() & value.isNull(),
+                  F.raise_error(problem).cast(field.dataType)).otherwise(value)
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that a glob names, sorted, by the session's file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sorted(s.getPath().toString() for s in system.globStatus(path) or [])
+
+
 def read_parquet_like(
     spark: SparkSession, paths: Sequence[str], reference: str | None = None
 ) -> DataFrame:

@@ -3,10 +3,16 @@
 from tripflow.streaming.counts import stream_zone_pair_counts, with_watermark
 from tripflow.streaming.decode import decode_messages, with_event_time
 from tripflow.streaming.replay import replay_files
-from tripflow.streaming.sinks import start_append, start_complete, start_console
+from tripflow.streaming.sinks import (
+    read_complete,
+    start_append,
+    start_complete,
+    start_console,
+)
 
 __all__ = [
     "decode_messages",
+    "read_complete",
     "replay_files",
     "start_append",
     "start_complete",

@@ -31,7 +31,8 @@ def _lenient(text: Column, kind: T.DataType) -> Column:
         return text
     value = text.try_cast(kind)
     if isinstance(kind, _WHOLE):
-        return F.coalesce(value, text.try_cast("double").try_cast(kind))
+        number = text.try_cast("decimal(38,18)")
+        return F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
     return value
 
 

@@ -11,6 +11,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tripflow.sources.files import list_paths
+
+BATCH = "batch-"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -52,12 +55,24 @@ def start_append(
 def start_complete(
     df: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Keep ``path`` at the whole current result, open windows included."""
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    """Write the whole current result, open windows included, after each batch.
+
+    Each batch fills a folder of its own under ``path``, so that a reader by
+    :func:`read_complete` never sees half of one, and a failed one leaves the last in
+    place. Every window ever seen is kept as state and written each time: for tests and
+    streams with few groups.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}{batch_id}")
 
     with _state_on_disk(df.sparkSession):
-        return _writer(df, "complete", checkpoint, every).foreachBatch(replace).start()
+        return _writer(df, "complete", checkpoint, every).foreachBatch(write).start()
+
+
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The last result that :func:`start_complete` finished."""
+    done = [p.rsplit("/", 1)[0] for p in list_paths(spark, f"{path}/{BATCH}*/_SUCCESS")]
+    return spark.read.parquet(max(done, key=lambda p: int(p.rsplit(BATCH, 1)[1])))
 
 
 def start_console(
