@@ -150,18 +150,19 @@ def likely(left: str, right: str) -> Column:
     return F.bit_count(differ[0].bitwiseOR(differ[1])) <= MOST_DIFFERENT
 
 
-def pivot_pairs(bands: DataFrame, salts: Sequence[int] = (0,), *others: str,
+def pivot_pairs(bands: DataFrame, salts: Sequence[int] = (), *others: str,
                 where: Callable[[str, str], Column] | None = None) -> DataFrame:
     """Distinct pairs ``a`` < ``b`` of each bucket's members with pivots of it.
 
-    Pivots are the first and last of the bucket in an order that differs by bucket and
-    salt: a large bucket makes two pairs per member and salt, not all pairs, and a
-    bucket of up to three members makes all its pairs. ``where`` takes the prefixes of a
+    Pivots are the first and last of the bucket, in an order that differs by bucket for
+    each salt, or without salts in one order for all: then the buckets of a large group
+    of copies have most pivots in common. A large bucket makes two pairs per member and
+    order, not all pairs, and a bucket of up to three members makes all its pairs. ``where`` takes the prefixes of a
     member's and a pivot's columns ``others`` and may rule pairs out at once.
     """
     ends = []
-    for salt in salts:
-        order = F.col("node").bitwiseXOR(F.xxhash64("bucket", F.lit(salt)))
+    orders = [F.xxhash64("node", "bucket", F.lit(salt)) for salt in salts]
+    for order in orders or [F.xxhash64("node")]:
         whole = F.struct(order.alias("order"), "node", *others)
         ends += [F.min(whole), F.max(whole)]
     pivots = written(
@@ -190,16 +191,23 @@ def apart(left: str, right: str) -> Column:
     return (F.col(f"{left}label") != F.col(f"{right}label")) & likely(left, right)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The stored pairs of which the whole texts' multisets overlap by ``threshold`` or more."""
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def candidate_texts(docs: DataFrame, bands: DataFrame, reps: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of all nodes that share a bucket, stored."""
+    shared = bands.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where(
+        "lo < hi").select("bucket")
+    met = bands.join(shared, "bucket", "left_semi").select("node").distinct()
     needed = written(reps.join(met, "node"), "needed")
     own = docs.select("doc_id", text_of().alias("text")).withColumn("rep_digest", F.md5("text"))
-    texts = own.join(needed, (own["rep_digest"] == needed["rep_digest"])
-                     & own["doc_id"].eqNullSafe(needed["rep_id"])).select("node", "text")
+    return written(own.join(needed.hint("merge"), (own["rep_digest"] == needed["rep_digest"])
+                            & own["doc_id"].eqNullSafe(needed["rep_id"])).select("node", "text"),
+                   "texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The stored pairs of which the whole texts' multisets overlap by ``threshold`` or more."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("_left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("_right"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     alike = both.where(overlap("_left", "_right") >= threshold).select("a", "b")
     return written(alike.distinct(), "alike")
 
@@ -239,10 +247,11 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
             F.col("uid").alias("node"), "signature"), "node")
     bands = written(band_rows(nodes), "bands")
     edges = labels = None
-    pairs = pivot_pairs(bands, (0,), "low", "high", where=likely)
+    texts = candidate_texts(docs, bands, reps)
+    pairs = pivot_pairs(bands, (), "low", "high", where=likely)
     turn = 0
     while True:
-        found = verified(docs, written(pairs, "pairs"), reps, threshold)
+        found = verified(written(pairs, "pairs"), texts, threshold)
         if not found.take(1):
             break
         edges = found if edges is None else edges.unionByName(found)
