@@ -141,8 +141,8 @@ def test_unknown_service_is_not_there():
 def test_a_bad_value_in_a_green_file_fails_the_read(spark, tmp_path, at, bad):
     values_ = GREEN_ROW.split(",")
     values_[GREEN_FILE.fieldNames().index(at)] = bad
-    path = write_csv(tmp_path / "green.csv", GREEN_FILE, ",".join(values_) + ",extra,values")
+    path = write_csv(tmp_path / "green.csv.gz", GREEN_FILE, ",".join(values_) + ",extra,values")
     with pytest.raises(Exception, match="bad value in"):
         read_trip_files(spark, path, SERVICE["green"]).collect()
-    path = write_csv(tmp_path / "good.csv", GREEN_FILE, GREEN_ROW + ",extra,values")
+    path = write_csv(tmp_path / "good.csv.gz", GREEN_FILE, GREEN_ROW + ",extra,values")
     assert read_trip_files(spark, path, SERVICE["green"]).count() == 1
