@@ -29,8 +29,9 @@ THRESHOLD = 0.8
 BANDS = 20
 ROWS = 4
 COMPONENTS = BANDS * ROWS
-# Of 64 components, how many may disagree in two bits; see ``likely``.
-MOST_DIFFERENT = 21
+# Of 80 components, how many may disagree in four bits; see ``likely``.
+MOST_DIFFERENT = 28
+SKETCH = [f"s{k}" for k in range(5)]
 # Buckets of up to so many members compare all of them; larger ones go on with pivots.
 SMALL_BUCKET = 32
 NEVER = np.uint64(np.iinfo(np.uint64).max)
@@ -104,10 +105,39 @@ def likeness(left: tuple, right: tuple) -> float:
     return shared / total if total else 1.0
 
 
-@F.pandas_udf(T.BinaryType())
-def signature(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def band_keys(signed: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each band of the signatures."""
+    rows = signed.reshape(len(signed), BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(mixed(np.arange(BANDS, dtype=np.uint64)), rows.shape[:2])
+    for k in range(ROWS):
+        key = mixed(key ^ rows[:, :, k])
+    return key.view(np.int64)
+
+
+def sketches(signed: np.ndarray) -> np.ndarray:
+    """Four bits of each component in five longs: four bit planes of the first 64
+    components, and all four planes of the last 16 side by side."""
+    planes = [(signed >> k & 1).astype(np.uint8) for k in range(4)]
+    rest = np.concatenate([p[:, 64:] for p in planes], axis=1)
+    return np.stack([np.packbits(p, axis=1).view(np.int64)[:, 0]
+                     for p in [*(np.ascontiguousarray(q[:, :64]) for q in planes), rest]], axis=1)
+
+
+@F.pandas_udf(T.StructType([T.StructField("buckets", T.ArrayType(T.LongType())),
+                            *[T.StructField(c, T.LongType()) for c in SKETCH]]))
+def banded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Band keys and sketch of each text; the keys are null for texts without words."""
     for texts in batches:
-        yield pd.Series(sign(texts.tolist()), dtype=object)
+        found = sign(texts.tolist())
+        signed = np.frombuffer(b"".join(f or bytes(4 * COMPONENTS) for f in found),
+                               dtype=np.uint32).reshape(-1, COMPONENTS)
+        with np.errstate(over="ignore"):
+            keys = band_keys(signed)
+        out = pd.DataFrame(sketches(signed) if len(signed) else np.zeros((0, 5), np.int64),
+                           columns=SKETCH)
+        out.insert(0, "buckets", pd.Series([k if f else None for f, k in zip(found, keys)],
+                                           dtype=object))
+        yield out
 
 
 @F.pandas_udf(T.DoubleType())
@@ -122,32 +152,28 @@ def overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
         yield pd.Series(found)
 
 
-@F.pandas_udf(T.StructType([T.StructField("low", T.LongType()), T.StructField("high", T.LongType())]))
-def planes(found: pd.Series) -> pd.DataFrame:
-    """Two bits of each of a signature's first 64 components, as two bit planes."""
-    if not len(found):
-        return pd.DataFrame({"low": np.zeros(0, np.int64), "high": np.zeros(0, np.int64)})
-    rows = np.frombuffer(b"".join(found), dtype=np.uint32).reshape(len(found), COMPONENTS)[:, :64]
-    bits = [np.packbits((rows >> k & 1).astype(np.uint8), axis=1).view(np.int64)[:, 0] for k in (0, 1)]
-    return pd.DataFrame({"low": bits[0], "high": bits[1]})
+def crowded(nodes: DataFrame) -> DataFrame:
+    """Stored rows ``node``, ``bucket``, ``members`` and sketch of buckets with several members.
 
-
-def band_rows(nodes: DataFrame) -> DataFrame:
-    """``node``, ``low``, ``high`` and ``bucket``, one row per band of each signature."""
-    keys = [F.xxhash64(F.lit(b), F.expr(f"substring(signature, {1 + 4 * ROWS * b}, {4 * ROWS})"))
-            for b in range(BANDS)]
-    return nodes.withColumn("_bits", planes("signature")).select(
-        "node", "_bits.low", "_bits.high", F.explode(F.array(*keys)).alias("bucket"))
+    Most buckets have one member; theirs are dropped by key alone, before sketches are joined.
+    """
+    bands = written(nodes.select("node", F.explode("buckets").alias("bucket")), "bands")
+    several = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return written(bands.join(several, "bucket").join(nodes.select("node", *SKETCH), "node"),
+                   "crowded")
 
 
 def likely(left: str, right: str) -> Column:
     """Whether two sketches do not speak against the threshold.
 
-    Of 64 components two bits agree with a probability of 0.85 or more if the similarity is
-    0.8; more than 21 disagree in fewer than one of ten thousand cases.
+    Four bits of a component agree with a probability of 0.8125 or more if the similarity is
+    0.8; more than 28 of 80 disagree in about one of ten thousand cases.
     """
-    differ = [F.col(f"{left}{p}").bitwiseXOR(F.col(f"{right}{p}")) for p in ("low", "high")]
-    return F.bit_count(differ[0].bitwiseOR(differ[1])) <= MOST_DIFFERENT
+    *planes, rest = [F.col(f"{left}{c}").bitwiseXOR(F.col(f"{right}{c}")) for c in SKETCH]
+    differ = planes[0].bitwiseOR(planes[1]).bitwiseOR(planes[2]).bitwiseOR(planes[3])
+    for far in (32, 16):
+        rest = rest.bitwiseOR(F.shiftright(rest, far))
+    return F.bit_count(differ) + F.bit_count(rest.bitwiseAND(F.lit(0xFFFF))) <= MOST_DIFFERENT
 
 
 def pivot_pairs(bands: DataFrame, salts: Sequence[int] = (), *others: str,
@@ -193,14 +219,11 @@ def apart(left: str, right: str) -> Column:
 
 def candidate_texts(docs: DataFrame, bands: DataFrame, reps: DataFrame) -> DataFrame:
     """``node`` and ``text`` of all nodes that share a bucket, stored."""
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where(
-        "lo < hi").select("bucket")
-    met = bands.join(shared, "bucket", "left_semi").select("node").distinct()
-    needed = written(reps.join(met, "node"), "needed")
+    needed = reps.join(bands.select("node").distinct(), "node")
     own = docs.select("doc_id", text_of().alias("text")).withColumn("rep_digest", F.md5("text"))
     return written(own.join(needed.hint("merge"), (own["rep_digest"] == needed["rep_digest"])
-                            & own["doc_id"].eqNullSafe(needed["rep_id"])).select("node", "text"),
-                   "texts")
+                            & own["doc_id"].eqNullSafe(needed["rep_id"]))
+                   .select("node", "text").dropDuplicates(["node"]), "texts")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -230,37 +253,41 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     Large buckets are not expanded into pairs: members meet two pivots in each of 20
     bands, different ones in each. Of buckets that then still hold different classes,
     small ones compare all members of different classes, and large ones go on with new
-    pivots until a round finds no further pair. Pairs are ruled out by two bits of each
-    signature component first and decided by the whole texts.
+    pivots until a round finds no further pair. Pairs are ruled out by four bits of each
+    signature component first and decided by the whole texts, each pair once.
     """
     signed = written(
         docs.select("doc_id", text_of().alias("text"))
         .select("doc_id", F.md5("text").alias("digest"),
                 F.monotonically_increasing_id().alias("uid"),
-                signature("text").alias("signature")), "signed")
+                banded("text").alias("b"))
+        .select("doc_id", "digest", "uid", "b.*"), "signed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")).alias("first")
     groups = written(signed.groupBy("digest").agg(first, F.count(F.lit(1)).alias("n")), "groups")
     reps = groups.select(F.col("first.uid").alias("node"), F.col("first.doc_id").alias("rep_id"),
                          F.col("digest").alias("rep_digest"))
     nodes = reps.select("node").join(
-        signed.where(F.col("signature").isNotNull()).select(
-            F.col("uid").alias("node"), "signature"), "node")
-    bands = written(band_rows(nodes), "bands")
-    edges = labels = None
+        signed.where(F.col("buckets").isNotNull()).select(
+            F.col("uid").alias("node"), "buckets", *SKETCH), "node")
+    bands = crowded(nodes)
     texts = candidate_texts(docs, bands, reps)
-    pairs = pivot_pairs(bands, (), "low", "high", where=likely)
+    edges = labels = None
+    pairs = checked = written(pivot_pairs(bands, (), *SKETCH, where=likely), "pairs")
     turn = 0
     while True:
-        found = verified(written(pairs, "pairs"), texts, threshold)
+        found = verified(pairs, texts, threshold)
         if not found.take(1):
             break
         edges = found if edges is None else edges.unionByName(found)
         labels = components(edges)
-        small, large = unsettled(bands, labels)
+        left = unsettled(bands, labels)
         turn += 1
-        pairs = pivot_pairs(large, (2 * turn, 2 * turn + 1), "label", "low", "high", where=apart)
+        pairs = pivot_pairs(left.where(F.col("members") > SMALL_BUCKET),
+                            (2 * turn, 2 * turn + 1), "label", *SKETCH, where=apart)
         if turn == 1:
-            pairs = pairs.union(all_pairs(small, apart)).distinct()
+            pairs = pairs.union(all_pairs(left.where(F.col("members") <= SMALL_BUCKET), apart))
+        pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
+        checked = checked.unionByName(pairs)
     if labels is None:
         labels = docs.sparkSession.createDataFrame([], "node long, label long")
     known = groups.select("digest", "first", "n", F.col("first.uid").alias("node")).join(
@@ -277,16 +304,12 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     return rows, classes.select("digest", "class_id")
 
 
-def unsettled(bands: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Band rows, with labels, of small and of large buckets that hold different classes."""
-    placed = written(
-        bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
-    split = written(
-        placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                     F.count(F.lit(1)).alias("members"))
-        .where("lo < hi").select("bucket", "members"), "split")
-    left = written(placed.join(split, "bucket"), "unsettled")
-    return left.where(F.col("members") <= SMALL_BUCKET), left.where(F.col("members") > SMALL_BUCKET)
+def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored band rows, with labels, of buckets that hold different classes."""
+    placed = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = placed.groupBy("bucket").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
+    return written(placed.join(split, "bucket"), "unsettled")
 
 
 def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
