@@ -34,6 +34,8 @@ MOST_DIFFERENT = 28
 SKETCH = [f"s{k}" for k in range(5)]
 # Buckets of up to so many members compare all of them; larger ones go on with pivots.
 SMALL_BUCKET = 32
+# So many of the orders that give a large bucket new pivots take classes evenly.
+CLASS_ORDERS = 10
 NEVER = np.uint64(np.iinfo(np.uint64).max)
 
 
@@ -176,40 +178,56 @@ def likely(left: str, right: str) -> Column:
     return F.bit_count(differ) + F.bit_count(rest.bitwiseAND(F.lit(0xFFFF))) <= MOST_DIFFERENT
 
 
-def pivot_pairs(bands: DataFrame, salts: Sequence[int] = (), *others: str,
-                where: Callable[[str, str], Column] | None = None) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of each bucket's members with pivots of it.
+def pivot_pairs(bands: DataFrame, orders: Sequence[Column], *others: str,
+                where: Callable[[str, str], Column]) -> DataFrame:
+    """Pairs ``a`` < ``b`` of each bucket's members with pivots of it; they may repeat.
 
-    Pivots are the first and last of the bucket, in an order that differs by bucket for
-    each salt, or without salts in one order for all: then the buckets of a large group
-    of copies have most pivots in common. A large bucket makes two pairs per member and
-    order, not all pairs, and a bucket of up to three members makes all its pairs. ``where`` takes the prefixes of a
-    member's and a pivot's columns ``others`` and may rule pairs out at once.
+    Pivots are the first and last of the bucket in each order. A large bucket makes two
+    pairs per member and order, not all pairs, and a bucket of up to three members makes
+    all its pairs. ``where`` takes the prefixes of a member's and a pivot's columns
+    ``others`` and may rule pairs out at once.
     """
     ends = []
-    orders = [F.xxhash64("node", "bucket", F.lit(salt)) for salt in salts]
-    for order in orders or [F.xxhash64("node")]:
+    for order in orders:
         whole = F.struct(order.alias("order"), "node", *others)
-        ends += [F.min(whole), F.max(whole)]
+        ends += [F.struct(*[end[c].alias(c) for c in ("node", *others)])
+                 for end in (F.min(whole), F.max(whole))]
     pivots = written(
-        bands.groupBy("bucket").agg(F.array_distinct(F.transform(
-            F.array(*ends), lambda e: F.struct(e["node"].alias("node"), *[
-                e[o].alias(o) for o in others]))).alias("pivots"))
+        bands.groupBy("bucket").agg(F.array_distinct(F.array(*ends)).alias("pivots"))
         .where(F.size("pivots") > 1), "pivots")
     met = bands.join(pivots, "bucket").withColumn("p", F.explode("pivots"))
-    met = met.where(F.col("node") != F.col("p.node"))
-    if where is not None:
-        met = met.where(where("", "p."))
+    met = met.where((F.col("node") != F.col("p.node")) & where("", "p."))
     return met.select(F.least("node", "p.node").alias("a"),
-                      F.greatest("node", "p.node").alias("b")).distinct()
+                      F.greatest("node", "p.node").alias("b"))
+
+
+def first_orders() -> list[Column]:
+    """Orders that are the same for all buckets, so that those of a large group of copies
+    have most pivots in common: one for small buckets, three more for large ones."""
+    one = F.xxhash64("node")
+    return [one, *[F.when(F.col("members") > SMALL_BUCKET, F.xxhash64("node", F.lit(k)))
+                   .otherwise(one) for k in range(3)]]
+
+
+def later_orders(turn: int) -> list[Column]:
+    """Orders of a bucket's members, new in each turn and bucket.
+
+    Two take members evenly. The others take classes evenly, then a member: the two
+    ends are of different classes, and a text that stands alone soon meets every
+    member of a large class.
+    """
+    members = [F.xxhash64("node", "bucket", F.lit(turn), F.lit(k)) for k in range(2)]
+    return members + [
+        F.struct(F.xxhash64("label", "bucket", F.lit(turn), F.lit(k)).alias("of"),
+                 members[0].alias("member")) for k in range(CLASS_ORDERS)]
 
 
 def all_pairs(bands: DataFrame, where: Callable[[str, str], Column]) -> DataFrame:
-    """Distinct pairs of all members of small buckets."""
+    """Pairs of all members of small buckets; they may repeat."""
     left, right = bands.alias("l"), bands.alias("r")
     met = left.join(right, (F.col("l.bucket") == F.col("r.bucket"))
                     & (F.col("l.node") < F.col("r.node")) & where("l.", "r."))
-    return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
 def apart(left: str, right: str) -> Column:
@@ -227,12 +245,12 @@ def candidate_texts(docs: DataFrame, bands: DataFrame, reps: DataFrame) -> DataF
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The stored pairs of which the whole texts' multisets overlap by ``threshold`` or more."""
+    """Those of the distinct pairs, stored, of which the whole texts' multisets overlap by ``threshold`` or more."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("_left"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("_right"))
     both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     alike = both.where(overlap("_left", "_right") >= threshold).select("a", "b")
-    return written(alike.distinct(), "alike")
+    return written(alike, "alike")
 
 
 def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -251,7 +269,7 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     are not looked at. No rows give no rows.
 
     Large buckets are not expanded into pairs: members meet two pivots in each of 20
-    bands, different ones in each. Of buckets that then still hold different classes,
+    bands, those of large buckets up to eight. Of buckets that then still hold different classes,
     small ones compare all members of different classes, and large ones go on with new
     pivots until a round finds no further pair. Pairs are ruled out by four bits of each
     signature component first and decided by the whole texts, each pair once.
@@ -271,25 +289,25 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
             F.col("uid").alias("node"), "buckets", *SKETCH), "node")
     bands = crowded(nodes)
     texts = candidate_texts(docs, bands, reps)
-    edges = labels = None
-    pairs = checked = written(pivot_pairs(bands, (), *SKETCH, where=likely), "pairs")
+    labels = texts.select("node", F.col("node").alias("label"))
+    left = bands
+    pairs = checked = written(
+        pivot_pairs(bands, first_orders(), *SKETCH, where=likely).distinct(), "pairs")
     turn = 0
     while True:
         found = verified(pairs, texts, threshold)
         if not found.take(1):
             break
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
-        left = unsettled(bands, labels)
+        labels = joined(labels, found)
+        left = unsettled(left, labels)
         turn += 1
-        pairs = pivot_pairs(left.where(F.col("members") > SMALL_BUCKET),
-                            (2 * turn, 2 * turn + 1), "label", *SKETCH, where=apart)
+        large = left.where(F.col("members") > SMALL_BUCKET)
+        pairs = pivot_pairs(large, later_orders(turn), "label", *SKETCH, where=apart)
         if turn == 1:
             pairs = pairs.union(all_pairs(left.where(F.col("members") <= SMALL_BUCKET), apart))
+            left = large
         pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.unionByName(pairs)
-    if labels is None:
-        labels = docs.sparkSession.createDataFrame([], "node long, label long")
     known = groups.select("digest", "first", "n", F.col("first.uid").alias("node")).join(
         labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = written(known, "known")
@@ -304,9 +322,19 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     return rows, classes.select("digest", "class_id")
 
 
+def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """The stored labels of all nodes after further pairs, joining whole classes."""
+    of = [labels.select(F.col("node").alias(n), F.col("label").alias(f"of_{n}")) for n in "ab"]
+    between = found.join(of[0], "a").join(of[1], "b").select(
+        F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    roots = components(between).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return written(labels.join(roots, "label", "left").select(
+        "node", F.coalesce("root", "label").alias("label")), "classes")
+
+
 def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
     """Stored band rows, with labels, of buckets that hold different classes."""
-    placed = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = bands.drop("label").join(labels, "node")
     split = placed.groupBy("bucket").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
     return written(placed.join(split, "bucket"), "unsettled")

@@ -13,8 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round every node takes the smallest label among its neighbours and then its
     label's label, so that the rounds grow with the logarithm of the longest chain.
-    Only the number of changes reaches the driver. Nodes are longs; loops and repeated
-    edges do no harm. No edges give no rows.
+    It ends when no edge joins two labels; only that reaches the driver. Nodes are longs;
+    loops and repeated edges do no harm. No edges give no rows.
     """
     both = written(
         edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))),
@@ -22,15 +22,19 @@ def components(edges: DataFrame) -> DataFrame:
     labels = written(
         both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
         .select("node", F.least("node", "least").alias("label")), "labels")
-    while True:
+    while split(both, labels):
         offered = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(
             F.min("label").alias("offer"))
         hooked = labels.join(offered, labels["node"] == offered["a"], "left").select(
-            "node", F.col("label").alias("old"), F.least("label", "offer").alias("label"))
-        hooked = written(hooked, "hooked")
+            "node", F.least("label", "offer").alias("label"))
         above = hooked.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        jumped = hooked.join(above, "label").select("node", "old", F.col("root").alias("label"))
-        now = written(jumped, "labels")
-        labels = now.select("node", "label")
-        if not now.where(F.col("old") != F.col("label")).take(1):
-            return labels
+        jumped = hooked.join(above, "label").select("node", F.col("root").alias("label"))
+        labels = written(jumped, "labels")
+    return labels
+
+
+def split(edges: DataFrame, labels: DataFrame) -> bool:
+    """Whether an edge joins nodes of different labels."""
+    left = labels.select(F.col("node").alias("a"), F.col("label").alias("of_a"))
+    right = labels.select(F.col("node").alias("b"), F.col("label").alias("of_b"))
+    return bool(edges.join(left, "a").join(right, "b").where("of_a != of_b").take(1))
