@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 
+from tripflow.llm import bagminhash
 from tripflow.llm.bagminhash import bag_min_hash, bags, keep_one, likeness, near_classes
 from tripflow.llm.components import components
 
@@ -101,3 +102,29 @@ def test_components_of_a_long_chain(spark):
     labels = {r.node: r.label for r in components(edges).collect()}
     assert all(labels[i] == 0 for i in range(61))
     assert labels[100] == labels[101] == 100
+
+
+def related_texts(groups: int = 6, each: int = 4) -> list[tuple]:
+    """Texts with one long passage in common, alike below 0.8 but for a true pair per group."""
+    rng = np.random.default_rng(9)
+    passage = [f"common{i}" for i in range(300)]
+    rows = []
+    for g in range(groups):
+        for k in range(each):
+            own = [f"own{g}.{k}.{i}" for i in rng.permutation(75)]
+            rows.append((g * 10 + k, " ".join(passage + own)))
+        rows.append((g * 10 + each, rows[-1][1].replace(f"own{g}.{each - 1}.7 ", "other ")))
+    return rows
+
+
+def no_pivots(bands, orders, *others, where):
+    return bands.selectExpr("node as a", "node as b").where("false")
+
+
+def test_small_buckets_are_compared_if_first_pivots_find_nothing(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "pivot_pairs", no_pivots)
+    rows = related_texts()
+    found, _ = near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    wanted, text = brute_classes(rows), dict(rows)
+    got = {r.doc_id: r.class_id for r in found.collect()}
+    assert len(set(got.values())) == 24 and got == {i: wanted[text[i]] for i in got}

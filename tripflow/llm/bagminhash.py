@@ -296,14 +296,17 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     turn = 0
     while True:
         found = verified(pairs, texts, threshold)
-        if not found.take(1):
+        dry = not found.take(1)
+        if not dry:
+            labels = joined(labels, found)
+        if dry and turn:
             break
-        labels = joined(labels, found)
         left = unsettled(left, labels)
         turn += 1
         large = left.where(F.col("members") > SMALL_BUCKET)
         pairs = pivot_pairs(large, later_orders(turn), "label", *SKETCH, where=apart)
         if turn == 1:
+            # Whether or not the first pivots found anything.
             pairs = pairs.union(all_pairs(left.where(F.col("members") <= SMALL_BUCKET), apart))
             left = large
         pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
