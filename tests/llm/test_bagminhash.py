@@ -128,3 +128,29 @@ def test_small_buckets_are_compared_if_first_pivots_find_nothing(spark, monkeypa
     wanted, text = brute_classes(rows), dict(rows)
     got = {r.doc_id: r.class_id for r in found.collect()}
     assert len(set(got.values())) == 24 and got == {i: wanted[text[i]] for i in got}
+
+
+def test_large_buckets_have_an_exact_end(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "pivot_pairs", no_pivots)
+    monkeypatch.setattr(bagminhash, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(bagminhash, "BLOCK", 7)
+    rows = related_texts()
+    found, _ = near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    wanted, text = brute_classes(rows), dict(rows)
+    got = {r.doc_id: r.class_id for r in found.collect()}
+    assert len(set(got.values())) == 24 and got == {i: wanted[text[i]] for i in got}
+
+
+def test_rarest_tokens_of_likely_multisets_meet():
+    rng = np.random.default_rng(10)
+    often = rng.integers(0, 9, 64)
+    for _ in range(300):
+        a = [f"w{i}" for i in rng.integers(0, 30, rng.integers(5, 60))]
+        b = [*a]
+        for _ in range(rng.integers(0, 3)):
+            b[rng.integers(len(b))] = "z"
+        x, y = bags([" ".join(a), " ".join(b)])
+        assert len(set(bagminhash.tokens(x))) == x[1].sum()
+        if likeness(x, y) >= 0.8:
+            one, two = (bagminhash.rarest(bagminhash.tokens(t), often, 0.8) for t in (x, y))
+            assert set(one) & set(two)

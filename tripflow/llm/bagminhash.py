@@ -32,8 +32,12 @@ COMPONENTS = BANDS * ROWS
 # Of 80 components, how many may disagree in four bits; see ``likely``.
 MOST_DIFFERENT = 28
 SKETCH = [f"s{k}" for k in range(5)]
-# Buckets of up to so many members compare all of them; larger ones go on with pivots.
+# Buckets of up to so many members compare all of them at once; larger ones after pivots.
 SMALL_BUCKET = 32
+# Members of a group that one task compares with as many others at a time.
+BLOCK = 512
+# Slots of the table that tells frequent shingles from rare ones.
+SLOTS = 1 << 18
 # So many of the orders that give a large bucket new pivots take classes evenly.
 CLASS_ORDERS = 10
 NEVER = np.uint64(np.iinfo(np.uint64).max)
@@ -230,6 +234,88 @@ def all_pairs(bands: DataFrame, where: Callable[[str, str], Column]) -> DataFram
     return met.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
+def cross_pairs(rows: DataFrame, details: DataFrame, *others: str,
+                where: Callable[[str, str], Column]) -> DataFrame:
+    """Pairs of all members of different classes of each bucket; they may repeat.
+
+    ``rows`` has ``node``, ``bucket`` and ``label``; ``details`` has columns ``others`` of
+    each node, for ``where``. A bucket's largest class is not compared with itself, and
+    large buckets are cut into blocks, so that no task gets a whole one.
+    """
+    sizes = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    split = sizes.groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("members"),
+        F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    placed = rows.join(split.select(
+        "bucket", F.col("top.label").alias("most"),
+        F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "bucket")
+    placed = written(placed.join(details.select("node", *others), "node")
+                     .withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "placed")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = placed.where("label != most").withColumn("i", F.col("own")).withColumn("j", every).alias("l")
+    right = placed.withColumn("j", F.col("own")).withColumn("i", every).alias("r")
+    once = (F.col("r.label") == F.col("r.most")) | (F.col("l.node") < F.col("r.node"))
+    met = left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.i") == F.col("r.i"))
+                    & (F.col("l.j") == F.col("r.j")) & once & (F.col("l.label") != F.col("r.label"))
+                    & where("l.", "r."))
+    return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+
+
+def tokens(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A bag as a set: the k-th copy of a shingle is an element of its own."""
+    values, counts = bag
+    copy = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    with np.errstate(over="ignore"):
+        return np.where(copy > 0, mixed(np.repeat(values, counts) ^ mixed(copy.astype(np.uint64))),
+                        np.repeat(values, counts))
+
+
+def rarest(found: np.ndarray, often: np.ndarray, threshold: float) -> np.ndarray:
+    """So many of the tokens, rarest first, that two sets alike by ``threshold`` share one.
+
+    Any order that is the same for all sets will do; this one keeps groups small.
+    """
+    shared = int(np.ceil(threshold * len(found) - 1e-9))
+    order = np.lexsort((found, often[found % np.uint64(len(often))]))
+    return found[order[:len(found) - shared + 1]]
+
+
+def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
+    """``node``, ``label`` and ``bucket``, the rarest shingles of each text."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            for bag in bags(batch["text"].tolist()):
+                often += np.bincount((tokens(bag) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        some = np.flatnonzero(often)
+        yield pd.DataFrame({"slot": some, "n": often[some]})
+
+    counts = texts.select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(
+        F.sum("n").alias("n")).toPandas()
+    often = np.zeros(SLOTS, dtype=np.int64)
+    often[counts["slot"]] = counts["n"]
+    held = texts.sparkSession.sparkContext.broadcast(often)
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def prefix(column: pd.Series) -> pd.Series:
+        return pd.Series([rarest(tokens(bag), held.value, threshold).view(np.int64)
+                          for bag in bags(column.tolist())], dtype=object)
+
+    return written(texts.select("node", "label", F.explode(prefix("text")).alias("bucket")), "prefixes")
+
+
+def rest_pairs(bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """All likely pairs of different classes among the members of the buckets ``bands``.
+
+    Two multisets alike by ``threshold`` have one of their rarest shingles in common (prefix
+    filter), so members are grouped anew by these: what a large bucket has in common is
+    frequent and comes last. Texts meet only in groups, none is left to chance.
+    """
+    members = written(bands.select("node", "label", *SKETCH).dropDuplicates(["node"]), "members")
+    own = texts.join(members.select("node", "label"), "node")
+    return cross_pairs(prefix_rows(own, threshold), members, *SKETCH, where=likely)
+
+
 def apart(left: str, right: str) -> Column:
     """Likely pairs of different classes."""
     return (F.col(f"{left}label") != F.col(f"{right}label")) & likely(left, right)
@@ -271,7 +357,8 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     Large buckets are not expanded into pairs: members meet two pivots in each of 20
     bands, those of large buckets up to eight. Of buckets that then still hold different classes,
     small ones compare all members of different classes, and large ones go on with new
-    pivots until a round finds no further pair. Pairs are ruled out by four bits of each
+    pivots until a round finds no further pair. What large buckets then still hold apart is
+    grouped by its rarest shingles and compared whole. Pairs are ruled out by four bits of each
     signature component first and decided by the whole texts, each pair once.
     """
     signed = written(
@@ -311,6 +398,9 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
             left = large
         pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.unionByName(pairs)
+    if left.take(1):
+        pairs = rest_pairs(left, texts, threshold).distinct().join(checked, ["a", "b"], "left_anti")
+        labels = joined(labels, verified(written(pairs, "pairs"), texts, threshold))
     known = groups.select("digest", "first", "n", F.col("first.uid").alias("node")).join(
         labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = written(known, "known")
