@@ -91,3 +91,18 @@ def test_classes_of_edited_texts(spark):
             assert r.class_id == r.doc_id // 10 * 10
     assert {r.class_id for r in found if r.doc_id in (500, 501)} == {500}
     assert {r.class_id for r in found if r.doc_id in (None, 502)} == {502}
+
+
+def test_crowded_buckets_are_compared_whole(spark, monkeypatch):
+    """All texts in one bucket, most of them unlike each other, and pivots that find nothing."""
+    monkeypatch.setattr(edits, "bands", lambda found: edits.F.array(edits.F.lit(7).cast("long")))
+    monkeypatch.setattr(edits, "pivot_pairs", lambda bands, orders, *others, where: bands.selectExpr(
+        "node as a", "node as b").where("false"))
+    rng = np.random.default_rng(11)
+    texts = ["".join(rng.choice(list("etaoin shrdlucmf"), 200)) for _ in range(36)]
+    rows = [*enumerate(texts), (100, "z" * 20 + texts[17][20:]), (101, texts[30][:-30])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for small in (32, 100):
+        monkeypatch.setattr(edits, "SMALL_BUCKET", small)
+        found = {r.doc_id: r.class_id for r in edits.edit_classes(df).collect()}
+        assert found == {i: {100: 17, 101: 30}.get(i, i) for i, _ in rows}

@@ -16,13 +16,21 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.bagminhash import pivot_pairs
+from tripflow.llm.bagminhash import (
+    SMALL_BUCKET,
+    all_pairs,
+    cross_pairs,
+    first_orders,
+    joined,
+    later_orders,
+    pivot_pairs,
+    unsettled,
+)
 from tripflow.llm.common import code_points, mixed, tasks, text_of, written
-from tripflow.llm.components import components
 
 CLASSES = 256
 PERIOD = 1024
@@ -284,32 +292,72 @@ def bands(found: pd.Series) -> pd.Series:
         *(keys(text, w) for w, text in enumerate(walks) if text))))
 
 
+def close_lengths(threshold: float, classes: bool = True):
+    """Whether two texts' lengths do not rule the pair out, and whether their classes differ."""
+    def where(left: str, right: str) -> Column:
+        a, b = F.col(f"{left}n_chars"), F.col(f"{right}n_chars")
+        near = F.abs(a - b) <= F.floor(F.greatest(a, b) * (1 - threshold))
+        return near & (F.col(f"{left}label") != F.col(f"{right}label")) if classes else near
+
+    return where
+
+
+def edited_pairs(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs, stored, whose whole texts are alike by edit distance."""
+    left = nodes.select(F.col("node").alias("a"), F.col("text").alias("_left"))
+    right = nodes.select(F.col("node").alias("b"), F.col("text").alias("_right"))
+    most = F.floor(F.greatest(F.length("_left"), F.length("_right")) * (1 - threshold))
+    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return written(both.where(F.levenshtein("_left", "_right") <= most).select("a", "b"), "edit-alike")
+
+
 def edit_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id`` and ``class_id`` (the class's smallest id): texts alike by edit distance.
 
-    Fingerprints of distinct texts meet in bands of bit samples; of a bucket its members
-    meet two pivots. Pairs are verified by the edit distance of the whole texts, which
-    must be at most ``1 - threshold`` of the longer one. Equal texts are one node; empty
-    and null texts are alike. Rows without an id get their class's smallest id, if any.
+    Fingerprints of distinct texts meet in bands of bit samples. Members of a bucket meet
+    pivots of it; then small buckets compare all members of different classes, and large
+    ones go on with new pivots until a round finds nothing and then compare all members
+    of different classes in blocks. Pairs are verified by the edit distance of the whole
+    texts, which must be at most ``1 - threshold`` of the longer one, each pair once. Equal
+    texts are one node; empty and null texts are alike. Rows without an id get their class's
+    smallest id, if any.
     """
     rows = written(docs.select("doc_id", text_of().alias("text")).withColumn("digest", F.md5("text")),
                    "edit-rows")
     nodes = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("text").alias("text"))
-    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "edit-nodes")
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id())
+                    .withColumn("n_chars", F.length("text")), "edit-nodes")
     met = written(nodes.select("node", F.explode(bands(walk_fingerprints("text"))).alias("bucket")),
                   "edit-bands")
-    pairs = pivot_pairs(met)
-    left = nodes.select(F.col("node").alias("a"), F.col("text").alias("_left"))
-    right = nodes.select(F.col("node").alias("b"), F.col("text").alias("_right"))
-    longer = F.greatest(F.length("_left"), F.length("_right"))
-    both = pairs.join(left, "a").join(right, "b").withColumn(
-        "_most", F.floor(longer * (1 - threshold)).cast("int"))
-    near = F.levenshtein("_left", "_right")
-    alike = both.where(F.abs(F.length("_left") - F.length("_right")) <= F.col("_most")).where(
-        near <= F.col("_most"))
-    labels = components(alike.select("a", "b"))
-    known = nodes.select("digest", "first_id", "node").join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
+    several = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    left = written(met.join(several, "bucket").join(nodes.select("node", "n_chars"), "node"),
+                   "edit-crowded")
+    labels = nodes.select("node", F.col("node").alias("label"))
+    apart = close_lengths(threshold)
+    pairs = checked = written(pivot_pairs(
+        left, first_orders(), "n_chars", where=close_lengths(threshold, False)).distinct(), "edit-pairs")
+    turn = 0
+    while True:
+        found = edited_pairs(pairs, nodes, threshold)
+        dry = not found.take(1)
+        if not dry:
+            labels = joined(labels, found)
+        if dry and turn:
+            break
+        left = unsettled(left, labels)
+        turn += 1
+        large = left.where(F.col("members") > SMALL_BUCKET)
+        pairs = pivot_pairs(large, later_orders(turn), "label", "n_chars", where=apart)
+        if turn == 1:
+            pairs = pairs.union(all_pairs(left.where(F.col("members") <= SMALL_BUCKET), apart))
+            left = large
+        pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "edit-pairs")
+        checked = checked.unionByName(pairs)
+    if left.take(1):
+        pairs = cross_pairs(left.select("node", "bucket", "label"), nodes, "n_chars", where=apart)
+        pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "edit-pairs")
+        labels = joined(labels, edited_pairs(pairs, nodes, threshold))
+    known = nodes.select("digest", "first_id", "node").join(labels, "node")
     heads = known.groupBy("label").agg(F.min("first_id").alias("class_id"))
     classes = written(known.join(heads, "label").select("digest", "class_id"), "edit-classes")
     return rows.select("doc_id", "digest").join(classes, "digest").select("doc_id", "class_id")
