@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from tripflow.llm.neighbours import search
+from tripflow.llm.neighbours import Index, products, scan, search
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -72,3 +72,22 @@ def test_awkward_rows(spark):
     assert [v for v, _ in got[0]] == [1, 40] and [v for v, _ in got[1]] == [0, 40]
     assert search(df.where("false"), df.where("false")).count() == 0
     assert search(df, df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("longest", [1, 50, 3_000, 10_000, 1_000_000])
+def test_one_long_vector_costs_no_neighbours(longest):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.sqrt((x ** 2).sum(axis=1))[:, None]
+    x[7] *= longest
+    ids = np.arange(len(x))
+    rotation = np.linalg.qr(rng.normal(size=(65, 65)))[0]
+    index = Index(rotation, np.zeros((1, 65)), longest ** 2 * (1 + 1e-12), 1, ids[8:2008], x[8:2008])
+    asked = ids[3000:3030]
+    scores = np.stack([products(x, x[[i]]) for i in asked])
+    scores[np.arange(30), asked] = -np.inf
+    want = np.argsort(-scores, axis=1)[:, :20]
+    bounds = np.sort(scores[:, 8:2008], axis=1)[:, -20]
+    got = scan(index, asked, x[asked], bounds, ids, x, 20)
+    hits = [len(set(w) & set(got.loc[got["query_id"] == i, "vec_id"])) / 20 for i, w in zip(asked, want)]
+    assert np.mean(hits) > 0.97

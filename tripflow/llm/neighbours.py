@@ -26,6 +26,9 @@ RECALL = 0.97
 # Share of live pairs from which on only these are looked at.
 SPARSE = 0.1
 ROUNDING = 1e-4
+# If the longest vector's squared length is so many times the median, distances are added up
+# in double, as single precision would no longer tell candidates apart.
+UNEVEN = 100
 # Pairs whose exact products are taken at a time.
 PAIRS = 1 << 16
 
@@ -66,6 +69,11 @@ def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left * right).sum(axis=1)
 
 
+def allowance(squares: np.ndarray | float, kind: type) -> np.ndarray:
+    """What rounding may add to a distance, given both squared lengths' sum."""
+    return np.maximum(ROUNDING, 2 * COLUMNS * np.finfo(kind).eps * np.asarray(squares))
+
+
 def best(scores: np.ndarray, ids: np.ndarray, most: int) -> np.ndarray:
     """Places of the largest scores, ties to smaller ids."""
     return np.lexsort((ids, -scores))[:most]
@@ -111,11 +119,14 @@ def fit(vectors: DataFrame, nearest: int, *, sample_rows: int = SAMPLE_ROWS,
 def scan(index: Index, query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray,
          ids: np.ndarray, vectors: np.ndarray, nearest: int) -> pd.DataFrame:
     """Each query's best candidates of one list part that reach the query's bound."""
-    turned = index.turned(vectors, False).astype(np.float32)
-    asked = index.turned(queries, True).astype(np.float32)
-    limit = ((queries ** 2).sum(axis=1) + index.length2 - 2 * bounds + ROUNDING).astype(np.float32)
+    kind = np.float64 if index.length2 > UNEVEN * np.median((index.sample ** 2).sum(axis=1)) else np.float32
+    turned = index.turned(vectors, False).astype(kind)
+    asked = index.turned(queries, True).astype(kind)
+    squares = (queries ** 2).sum(axis=1) + index.length2
+    spare = allowance(squares, kind).astype(kind)
+    limit = (squares - 2 * bounds).astype(kind)
     wide = turned.shape[1]
-    partial = np.zeros((len(asked), len(turned)), dtype=np.float32)
+    partial = np.zeros((len(asked), len(turned)), dtype=kind)
     alive = np.ones(partial.shape, dtype=bool)
     pairs = None
     for first in range(0, wide, COLUMNS):
@@ -123,6 +134,7 @@ def scan(index: Index, query_ids: np.ndarray, queries: np.ndarray, bounds: np.nd
         q, x = asked[:, first:last], turned[:, first:last]
         # The hypothesis that a candidate is within the bound, given `last` columns.
         most = limit * (last / wide) * (1 + DOUBT / np.sqrt(last)) ** 2 if last < wide else limit
+        most = most + spare
         if pairs is None:
             partial += (q ** 2).sum(axis=1)[:, None] + (x ** 2).sum(axis=1) - 2 * (q @ x.T)
             alive &= partial <= most[:, None]
@@ -196,7 +208,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, nearest: int = NEAREST,
             rough = known.sample[others] @ vector
             if len(rough) > nearest:
                 least = np.partition(rough, -nearest)[-nearest]
-                others = others[rough >= least - ROUNDING]
+                spare = allowance(known.length2 + float((np.asarray(vector) ** 2).sum()), np.float64)
+                others = others[rough >= least - spare]
             scores = products(known.sample[others], np.asarray(vector)[None, :])
             ids = known.sample_ids[others]
             top = best(scores, ids, nearest)
