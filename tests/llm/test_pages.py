@@ -109,3 +109,18 @@ def test_awkward_urls(spark):
     assert sorted(found.columns) == sorted(pages.columns + ["path"])
     assert found.count() == 5 and found.where(F.col("verdict") != "allow").count() == 0
     assert urls.judge(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<div style='overflow:hidden'><article><p>a</p></article></div>", ["a"]),
+    ("<article><p title='the hidden valley'>a <a href='/s?id=related'>b</a>"
+     "<i data-id=comment-7>c</i><a href=/s?id=related>d</a></article>", ["a bcd"]),
+    ("<article><h2 id='search-algorithms'>a</h2><section id=social-history><p id=sharing-b>b</p>"
+     "</section></article>", ["a", "b"]),
+    ("<h2 id='search-algorithms'>a</h2><section id='social-history'>b</section>", ["a", "b"]),
+    ("<article><div id=comments>a</div><p class='ad-slot'>b</p><p data-class=ad>c</p>"
+     "<p HIDDEN>d</p><p id='x' hidden>e</p></article>", ["c"]),
+    ("<div id=comment-list>a</div><p>b<ul id=breadcrumbs><li>c</ul>", ["b"]),
+])
+def test_attributes_are_read_name_by_name(page, text):
+    assert blocks(parse(page)) == text

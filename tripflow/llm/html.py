@@ -45,29 +45,39 @@ FLOW = frozenset(
     "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th "
     "caption figure figcaption a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q "
     "s samp small span strike strong sub sup time tt u var br wbr hr img".split())
+# Those of them that hold several parts.
+CONTAINERS = frozenset("ul ol dl table figure".split())
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
-NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?",
-                   re.IGNORECASE)
+# An attribute by its whole name, with its value; quoted text without a name is passed over.
+ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 class Element:
     """An element with its children in page order; text is held as strings."""
 
-    __slots__ = ("tag", "marks", "hidden", "role", "children", "parent", "hash")
+    __slots__ = ("tag", "marks", "classes", "ids", "hidden", "role", "children", "parent", "hash")
 
     def __init__(self, tag: str, attributes: str = "", parent: Element | None = None):
         self.tag, self.parent, self.children, self.hash = tag, parent, [], 0
         self.marks, self.hidden, self.role = "", False, ""
+        self.classes, self.ids = "", ""
         if attributes:
-            for name, value in NAMED.findall(attributes):
-                value, name = html.unescape(value.strip("\"'")), name.lower()
-                if name in ("class", "id"):
+            for name, value in ATTRIBUTE.findall(attributes):
+                name = name.lower()
+                if name not in ("class", "id", "role", "hidden", "aria-hidden"):
+                    continue
+                value = html.unescape(value.strip("\"'"))
+                if name == "class":
                     self.marks += f" {value}"
+                    self.classes += f" {value}"
+                elif name == "id":
+                    self.marks += f" {value}"
+                    self.ids += f" {value}"
                 elif name == "role":
                     self.role = value.strip().lower()
                 else:
@@ -149,7 +159,11 @@ def is_marked(node: Element, inside: bool) -> bool:
     if not inside and node.tag == "header":
         return True
     if node.marks and node.tag not in ("html", "body", "main", "article"):
-        words = {w.lower() for w in WORD.findall(node.marks)}
+        words = {w.lower() for w in WORD.findall(node.classes)}
+        if node.tag in CONTAINERS or node.tag not in FLOW:
+            # Within an article, and of sections, ids are slugs of what is written there.
+            slug = inside or node.tag == "section"
+            words.update(w.lower() for w in (node.ids.split() if slug else WORD.findall(node.ids)))
         return bool(words & MARKS) or (not inside and "header" in words)
     return False
 
