@@ -124,3 +124,16 @@ def test_awkward_urls(spark):
 ])
 def test_attributes_are_read_name_by_name(page, text):
     assert blocks(parse(page)) == text
+
+
+def test_running_text_without_article_stays(spark):
+    page = ("<body><div class=top><h3>Site</h3><p>Slogan</p></div><ul><li><a>Home</a><li>More</ul>"
+            "<div><h2>Conclusion</h2><p>In <a>Paris</a> {n} <b>people</b> eat <acronym>BLT</acronym>.</p>"
+            "<p>The end.</p><ul><li>Bread<li>{n}</ul><table><tr><td>Yes<td>{n}</table></div></body>")
+    rows = [(i, f"http://h/{i}", page.replace("{n}", str(i))) for i in range(12)]
+    rows += [(100 + i, f"http://i/{i}", f"<article><p>The <acronym>WHO</acronym> met {i}.</p></article>")
+             for i in range(12)]
+    found = {r.page_id: r.text for r in
+             main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[3] == "Conclusion\nIn Paris 3 people eat BLT.\nThe end.\nBread\n3\nYes 3"
+    assert found[104] == "The WHO met 4."

@@ -80,9 +80,10 @@ def main_texts(pages: DataFrame, *, min_pages: int = MIN_PAGES,
     """``page_id``, ``url`` and main ``text`` of every page, from ``url`` and ``html``.
 
     Subtrees that recur on a host are deleted, and so are elements that name
-    themselves as menus, footers, adverts, forms or the like. Within an article only
-    containers can be template: its paragraphs, headings, lists and tables are text
-    however often they recur. Blocks are joined by a line feed, white space within a
+    themselves as menus, footers, adverts, forms or the like. Only containers can be
+    template: paragraphs, headings, list items and inline elements go only with a
+    container that recurs, and an article's lists and tables are text however often
+    they recur. Blocks are joined by a line feed, white space within a
     block is one space. Null html counts as empty and gives an empty text; a null url
     has the empty host. Repeated rows give repeated results. Other columns are left out.
 

@@ -60,12 +60,13 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 class Element:
     """An element with its children in page order; text is held as strings."""
 
-    __slots__ = ("tag", "marks", "classes", "ids", "hidden", "role", "children", "parent", "hash")
+    __slots__ = ("tag", "marks", "classes", "ids", "hidden", "role", "children", "parent", "hash",
+                 "holds")
 
     def __init__(self, tag: str, attributes: str = "", parent: Element | None = None):
         self.tag, self.parent, self.children, self.hash = tag, parent, [], 0
         self.marks, self.hidden, self.role = "", False, ""
-        self.classes, self.ids = "", ""
+        self.classes, self.ids, self.holds = "", "", False
         if attributes:
             for name, value in ATTRIBUTE.findall(attributes):
                 name = name.lower()
@@ -142,14 +143,34 @@ def walk(root: Element):
         stack.extend(c for c in reversed(node.children) if not isinstance(c, str))
 
 
+def is_container(node: Element) -> bool:
+    return node.tag in CONTAINERS or (node.tag in BLOCK and node.tag not in FLOW)
+
+
+def may_recur(node: Element, inside: bool) -> bool:
+    """Whether an element may be template on its own.
+
+    Within an article containers only, no lists and tables. Elsewhere these too, and
+    table cells that hold containers. Headings, paragraphs, list items, data cells and
+    elements within a block go only with what holds them.
+    """
+    if inside:
+        return node.tag not in FLOW and (is_container(node) or node.holds)
+    return is_container(node) or (node.holds and (node.tag not in FLOW or node.tag in CELL))
+
+
 def set_hashes(root: Element) -> None:
-    """Give every element a hash of its whole subtree: names, marks and text."""
+    """Give every element a hash of its whole subtree: names, marks and text.
+
+    And note whether it holds a container.
+    """
     for node in reversed(list(walk(root))):
         mixed = xxhash.xxh64(f"<{node.tag}{node.marks}>")
         for child in node.children:
             mixed.update(" ".join(child.split()) if isinstance(child, str)
                          else child.hash.to_bytes(8, "little"))
         node.hash = mixed.intdigest()
+        node.holds = any(not isinstance(c, str) and (c.holds or is_container(c)) for c in node.children)
 
 
 def is_marked(node: Element, inside: bool) -> bool:
@@ -186,7 +207,7 @@ def main_parts(root: Element) -> list[Element]:
 def countable(root: Element) -> set[int]:
     """Hashes of all subtrees that may be part of a template.
 
-    All but the page's frame and, within its main parts, running text.
+    Containers but for the page's frame; see ``may_recur``.
     """
     found: set[int] = set()
     stack = [(root, False)]
@@ -194,8 +215,7 @@ def countable(root: Element) -> set[int]:
     while stack:
         node, inside = stack.pop()
         within = inside or (id(node) in mains and node is not root)
-        if node.tag not in ("", "html", "head", "body", "main", "article") and not (
-                inside and node.tag in FLOW):
+        if node.tag not in ("", "html", "head", "body", "main", "article") and may_recur(node, inside):
             found.add(node.hash)
         if node.tag != "head":
             stack.extend((c, within) for c in node.children if not isinstance(c, str))
@@ -224,7 +244,7 @@ def blocks(root: Element, template: frozenset[int] | set[int] = frozenset()) ->
                 held.append(node)
             elif node is not part and is_marked(node, inside):
                 end()
-            elif node.hash in template and node is not part and not (inside and node.tag in FLOW):
+            elif node.hash in template and node is not part and may_recur(node, inside):
                 end()
             elif node.tag == "br" or node.tag in CELL:
                 held.append(" ")
