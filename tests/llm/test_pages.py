@@ -137,3 +137,14 @@ def test_running_text_without_article_stays(spark):
              main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found[3] == "Conclusion\nIn Paris 3 people eat BLT.\nThe end.\nBread\n3\nYes 3"
     assert found[104] == "The WHO met 4."
+
+
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    def page(i):
+        menu = "<div class=part>Section menu</div>" if i < 8 else ""
+        return i, f"http://h/{'a' if menu else 'b'}/{i}", f"<body>{menu}<p>text {i}</p></body>"
+
+    for size in (20, 400):
+        df = spark.createDataFrame([page(i) for i in range(size)], "page_id long, url string, html string")
+        found = {r.page_id: r.text for r in main_texts(df).collect()}
+        assert found == {i: f"text {i}" for i in range(size)}

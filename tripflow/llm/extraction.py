@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import text_of, written
 from tripflow.llm.html import blocks, countable, parse, set_hashes
 
-# A subtree is template if it is on so many pages of a host and on such a share of them.
+# A subtree is template if it is on so many pages of a host, however large the host is.
 MIN_PAGES = 5
-MIN_SHARE = 0.05
 
 
 def host_of(url: str | Column) -> Column:
@@ -47,19 +46,14 @@ def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "hashes": hashes})
 
 
-def templates(subtrees: DataFrame, min_pages: int = MIN_PAGES,
-              min_share: float = MIN_SHARE) -> DataFrame:
+def templates(subtrees: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``host`` and ``hash`` of subtrees that recur on the host's pages.
 
     Pages with the same main text count once, so copies of a page are no template.
     """
     seen = subtrees.select("host", "content", F.explode("hashes").alias("hash")).distinct()
-    often = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") >= min_pages)
-    pages = subtrees.select("host", "content").distinct().groupBy("host").agg(
-        F.count(F.lit(1)).alias("pages"))
-    return often.join(pages, "host").where(F.col("n") >= F.col("pages") * min_share).select(
-        "host", "hash")
+    return seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") >= min_pages).select("host", "hash")
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,11 +69,10 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "text": texts})
 
 
-def main_texts(pages: DataFrame, *, min_pages: int = MIN_PAGES,
-               min_share: float = MIN_SHARE) -> DataFrame:
+def main_texts(pages: DataFrame, *, min_pages: int = MIN_PAGES) -> DataFrame:
     """``page_id``, ``url`` and main ``text`` of every page, from ``url`` and ``html``.
 
-    Subtrees that recur on a host are deleted, and so are elements that name
+    Subtrees that recur on ``min_pages`` different pages of a host are deleted, and so are elements that name
     themselves as menus, footers, adverts, forms or the like. Only containers can be
     template: paragraphs, headings, list items and inline elements go only with a
     container that recurs, and an article's lists and tables are text however often
@@ -97,7 +90,7 @@ def main_texts(pages: DataFrame, *, min_pages: int = MIN_PAGES,
     subtrees = written(
         keyed.select("host", "digest", "html").mapInPandas(
             _subtrees, "host string, digest string, content long, hashes array<long>"), "subtrees")
-    recurring = written(templates(subtrees, min_pages, min_share), "templates")
+    recurring = written(templates(subtrees, min_pages), "templates")
     own = subtrees.select("host", "digest", F.explode("hashes").alias("hash"))
     hits = written(
         own.join(recurring, ["host", "hash"]).groupBy("host", "digest").agg(
