@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import random
+from bisect import bisect_left, bisect_right
+from collections import Counter
+
 import pytest
 
-from tripflow.llm.sharding import histogram_shards
+from tripflow.llm.sharding import histogram_shards, refined
 
 
 def placed(df):
@@ -49,3 +53,45 @@ def test_awkward_rows(awkward, nothing):
     assert sorted(map(repr, same.collect())) == sorted(
         map(repr, found.select("doc_id", "text", "shard").collect()))
     assert histogram_shards(nothing).count() == 0
+
+
+def counted(keys: list[int], sizes: list[int]):
+    """The histogram between bounds, by sorting."""
+    def count(bounds):
+        rows = {}
+        for key, size in sorted(zip(keys, sizes)):
+            at = bisect_right(bounds, key)
+            held, n, first, _ = rows.get(at, (0, 0, key, key))
+            rows[at] = (held + size, n + 1, first, key)
+        return [(at, *row) for at, row in sorted(rows.items())]
+    return count
+
+
+@pytest.mark.parametrize("rows", [0, 1, 7, 200, 1000, 20_000])
+@pytest.mark.parametrize("kind", ["random", "few keys", "one huge", "dense", "low"])
+def test_splitters_against_sorted_sums(rows, kind):
+    for seed in range(3 if rows < 20_000 else 1):
+        rng = random.Random(f"{rows}{kind}{seed}")
+        keys = [rng.randrange(1 << 128) for _ in range(rows)]
+        sizes = [rng.randrange(1, 5000) for _ in range(rows)]
+        if kind == "few keys":
+            keys = [rng.choice([5, 1 << 90, (1 << 128) - 1]) for _ in range(rows)]
+        elif kind == "one huge" and rows:
+            sizes[rows // 2] = 10 ** 9
+        elif kind == "dense":
+            keys = [(1 << 127) + rng.randrange(rows * 2) for _ in range(rows)]
+        elif kind == "low":
+            keys = [rng.randrange(1 << rng.randrange(1, 129)) for _ in range(rows)]
+        shards, blocks = 8, 1 + 6 * (seed % 2)
+        bounds, below = refined(counted(keys, sizes), shards * blocks, shards, 0.001, 16)
+        assert bounds == sorted(bounds) and len(bounds) == shards * blocks - 1
+        order = sorted(keys)
+        assert below == [bisect_left(order, b) for b in bounds]
+        total, weight = sum(sizes), Counter()
+        for key, size in zip(keys, sizes):
+            weight[key] += size
+        heaviest = max(weight.values(), default=0)
+        for shard in range(1, shards):
+            bound = bounds[shard * blocks - 1]
+            got = sum(w for key, w in weight.items() if key < bound)
+            assert abs(got - total * shard / shards) <= max(0.001 * total / shards, heaviest)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -69,16 +69,24 @@ def splitters(keys: DataFrame, parts: int, shards: int, tolerance: float = TOLER
 
     ``keys`` has ``_high``, ``_low`` and ``size`` and should be stored: each round counts,
     exactly and over all rows, the bytes below every probe, and puts new probes into the
-    intervals in which a boundary is still open. A boundary is settled when its bytes
-    are within the tolerance, or when its interval holds a single key, which cannot be
-    cut. Only counts by interval reach the driver, at most ``probes`` per boundary.
+    intervals in which a boundary is still open, both ends of their keys included, so that
+    an interval only shrinks. A boundary is settled when its bytes are within the
+    tolerance, or when its interval holds a single key, which cannot be cut. Only counts
+    by interval reach the driver, at most ``probes + 2`` per boundary.
     """
+    return refined(lambda bounds: histogram(keys, bounds), parts, shards, tolerance, probes)
+
+
+def refined(count: Callable[[list[int]], list[tuple[int, int, int, int, int]]], parts: int,
+            shards: int, tolerance: float, probes: int) -> tuple[list[int], list[int]]:
+    """The rounds of :func:`splitters`; ``count`` gives the histogram between bounds."""
     top = 1 << 128
     bounds = [top * i // (parts * probes) for i in range(1, parts * probes)]
     each = parts // shards
     settled: dict[int, tuple[int, int]] = {}
+    widths: dict[int, int] = {}
     while True:
-        rows = histogram(keys, bounds)
+        rows = count(bounds)
         total = sum(r[1] for r in rows)
         ends = list(accumulate(r[1] for r in rows))
         counts = list(accumulate(r[2] for r in rows))
@@ -98,8 +106,13 @@ def splitters(keys: DataFrame, parts: int, shards: int, tolerance: float = TOLER
             lower, upper = goal - below, ends[i] - goal
             if min(lower, upper) <= near or first == last:
                 settled[part] = (first, below_rows) if lower <= upper else (last + 1, counts[i])
+            elif last - first >= widths.get(part, top):
+                raise RuntimeError(f"boundary {part} stays between {first} and {last}")
             else:
-                fresh.update(first + -(-(last - first) * k // probes) for k in range(1, probes + 1))
+                widths[part] = last - first
+                # Keys beyond the last one belong to other boundaries.
+                fresh.update(first + -(-(last - first) * k // probes) for k in range(probes + 1))
+                fresh.add(last + 1)
         if not fresh:
             break
         # Counting anew below these needs no memory of earlier rounds.
