@@ -16,6 +16,7 @@ from tripflow.llm import (
     neighbours,
     packing,
     quality,
+    repeats,
     sharding,
     urls,
 )
@@ -89,3 +90,8 @@ def op3_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_edit_embedding_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.fingerprint_rows(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_seed_extend_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
