@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tripflow.llm import queries
-from tripflow.llm.repeats import least_places, merged_runs, with_repeats, without_repeats
+from tripflow.llm.repeats import least_places, merged_runs, without_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -74,7 +74,7 @@ def test_overlapping_passages(spark, seed):
 
 def test_awkward_rows(awkward, nothing):
     rows = without_repeats(awkward)
-    assert set(rows.columns) == set(awkward.columns) | {"n_words", "n_removed", "kept_sha256"}
+    assert set(rows.columns) == set(awkward.columns) | {"n_words", "n_removed", "kept_sha256", "repeats"}
     assert found(rows) == wanted(awkward)
     assert without_repeats(nothing).count() == 0
 
@@ -85,7 +85,7 @@ def test_a_third_in_one_passage(spark):
     rows = [(i, f"{i} x{i} {line} y{i}" if i % 3 == 0 else " ".join(f"{i}-{k}" for k in range(60)))
             for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for r in with_repeats(df).collect():
+    for r in without_repeats(df).collect():
         assert [tuple(x) for x in r["repeats"]] == ([(2, 52)] if r["doc_id"] % 3 == 0 else [])
 
 

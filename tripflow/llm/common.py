@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -22,6 +23,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that :func:`written` gave and that no one reads any more."""
+    spark = df.sparkSession
+    for folder in {posixpath.dirname(file) for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def tasks(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

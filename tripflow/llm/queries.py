@@ -94,4 +94,5 @@ def op8_edit_embedding_fingerprints(spark: SparkSession, sf_dir: str) -> DataFra
 
 @query
 def op13_seed_extend_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.drop("text", "repeats")

@@ -14,23 +14,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import mixed, text_of, text_runs, without, written
+from tripflow.llm.common import discard, mixed, text_of, text_runs, without, written
 from tripflow.llm.words import word_hashes
 
 WINDOW = 35
 SEED = 8
 OUTPUTS = ("n_words", "n_removed", "kept_sha256")
-# Texts are known by 128 bits of hashes.
+# Texts are known by 95 bits of hashes.
 KEY = ("_t1", "_t2")
 # An anchor and all the words its windows reach, by 128 bits.
 REACH = ("_seed", "_reach", "_ends")
 _FIRST = np.uint64(0xD1B54A32D192ED03)
 _SECOND = np.uint64(0x8CB92BA72F3D8DD7)
 # Places of an anchor: the window's start is this many words to its left, at most.
-_MOST_LEFT = 1 << 16
+_MOST_LEFT = 1 << 15
 
 
 class Rolling:
@@ -103,7 +103,13 @@ def anchors_of(words: np.ndarray, counts: np.ndarray, window: int, seed: int) ->
 def keyed_texts(docs: DataFrame, text: str) -> DataFrame:
     """Rows with their text's key, which rows of equal text share."""
     whole = text_of(text)
-    return docs.withColumns({"_t1": F.xxhash64(whole), "_t2": F.xxhash64(F.lit(35), whole)})
+    check = F.crc32(whole.cast("binary")).bitwiseAND(F.lit((1 << 31) - 1))
+    return docs.withColumns({"_t1": F.xxhash64(whole), "_t2": check.cast("int")})
+
+
+def whole_texts(docs: DataFrame, text: str) -> DataFrame:
+    """Keys and texts alone, alike wherever they are shuffled by key, so that this is done once."""
+    return keyed_texts(docs.select(text_of(text).alias("text")), "text")
 
 
 def anchors(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
@@ -120,9 +126,8 @@ def anchors(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
                     "_seed": rows["seed"], "_reach": rows["reach"],
                     "_ends": rows["left"] * _MOST_LEFT + rows["right"]})
 
-    narrow = keyed_texts(docs.select(text_of(text).alias("text")), "text")
-    return narrow.mapInPandas(
-        found, "_t1 long, _t2 long, _place long, _seed long, _reach long, _ends long")
+    return whole_texts(docs, text).mapInPandas(
+        found, "_t1 long, _t2 int, _place int, _seed long, _reach long, _ends int")
 
 
 def repeated_windows(docs: DataFrame, asked: DataFrame, text: str, window: int) -> DataFrame:
@@ -141,7 +146,7 @@ def repeated_windows(docs: DataFrame, asked: DataFrame, text: str, window: int)
             texts = batch["text"].tolist()
             for begin, end in text_runs(texts):
                 words, counts = word_hashes(texts[begin:end])
-                first, second = Rolling(words, _FIRST), Rolling(words, _SECOND)
+                second = Rolling(words, _SECOND)
                 starts = np.cumsum(counts) - counts
                 places, rows = [], []
                 for number, own in enumerate(batch["_asked"].iloc[begin:end]):
@@ -156,19 +161,19 @@ def repeated_windows(docs: DataFrame, asked: DataFrame, text: str, window: int)
                 at = np.array(places, dtype=np.int64)[number] - left
                 yield pd.DataFrame({
                     "_seed": reach[number, 0], "_reach": reach[number, 1], "_ends": reach[number, 2],
-                    "_left": left, "_w1": first.runs(at, at + window).view(np.int64),
-                    "_w2": second.runs(at, at + window).view(np.int64)})
+                    "_left": left, "_words": second.runs(at, at + window).view(np.int64)})
 
-    texts = keyed_texts(docs.select(text_of(text).alias("text")), "text")
     answers = (
-        texts.join(by_text, list(KEY))
-        .mapInPandas(hashed, "_seed long, _reach long, _ends long, _left long, _w1 long, _w2 long")
+        whole_texts(docs, text).join(by_text, list(KEY))
+        .mapInPandas(hashed, "_seed long, _reach long, _ends int, _left int, _words long")
     )
-    met = answers.groupBy("_w1", "_w2").agg(
-        F.min(F.struct(*REACH)).alias("_low"), F.max(F.struct(*REACH)).alias("_high")
-    ).where("_low != _high").select("_w1", "_w2")
+    # Equal windows have their anchor at the same place, which makes up for half of the bits.
+    same = ["_seed", "_left", "_words"]
+    reach = F.xxhash64("_reach", "_ends")
+    met = answers.groupBy(*same).agg(F.min(reach).alias("_low"), F.max(reach).alias("_high")).where(
+        "_low != _high").select(*same)
     one = F.col("_left") * _MOST_LEFT + F.col("_left")
-    return answers.join(met, ["_w1", "_w2"], "left_semi").groupBy(*REACH).agg(
+    return answers.join(met, same, "left_semi").groupBy(*REACH).agg(
         F.collect_set(one).alias("_spans"))
 
 
@@ -181,6 +186,7 @@ def covered(docs: DataFrame, text: str = "text", window: int = WINDOW, seed: int
     found = written(anchors(docs, text, window, seed), "anchors")
     often = found.groupBy("_seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     met = written(found.join(often.select("_seed"), "_seed", "left_semi"), "seeds")
+    discard(found)
     # What reaches equally far around equal words, copies of whole texts included, needs one answer.
     reaches = written(
         met.groupBy(*REACH).agg(F.count(F.lit(1)).alias("_n"),
@@ -212,61 +218,50 @@ def merged_runs(runs: Iterable[tuple[int, int]], window: int) -> Iterator[tuple[
         yield begin, end
 
 
-def with_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """Add ``repeats``: runs of words (from, to) of each text that stand elsewhere too.
-
-    Words are runs of anything but ASCII white space. A run is the union of overlapping or
-    adjoining windows of ``window`` words whose words, in order, also start at another place
-    of the same or another row. Null, empty and short texts have none; rows of equal text
-    have all their words in one if they are long enough; rows repeated as a whole count as
-    often as they come. Input columns named like the new one or starting with ``_t`` and a
-    digit are replaced. Work and memory go by words, never by pairs: seeds, reaches and
-    windows are counted, and copies of a text or passage collapse while counting.
-    """
+def repeats_of_texts(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
+    """Per distinct text its key, ``n_words``, ``n_removed``, ``kept_sha256`` and ``repeats``."""
     if not 1 <= seed <= window < _MOST_LEFT:
-        raise ValueError("a seed is shorter than a window")
-    kept = without(docs, ("repeats", "_runs", *KEY))
-    runs = covered(kept, text, window, seed)
-
-    @F.pandas_udf("array<struct<from:long,to:long>>")
-    def runs_of(column: pd.Series) -> pd.Series:
-        return pd.Series([
-            [] if runs is None else [
-                {"from": a, "to": b}
-                for a, b in merged_runs([(r["first"], r["last"]) for r in runs], window)]
-            for runs in column])
-
-    keyed = keyed_texts(kept, text)
-    return keyed.join(runs, list(KEY), "left").select(*kept.columns, runs_of("_runs").alias("repeats"))
-
-
-def kept_words(text: Column, repeats: Column) -> Column:
-    """Counts of all and of removed words, and the SHA-256 of the kept ones, as a struct."""
-    @F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
-    def judged(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
-        rows = []
-        for value, own in zip(texts, runs):
-            # Bytes split at ASCII white space only.
-            words = value.encode("utf-8").split()
-            total, end, kept = len(words), 0, []
-            for run in own:
-                kept += words[end:run["from"]]
-                end = run["to"]
-            kept += words[end:]
-            digest = hashlib.sha256(b" ".join(kept)).hexdigest()
-            rows.append((total, total - len(kept), digest))
-        return pd.DataFrame(rows, columns=list(OUTPUTS))
-
-    return judged(text, repeats)
+        raise ValueError("a seed has one to as many words as a window")
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.drop_duplicates(list(KEY))
+            rows = []
+            for value, own in zip(batch["text"], batch["_runs"]):
+                # Bytes split at ASCII white space only.
+                words = value.encode("utf-8").split()
+                total, end, kept = len(words), 0, []
+                own = [] if own is None else [(r["first"], r["last"]) for r in own]
+                runs = list(merged_runs(own, window))
+                for begin, after in runs:
+                    kept += words[end:begin]
+                    end = after
+                kept += words[end:]
+                rows.append((total, total - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(),
+                             [{"from": a, "to": b} for a, b in runs]))
+            found = pd.DataFrame(rows, columns=[*OUTPUTS, "repeats"], index=batch.index)
+            yield pd.concat([batch[list(KEY)], found], axis=1)
+
+    runs = covered(docs, text, window, seed)
+    return whole_texts(docs, text).join(runs, list(KEY), "left").mapInPandas(
+        judged, "_t1 long, _t2 int, n_words long, n_removed long, kept_sha256 string, "
+        "repeats array<struct<from:long,to:long>>").dropDuplicates(list(KEY))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """Add ``n_words``, ``n_removed`` and ``kept_sha256`` of each text, see :func:`with_repeats`.
+    """Add ``n_words``, ``n_removed``, ``kept_sha256`` and ``repeats`` of each text.
 
-    The hash is of the words in no repeat, joined by single spaces, in lowercase hex. Null and
-    empty texts have no words and the empty string's hash.
+    ``repeats`` are runs of words (from, to) that stand elsewhere too, each the union of
+    overlapping or adjoining windows of ``window`` words whose words, in order, also start at
+    another place of the same or another row. The hash is of the words in none, joined
+    by single spaces, in lowercase hex.
+
+    Words are runs of anything but ASCII white space. Null, empty and short texts have no
+    repeats; rows that come more than once repeat each other. Input columns named like the new
+    ones are replaced. Work and memory go by words, never by pairs: seeds, reaches and
+    windows are counted, and copies of a text or passage collapse while counting.
     """
-    rows = with_repeats(without(docs, OUTPUTS), text, window, seed)
-    judged = rows.withColumn("_judged", kept_words(text_of(text), F.col("repeats")))
-    return judged.select(
-        *[c for c in judged.columns if c not in ("repeats", "_judged")], "_judged.*")
+    names = [*OUTPUTS, "repeats"]
+    kept = without(docs, [*names, *KEY])
+    found = repeats_of_texts(kept, text, window, seed)
+    return keyed_texts(kept, text).join(found, list(KEY)).select(*kept.columns, *names)
