@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import discard, mixed, text_of, text_runs, without, written
@@ -130,6 +130,15 @@ def anchors(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
         found, "_t1 long, _t2 int, _place int, _seed long, _reach long, _ends int")
 
 
+def dealt_anew(names: list[str]) -> list[Column]:
+    """Columns of the same numbers that Spark takes for new ones.
+
+    A join by them shuffles both its sides by itself, which lets adaptive execution split hot
+    keys; sums that lie as the join needs them would keep it from that.
+    """
+    return [F.coalesce(F.col(n), F.lit(0)).bitwiseOR(F.lit(0)).alias(n) for n in names]
+
+
 def repeated_windows(docs: DataFrame, asked: DataFrame, text: str, window: int) -> DataFrame:
     """Of asked anchors, by how many words to the left their repeated windows start.
 
@@ -171,7 +180,7 @@ def repeated_windows(docs: DataFrame, asked: DataFrame, text: str, window: int)
     same = ["_seed", "_left", "_words"]
     reach = F.xxhash64("_reach", "_ends")
     met = answers.groupBy(*same).agg(F.min(reach).alias("_low"), F.max(reach).alias("_high")).where(
-        "_low != _high").select(*same)
+        "_low != _high").select(*dealt_anew(same))
     one = F.col("_left") * _MOST_LEFT + F.col("_left")
     return answers.join(met, same, "left_semi").groupBy(*REACH).agg(
         F.collect_set(one).alias("_spans"))
@@ -184,15 +193,20 @@ def covered(docs: DataFrame, text: str = "text", window: int = WINDOW, seed: int
     counted in words.
     """
     found = written(anchors(docs, text, window, seed), "anchors")
-    often = found.groupBy("_seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    met = written(found.join(often.select("_seed"), "_seed", "left_semi"), "seeds")
+    # Counts are stored before they are joined, so that adaptive execution can split a hot seed.
+    often = written(
+        found.groupBy("_seed").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_seed"), "often")
+    met = written(found.join(often, "_seed", "left_semi"), "seeds")
     discard(found)
+    discard(often)
     # What reaches equally far around equal words, copies of whole texts included, needs one answer.
     reaches = written(
         met.groupBy(*REACH).agg(F.count(F.lit(1)).alias("_n"),
                                 F.min(F.struct(*KEY, "_place")).alias("_one")), "reaches")
-    several = reaches.groupBy("_seed").agg(F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1")
-    asked = reaches.join(several.select("_seed"), "_seed", "left_semi").select("_one.*", *REACH)
+    several = written(
+        reaches.groupBy("_seed").agg(F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1").select("_seed"),
+        "several")
+    asked = reaches.join(several, "_seed", "left_semi").select("_one.*", *REACH)
     wholly = reaches.where("_n > 1").select(*REACH, F.array("_ends").alias("_spans"))
     partly = repeated_windows(docs, asked, text, window)
     either = wholly.unionByName(partly.join(wholly.select(*REACH), list(REACH), "left_anti"))
