@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+
+from tests.conftest import SMALL
+from tests.oracle import differences
+from tripflow.llm import collocations as module
+from tripflow.llm import queries
+from tripflow.llm.collocations import collocations, counted_runs, local_key, phrase_counts, tokens_of
+
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def pieces_of(text: str | None) -> list[list[str]]:
+    return [[w for w in re.split("[ \t]+", p) if w]
+            for p in re.split("[.,;:!?\n-\r]", (text or "").translate(UPPER))]
+
+
+def brute_counts(rows) -> Counter:
+    found = Counter()
+    for lang, text in rows:
+        for words in pieces_of(text):
+            for size in (1, 2, 3):
+                for i in range(len(words) - size + 1):
+                    found[lang or "und", " ".join(words[i:i + size])] += 1
+    return found
+
+
+def brute(rows, least=10, top=2000, share=50) -> list[tuple]:
+    f = brute_counts(rows)
+    scored: dict[str, list] = {}
+    candidates = {k: a for k, a in f.items() if " " in k[1] and a >= least}
+    for (lang, phrase), a in candidates.items():
+        words = phrase.split(" ")
+        if any(100 * b >= share * a for (other, longer), b in candidates.items()
+               if other == lang and longer != phrase and f" {phrase} " in f" {longer} "):
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[lang, " ".join(words[:k])], f[lang, " ".join(words[k:])]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        n = sum(c for (other, p), c in f.items() if other == lang and " " not in p)
+        scored.setdefault(lang, []).append((-score, -a, phrase.encode(), left, right, n))
+    return sorted((lang, rank, p.decode(), -a, left, right, n, -s) for lang, own in scored.items()
+                  for rank, (s, a, p, left, right, n) in enumerate(sorted(own)[:top], 1))
+
+
+def rows_of(df) -> list[tuple]:
+    assert df.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(map(tuple, df.collect()))
+
+
+def test_query_against_sql(spark):
+    name = "op11_external_stream_collocations"
+    found = queries.QUERIES[name](spark, SMALL).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    assert differences(found, con.execute(queries.ORACLES[name]).df()) == ""
+    assert len(found) > 100
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_brute_force(spark, monkeypatch, seed):
+    """Few words in several languages, odd separators, small slices and ranges that cut phrases."""
+    monkeypatch.setattr(module, "CHARS", 300)
+    monkeypatch.setattr(module, "SLICE", 37)
+    rng = random.Random(seed)
+    words = ["the", "The", "a", "of", "Élan", "été", "漢字", "x y", "\x01", "-", "b'c", "zz"][:4 + 4 * seed]
+    gaps = [" ", " ", " ", "  ", "\t", ". ", "\n", ",", " ;", "\x0b", "\x85"]
+    rows = [(rng.choice(["en", "en", "fr", "und", None, "e"]),
+             None if rng.random() < 0.05 else "".join(
+                 rng.choice(words) + rng.choice(gaps) for _ in range(rng.randrange(60))))
+            for _ in range(150)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    wanted = brute_counts(rows)
+    counts = {(r["lang"], r["phrase"]): r["times"] for r in phrase_counts(df, least=3).collect() if r["size"]}
+    assert counts == {k: v for k, v in wanted.items() if v >= 3}
+    assert rows_of(collocations(df)) == brute(rows)
+    assert rows_of(collocations(df, least=2, top=7, share=90)) == brute(rows, 2, 7, 90)
+
+
+def test_awkward_rows(awkward, nothing):
+    rows = [(r["lang"], r["text"]) for r in awkward.collect()]
+    assert rows_of(collocations(awkward, least=2)) == brute(rows, 2)
+    assert rows_of(collocations(nothing)) == []
+
+
+def test_products_beyond_64_bits(spark, monkeypatch):
+    big = 10 ** 12
+    counts = spark.createDataFrame(
+        [("en", 0, None, 9 * big), ("en", 1, "a", 3 * big + 1), ("en", 1, "b", 2 * big + 1),
+         ("en", 2, "a b", 2 * big - 1)], "lang string, size int, phrase string, times long")
+    monkeypatch.setattr(module, "phrase_counts", lambda *args: counts)
+    a, left, right = 2 * big - 1, 3 * big + 1, 2 * big + 1
+    assert rows_of(collocations(counts)) == [
+        ("en", 1, "a b", a, left, right, 9 * big, 1_000_000 * a * a // (left * right))]
+
+
+def test_local_runs_and_bounds():
+    tokens = tokens_of(["A b c. b", "c d"])
+    assert tokens == [b"a", b"b", b"c", b"\n", b"b", b"\n", b"c", b"d"]
+    words, runs, times = counted_runs(tokens, len(tokens))
+    told = [tuple(int(r) >> s & (1 << 21) - 1 for s in (42, 21, 0)) for r in runs]
+    assert words == [b"a", b"b", b"c", b"d"] and times.tolist() == [1] * 6
+    assert told == [(1, 2, 3), (2, 0, 0), (2, 3, 0), (3, 0, 0), (3, 4, 0), (4, 0, 0)]
+    plain = [tuple(words[i - 1] if i else b"" for i in run) for run in told]
+    for bound in [(b"a", b"b", b"c"), (b"aa", b"x", b""), (b"b", b"", b""), (b"b", b"b", b"zz"),
+                  (b"b", b"cc", b"a"), (b"c", b"d", b"e"), (b"z", b"", b""), (b"", b"", b"")]:
+        key = local_key(("en", *bound), words)
+        assert sum(int(r) < key for r in runs) == sum(p < bound for p in plain)

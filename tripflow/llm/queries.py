@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import (
     bagminhash,
+    collocations,
     edits,
     extraction,
     language,
@@ -26,8 +27,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn: Callable) -> Callable:
+def query(fn: Callable, sql: str | None = None) -> Callable:
     QUERIES[fn.__name__] = fn
+    if sql:
+        ORACLES[fn.__name__] = sql.strip()
     return fn
 
 
@@ -96,3 +99,42 @@ def op8_edit_embedding_fingerprints(spark: SparkSession, sf_dir: str) -> DataFra
 def op13_seed_extend_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.drop("text", "repeats")
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[ \t]+') IF w <> ''] AS words FROM pieces),
+grams AS (
+  SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM split, (VALUES (1), (2), (3)) AS s(size) WHERE len(words) >= size)),
+f AS (SELECT lang, size, phrase, count(*) AS times FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(times) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, times AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND times >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, a, k, x.times AS l, y.times AS r,
+    CAST(1000000::HUGEINT * a * a // (x.times::HUGEINT * y.times) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (1), (2)) AS s(i) WHERE size = 3 GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM lowest JOIN totals USING (lang) LEFT JOIN inner_phrases USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+
+def op11_external_stream_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+query(op11_external_stream_collocations, COLLOCATIONS_SQL)
