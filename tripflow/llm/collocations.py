@@ -31,7 +31,7 @@ UNKNOWN = "und"
 ENDS = b".,;:!?\n\x0b\x0c\r"
 PARTS = b" \t"
 # Characters of texts, and words, sorted and counted at a time; word numbers take 21 bits.
-CHARS = 1 << 23
+CHARS = 1 << 22
 SLICE = (1 << 21) - 4
 # Texts, and runs of each, from which the ranges are planned.
 SAMPLE, EACH = 1024, 64
