@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripflow.llm import (
     bagminhash,
     collocations,
+    conversations,
     edits,
     extraction,
     language,
@@ -138,3 +139,8 @@ def op11_external_stream_collocations(spark: SparkSession, sf_dir: str) -> DataF
 
 
 query(op11_external_stream_collocations, COLLOCATIONS_SQL)
+
+
+@query
+def op12_weighted_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(table(spark, sf_dir, "conversations"))
