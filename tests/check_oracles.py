@@ -22,6 +22,7 @@ if __name__ == "__main__":
     names = sys.argv[2:] or list(QUERIES)
     spark = init_spark("oracles", {
         "spark.master": "local[8]", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": 8})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()

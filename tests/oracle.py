@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from datetime import date, datetime
 
 import pandas as pd
 
@@ -13,8 +14,11 @@ def _text(value) -> str:
         return "NULL"
     if isinstance(value, float):
         return repr(value)
-    if isinstance(value, pd.Timestamp):
+    if isinstance(value, (pd.Timestamp, datetime)):
         return value.isoformat()
+    # One engine gives a day as a date, the other as its midnight.
+    if isinstance(value, date):
+        return datetime(value.year, value.month, value.day).isoformat()
     return str(value)
 
 

@@ -14,6 +14,8 @@ from tripflow.sinks import (
     append_table,
     encode_messages,
     ensure_table,
+    finished_versions,
+    register_stored,
     replace_table,
     truncate_table,
     write_day_partitioned,
@@ -153,3 +155,59 @@ def test_one_table_per_file(spark, tmp_path):
     assert values(spark.table("zones")) == [("1", "A")]
     spark.sql("DROP TABLE rates")
     spark.sql("DROP TABLE zones")
+
+
+def failing(spark):
+    """Rows of which some cannot be computed."""
+    return spark.range(0, 100, numPartitions=4).select(
+        F.when(F.col("id") == 90, F.raise_error(F.lit("no such row"))).otherwise(F.col("id"))
+        .cast("long").alias("id"))
+
+
+@pytest.mark.parametrize("where", ["warehouse", "folder"])
+def test_a_failed_replace_leaves_the_old_rows(spark, tmp_path, where):
+    place = {"location": str(tmp_path / "t")} if where == "folder" else {}
+    replace_table(spark.range(3), "kept_table", **place)
+    with pytest.raises(Exception, match="no such row"):
+        replace_table(failing(spark), "kept_table", **place)
+    assert values(spark.table("kept_table")) == [(0,), (1,), (2,)]
+    replace_table(spark.range(5), "kept_table", **place)
+    assert spark.table("kept_table").count() == 5
+    spark.sql("DROP TABLE kept_table")
+
+
+@pytest.mark.parametrize("by", [[], ["p"]])
+def test_a_table_is_replaced_by_its_own_rows(spark, tmp_path, by):
+    place = str(tmp_path / "t")
+    replace_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "v int, p string"), "own_rows", by,
+                  location=place)
+    before = spark.table("own_rows")
+    replace_table(before.where("v > 1").select((F.col("v") * 10).alias("v"), "p"), "own_rows", by,
+                  location=place)
+    assert values(spark.table("own_rows")) == [(20, "b"), (30, "b")]
+    # A reader that began before still has the rows of its version.
+    assert values(before) == [(1, "a"), (2, "b"), (3, "b")]
+    assert len(finished_versions(spark, place)) == 2
+    replace_table(spark.table("own_rows").where("v < 30"), "own_rows", by, location=place, keep=0)
+    assert values(spark.table("own_rows")) == [(20, "b")]
+    assert len(finished_versions(spark, place)) == 1
+    # An empty catalog finds the newest version again.
+    spark.sql("DROP TABLE own_rows")
+    assert register_stored(spark, "own_rows", place)
+    assert values(spark.table("own_rows")) == [(20, "b")]
+    spark.sql("DROP TABLE own_rows")
+
+
+def test_unfinished_versions_are_passed_over(spark, tmp_path):
+    place = str(tmp_path / "t")
+    for n in (2, 3, 4):
+        replace_table(spark.range(n), "versioned", location=place, keep=5)
+    newest = finished_versions(spark, place)[-1].removeprefix("file:")
+    (tmp_path / "t" / "v000000000009-broken").mkdir()
+    assert finished_versions(spark, place)[-1].removeprefix("file:") == newest
+    replace_table(spark.range(7), "versioned", location=place, keep=1)
+    assert [f.rsplit("/v", 1)[1][:12] for f in finished_versions(spark, place)] == [
+        "000000000003", "000000000010"]
+    assert not (tmp_path / "t" / "v000000000009-broken").exists()
+    assert spark.table("versioned").count() == 7
+    spark.sql("DROP TABLE versioned")

@@ -66,7 +66,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         trips = stored(args.source_table)
         table = args.dest_table or report_table_name(args.start_time)
         write_report(trips, args.start_time, args.end_time, table=table, location=place(table),
-                     day_col=DAY if DAY in trips.columns else None)
+                     day_col=DAY if DAY in trips.columns else None, keep=0)
     elif args.job == "merge":
         service = SERVICE[args.service]
         table = args.dest_table or service.table_name()
@@ -86,7 +86,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             write_jdbc(df, args.url, table, mode="overwrite", **login)
 
         def to_table(df, table):
-            replace_table(df, table, location=place(table))
+            replace_table(df, table, location=place(table), keep=0)
 
         load_files_to_tables(spark, args.path, to_database if args.url else to_table)
 

@@ -177,9 +177,13 @@ def write_report(
     day_col: str | None = None,
     table: str | None = None,
     location: str | None = None,
+    keep: int = 1,
 ) -> str:
     """Replace a report table, by default the one of ``start``'s year; returns its name.
 
+    ``keep`` earlier versions stay for their readers.
+
+
     Without ``end`` the report covers the whole calendar year, its last second's
     fractions included.
     """
@@ -187,7 +191,7 @@ def write_report(
     end = f"{report_year(start) + 1}-01-01 00:00:00" if end is None else end
     name = table or report_table_name(start)
     report = monthly_revenue(trips, start, end, half_open=half_open, day_col=day_col)
-    replace_table(report, name, location=location)
+    replace_table(report, name, location=location, keep=keep)
     return name
 
 

@@ -857,11 +857,10 @@ seen AS (SELECT max(ts) - INTERVAL 5 SECOND AS mark FROM batches WHERE batch < 3
 kept AS (SELECT b.* FROM batches b, seen WHERE batch < 3 OR
   time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE > mark)
 SELECT user_id, event_type, count(*) AS event_count, min(event_id) AS first_id,
-  max(event_id) AS last_id, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
-  time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end
-FROM kept GROUP BY ALL
-HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <=
-  (SELECT max(ts) - INTERVAL 5 SECOND FROM batches)""")
+  max(event_id) AS last_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end
+FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start FROM kept)
+GROUP BY user_id, event_type, window_start
+HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 5 SECOND FROM batches)""")
 def stream_late_rows(spark, sf_dir):
     """Three batches; a tenth of the rows comes in the last, behind the watermark, and is dropped."""
     events = fixtures.table(spark, sf_dir, "events")

@@ -11,11 +11,14 @@ from tripflow.sinks.tables import (
     truncate_table,
     write_day_partitioned,
 )
+from tripflow.sinks.versions import expire_versions, finished_versions
 
 __all__ = [
     "append_table",
     "encode_messages",
     "ensure_table",
+    "expire_versions",
+    "finished_versions",
     "register_stored",
     "replace_table",
     "truncate_table",

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.sinks.versions import (
+    expire_versions,
+    point_table,
+    register_version,
+    write_version,
+)
 from tripflow.sources.files import list_paths
 
 
@@ -50,6 +56,8 @@ def register_stored(spark: SparkSession, name: str, location: str) -> bool:
 
     Returns whether the catalog knows the table afterwards.
     """
+    if not spark.catalog.tableExists(name) and register_version(spark, name, location):
+        return True
     if not spark.catalog.tableExists(name) and list_paths(spark, f"{location}/_SUCCESS"):
         stored = spark.read.parquet(location)
         if stored.columns:
@@ -66,20 +74,22 @@ def _column_ddl(field: T.StructField) -> str:
 
 
 def replace_table(
-    df: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None,
+    keep: int = 1
 ) -> None:
-    """Create or replace a table with the frame's rows and schema.
+    """Create or replace a table with the frame's rows and schema, atomically.
 
-    All earlier rows go, partitions without new rows included, whatever the session
-    says about overwriting partitions.
+    The rows, which may come from the table itself, are written to a new folder under
+    ``location``, by default one in the warehouse; then the table is pointed to it, see
+    :mod:`tripflow.sinks.versions`. If the write fails the table keeps its rows. ``keep``
+    earlier versions stay for their readers.
     """
-    writer = df.write.mode("overwrite").format("parquet").option(
-        "partitionOverwriteMode", "static")
-    if location:
-        writer = writer.option("path", location)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    spark = df.sparkSession
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    base = (location or f"{warehouse}/{name}.versions").rstrip("/")
+    path = write_version(df, base, partition_by)
+    point_table(spark, name, path, df.schema, partition_by)
+    expire_versions(spark, base, keep)
 
 
 def append_table(
@@ -112,14 +122,18 @@ def truncate_table(spark: SparkSession, name: str) -> None:
 def spread_by_day(
     df: DataFrame, time_col: str, day_col: str, partitions: int | None = None
 ) -> DataFrame:
-    """Add the day column and order rows by it across tasks, for writing.
+    """Add the day column and deal rows out by it, for writing.
 
-    A task holds one day or a few neighbouring ones, so there are about as many files
-    as tasks and days together; a day with many rows spreads over several tasks, in
-    ranges of a hash of the row. ``partitions`` fixes the number of tasks; otherwise it
-    is the session's, and adaptive execution joins small ones.
+    A task holds one day or a few, so there are about as many files as tasks and days
+    together; adaptive execution joins small tasks and spreads a large day over several. The
+    input is read once. ``partitions`` fixes the number of tasks, which are then ranges of
+    the day and a hash of the row; so it is without adaptive execution. Ranges need a sample,
+    for which the input is computed once more.
     """
+    spark = df.sparkSession
     dated = df.withColumn(day_col, F.to_date(time_col))
+    if not partitions and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        return dated.hint("rebalance", day_col)
     order = [F.col(day_col), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     if partitions:
         return dated.repartitionByRange(partitions, *order)

@@ -77,6 +77,12 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in system.globStatus(path) or [])
 
 
+def delete_path(spark: SparkSession, name: str) -> None:
+    """Delete a file or folder by the session's file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def read_parquet_like(
     spark: SparkSession, paths: Sequence[str], reference: str | None = None
 ) -> DataFrame:
