@@ -12,7 +12,13 @@ from tripflow.operators.explore import (
 )
 from tripflow.operators.harmonize import harmonize, union_services
 from tripflow.operators.marks import high_water_mark, latest_marks
-from tripflow.operators.merge import days_of, insert_only, on_days, with_row_id
+from tripflow.operators.merge import (
+    days_of,
+    insert_only,
+    insert_only_bucketed,
+    on_days,
+    with_row_id,
+)
 from tripflow.operators.report import monthly_revenue, report_table_name
 from tripflow.operators.windows import tumbling_counts
 from tripflow.operators.zones import least_frequent_zones, with_zone, zone_counts
@@ -26,6 +32,7 @@ __all__ = [
     "high_water_mark",
     "days_of",
     "insert_only",
+    "insert_only_bucketed",
     "on_days",
     "latest_marks",
     "least_frequent_zones",

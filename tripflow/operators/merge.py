@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.keys import md5_key
+from tripflow.sinks.files import stored
 
 ROW_ID = "unique_row_id"
 
@@ -41,6 +42,24 @@ def insert_only(staging: DataFrame, target: DataFrame, key: str = ROW_ID) -> Dat
     return staging.join(target.select(key), key, "left_anti")
 
 
+def new_ids(staging: DataFrame, target: DataFrame, key: str = ROW_ID) -> DataFrame:
+    """Staging ids that a target in buckets by ``key`` lacks; the target stays where it lies.
+
+    The ids are made distinct, which combines a hot one before it is moved, and go to the
+    target's buckets.
+    """
+    return staging.select(key).distinct().join(target.select(key), key, "left_anti")
+
+
+def insert_only_bucketed(staging: DataFrame, target: DataFrame, key: str = ROW_ID) -> DataFrame:
+    """:func:`insert_only` for a target in buckets by ``key``.
+
+    The new ids are stored, so that adaptive execution can split a hot one when they choose
+    the staging rows. The staging is read twice and should be stored too.
+    """
+    return staging.join(stored(new_ids(staging, target, key), "new-ids"), key, "left_semi")
+
+
 def days_of(rows: DataFrame, day: Column) -> list:
     """The days rows fall on, None among them for rows without one.
 

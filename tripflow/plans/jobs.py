@@ -20,11 +20,13 @@ from tripflow.operators.merge import (
     ROW_ID,
     days_of,
     insert_only,
+    insert_only_bucketed,
     on_days,
     with_row_id,
 )
 from tripflow.operators.report import monthly_revenue, report_table_name, report_year
 from tripflow.schema import SERVICE, TRIP_DATA
+from tripflow.sinks.files import stored
 from tripflow.sinks.tables import append_table, ensure_table, replace_table
 from tripflow.sources.files import list_paths, read_csv_files
 from tripflow.sources.tables import Moment, read_since
@@ -48,13 +50,15 @@ def staged_merge(
 
     If ``time_col`` is among the key columns, rows of different days cannot be the same,
     short of ids that collide for want of a separator: given ``target_day`` as well,
-    only target rows of the days found in ``raw`` are compared. The days are found at
-    once from that one column. Otherwise the whole target is compared.
+    only target rows of the days found in ``raw`` are compared. The staging rows are then
+    stored at once and the days read from there, so that ``raw`` is read once. Otherwise
+    the whole target is compared.
     """
     staging = with_row_id(raw, key_cols, source_name, make_key=make_key, sep=sep)
     in_key = time_col in [c for c in key_cols if isinstance(c, str)]
     if in_key and target_day is not None:
-        target = on_days(target, target_day, days_of(raw, F.to_date(time_col)))
+        staging = stored(staging, "staging")
+        target = on_days(target, target_day, days_of(staging, F.to_date(time_col)))
     new = insert_only(staging, target, ROW_ID)
     return new.dropDuplicates([ROW_ID]) if dedupe else new
 
@@ -72,20 +76,34 @@ def merge_into_table(
     day_col: str = "pickup_date",
     location: str | None = None,
     partitions: int | None = None,
+    buckets: int | None = None,
     **options,
 ) -> None:
-    """Load a service's raw rows into its table, partitioned by pickup day or not.
+    """Load a service's raw rows into its table, by pickup day, in buckets, or neither.
 
     The table is created if need be. Running the job again, also after a failure,
     adds nothing twice. One writer per table at a time. The key defaults to the
     service's hashed key and the layout to its table's; a database-like table takes
     ``schema=database_types(service.table_schema)``, ``key_cols=service.text_key``,
     ``make_key=concat_key`` and ``by_day=False``.
+
+    With ``buckets`` the table lies in so many buckets by row id instead, and merges move the
+    staging rows alone, whatever their days. Their number is fixed when the table is made:
+    take it such that a bucket's ids fit a task.
     """
     service = SERVICE[service_name]
+    bucket_by = (ROW_ID, buckets) if buckets else None
+    by_day = by_day and not buckets
     day_of = service.pickup if by_day else None
     ensure_table(spark, table, schema or service.table_schema, day_of=day_of, day_col=day_col,
-                 location=location)
+                 location=location, bucket_by=bucket_by)
+    if bucket_by:
+        dedupe = options.pop("dedupe", False)
+        staging = stored(with_row_id(raw, key_cols or service.hashed_key, source_name, **options),
+                         "staging")
+        new = insert_only_bucketed(staging, spark.table(table))
+        append_table(new.dropDuplicates([ROW_ID]) if dedupe else new, table, bucket_by=bucket_by)
+        return
     new = staged_merge(
         raw,
         spark.table(table),

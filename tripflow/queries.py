@@ -10,6 +10,7 @@ from collections.abc import Callable
 from datetime import timedelta
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +49,7 @@ from tripflow.schema import SERVICE, TRIP_DATA, TRIP_MESSAGE
 from tripflow.session import shared_dir
 from tripflow.sinks import (
     append_table,
+    compact_days,
     encode_messages,
     ensure_table,
     replace_table,
@@ -498,7 +500,7 @@ FROM keyed s WHERE NOT EXISTS (SELECT 1 FROM target t
   WHERE t.unique_row_id = s.unique_row_id AND t.service_type = s.service_type)"""
 
 
-def _merged_tables(spark, sf_dir, by_day):
+def _merged_tables(spark, sf_dir, **layout):
     """Both services' tables, all columns, after a load and a second one that contains it."""
     results = []
     for name, service in SERVICE.items():
@@ -506,7 +508,7 @@ def _merged_tables(spark, sf_dir, by_day):
         table, location = _new_table(spark, service.table_name())
         before = time_range(raw, service.pickup, "1900-01-01", "1999-01-01", half_open=True)
         for rows, source in ((before, "before.csv"), (raw, "all.csv")):
-            merge_into_table(spark, rows, table, name, source, by_day=by_day, location=location)
+            merge_into_table(spark, rows, table, name, source, location=location, **layout)
         neutral = {service.pickup: "pickup_datetime", service.dropoff: "dropoff_datetime"}
         stored = spark.table(table).drop("pickup_date").withColumnsRenamed(neutral)
         results.append(stored.withColumn("service_type", F.lit(name)))
@@ -526,6 +528,12 @@ def staged_merge_by_day(spark, sf_dir):
     return _merged_tables(spark, sf_dir, by_day=True)
 
 
+@query(MERGED_TABLES_SQL)
+def staged_merge_bucketed(spark, sf_dir):
+    """The same into tables in buckets by row id, of which merges move nothing."""
+    return _merged_tables(spark, sf_dir, buckets=16)
+
+
 # --- JSON documents --------------------------------------------------------
 
 @query("""
@@ -710,6 +718,39 @@ def stream_zone_pairs(spark, sf_dir):
     return _run(start_append, counts, "stream-pairs")
 
 
+# --- layout of tables ------------------------------------------------------
+
+@query("SELECT *, CAST(ts AS DATE) AS event_day FROM events")
+def compacted_days(spark, sf_dir):
+    """A table by day, filled in four loads, after its small files were joined."""
+    events = fixtures.table(spark, sf_dir, "events")
+    table, location = _new_table(spark, "events_by_day")
+    ensure_table(spark, table, events.schema, day_of="ts", day_col="event_day", location=location)
+    for load in range(4):
+        append_table(events.where(F.col("event_id") % 4 == load), table, day_of="ts", day_col="event_day")
+    compact_days(spark, table, "event_day", ["user_id"])
+    return comparable(spark.table(table))
+
+
+@query(f"""
+WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips WHERE service_type = 'green' OR payment_type < 4""")
+def replaced_by_own_rows(spark, sf_dir):
+    """A table replaced by some of its own rows, after a replace that fails half-way."""
+    table, location = _new_table(spark, "own_rows")
+    trips = fixtures.trips(spark, sf_dir)
+    replace_table(trips, table, location=location)
+    broken = F.when(F.col("payment_type") == 6, F.raise_error(F.lit("broken"))).otherwise(F.col("VendorID"))
+    try:
+        replace_table(spark.table(table).withColumn("VendorID", broken.cast("string")), table,
+                      location=location)
+    except PySparkException:
+        pass
+    stored = spark.table(table)
+    replace_table(stored.where((F.col("service_type") == "green") | (F.col("payment_type") < 4)), table,
+                  location=location)
+    return comparable(spark.table(table))
+
+
 # --- writing and reading back ----------------------------------------------
 
 @query(f"""

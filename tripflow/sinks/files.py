@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tripflow.session import shared_dir
+
 
 def write_parquet(
     df: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists"
@@ -23,3 +25,10 @@ def write_json_lines(
     Times have milliseconds unless ``timestampFormat`` or ``timestampNTZFormat`` say more.
     """
     df.write.mode(mode).options(**{"ignoreNullFields": "false"} | options).json(path)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame, written to the shared folder and read back: what reads it twice computes it once."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,30 +25,39 @@ def ensure_table(
     day_of: str | None = None,
     day_col: str = "pickup_date",
     location: str | None = None,
+    bucket_by: tuple[str, int] | None = None,
 ) -> None:
     """Create a Parquet table unless it exists.
 
     ``day_of`` names a time column; the table then gets a derived ``day_col`` and
-    is partitioned by it. A ``location`` may hold the table's files already. An existing
-    table must have the same columns, types and partitioning.
+    is partitioned by it. A ``location`` may hold the table's files already. ``bucket_by``
+    names a column and a number: rows lie in so many buckets by its hash, sorted by it, and a
+    join by it does not move them. An existing table must have the same columns, types,
+    partitioning and bucket column.
     """
+    if day_of and bucket_by:
+        raise ValueError("a table is laid out by day or by buckets")
     fields = list(schema.fields)
     if day_of:
         fields.append(T.StructField(day_col, T.DateType(), True, {"comment": f"Day of {day_of}."}))
-    if location:
+    if location and not bucket_by:
         register_stored(spark, name, location)
     if spark.catalog.tableExists(name):
-        wanted = {f.name: (f.dataType.simpleString(), bool(day_of) and f.name == day_col)
-                  for f in fields}
-        found = {c.name: (c.dataType, c.isPartition) for c in spark.catalog.listColumns(name)}
+        wanted = {f.name: (f.dataType.simpleString(), bool(day_of) and f.name == day_col,
+                           bool(bucket_by) and f.name == bucket_by[0]) for f in fields}
+        found = {c.name: (c.dataType, c.isPartition, c.isBucket)
+                 for c in spark.catalog.listColumns(name)}
         if wanted != found:
             differing = sorted(set(wanted.items()) ^ set(found.items()))
             raise ValueError(f"table {name} has another layout: {differing}")
         return
     columns = ", ".join(_column_ddl(f) for f in fields)
     partitioned = f" PARTITIONED BY (`{day_col}`)" if day_of else ""
+    bucketed = (f" CLUSTERED BY (`{bucket_by[0]}`) SORTED BY (`{bucket_by[0]}`) "
+                f"INTO {bucket_by[1]} BUCKETS" if bucket_by else "")
     stored = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned}{stored}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) "
+              f"USING parquet{partitioned}{bucketed}{stored}")
 
 
 def register_stored(spark: SparkSession, name: str, location: str) -> bool:
@@ -100,14 +109,19 @@ def append_table(
     day_col: str = "pickup_date",
     cluster_by: Sequence[str] = (),
     partitions: int | None = None,
+    bucket_by: tuple[str, int] | None = None,
 ) -> None:
     """Append by column name.
 
     With ``day_of`` the table's day column is filled from that time, the rows of a
     file are ordered by ``cluster_by``, and ``partitions`` are made as in
-    :func:`spread_by_day`.
+    :func:`spread_by_day`. Rows of a table with buckets are dealt out by them, so that a
+    task writes few files; adaptive execution spreads a large bucket over several tasks.
     """
     rows = df
+    if bucket_by:
+        key, buckets = bucket_by
+        rows = df.hint("rebalance", buckets, key)
     if day_of:
         rows = spread_by_day(df, day_of, day_col, partitions)
         rows = rows.sortWithinPartitions(day_col, *cluster_by)
