@@ -1,5 +1,6 @@
 """DataFrame-in, DataFrame-out operators."""
 
+from tripflow.operators.bitmaps import count_bitmaps, distinct_bitmaps, merged_bitmaps
 from tripflow.operators.explore import (
     count_distinct,
     count_rows,
@@ -20,13 +21,16 @@ from tripflow.operators.merge import (
     with_row_id,
 )
 from tripflow.operators.report import monthly_revenue, report_table_name
+from tripflow.operators.sessions import session_counts, session_counts_by_span
 from tripflow.operators.windows import tumbling_counts
 from tripflow.operators.zones import least_frequent_zones, with_zone, zone_counts
 
 __all__ = [
+    "count_bitmaps",
     "count_distinct",
     "count_rows",
     "count_where",
+    "distinct_bitmaps",
     "distinct_values",
     "harmonize",
     "high_water_mark",
@@ -38,10 +42,13 @@ __all__ = [
     "least_frequent_zones",
     "longest_hours",
     "mean_by_group",
+    "merged_bitmaps",
     "monthly_revenue",
     "on_day",
     "report_table_name",
     "same_day",
+    "session_counts",
+    "session_counts_by_span",
     "tumbling_counts",
     "union_services",
     "with_row_id",

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tripflow.functions.json_fields import field_or_default
@@ -28,8 +29,9 @@ from tripflow.operators.report import monthly_revenue, report_table_name, report
 from tripflow.schema import SERVICE, TRIP_DATA
 from tripflow.sinks.files import stored
 from tripflow.sinks.tables import append_table, ensure_table, replace_table
-from tripflow.sources.files import list_paths, read_csv_files
+from tripflow.sources.files import list_paths, read_csv_files, stream_trip_files
 from tripflow.sources.tables import Moment, read_since
+from tripflow.streaming.batches import start_table
 
 
 def staged_merge(
@@ -187,6 +189,21 @@ def load_increment(
         append_table(new.repartition(partitions) if partitions else new, table)
 
 
+def load_arrivals(
+    spark: SparkSession, path: str, service_name: str, table: str, checkpoint: str,
+    *, location: str | None = None, every: str | None = None,
+) -> StreamingQuery:
+    """Harmonise a service's files as they arrive and append them to one table, each once.
+
+    Unlike :func:`load_increment` this asks which files have come, not how far the target's
+    times reach: trips that come late or out of order need no ``lookback``, and two trips
+    of one moment are no question. Several services may fill one table, each with a
+    checkpoint of its own.
+    """
+    trips = harmonize(stream_trip_files(spark, path, SERVICE[service_name]), SERVICE[service_name])
+    return start_table(trips, table, checkpoint, source=service_name, location=location, every=every)
+
+
 def write_report(
     trips: DataFrame,
     start: Moment,

@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow import fixtures
-from tripflow.functions import concat_key, hours_between, json_text, md5_key
+from tripflow.functions import concat_key, hours_between, json_text, md5_key, millis_to_timestamp
 from tripflow.operators import (
+    count_bitmaps,
     count_distinct,
     count_rows,
     count_where,
+    days_of,
+    distinct_bitmaps,
     distinct_values,
     high_water_mark,
     latest_marks,
@@ -30,6 +33,8 @@ from tripflow.operators import (
     monthly_revenue,
     on_day,
     same_day,
+    session_counts,
+    session_counts_by_span,
     tumbling_counts,
     union_services,
     with_row_id,
@@ -38,10 +43,13 @@ from tripflow.operators import (
 )
 from tripflow.plans import (
     harmonize_new_rows,
+    load_arrivals,
     load_files_to_tables,
     load_increment,
     merge_into_table,
     project_with_defaults,
+    refresh_daily_sums,
+    report_from_sums,
     staged_merge,
     write_report,
 )
@@ -53,11 +61,14 @@ from tripflow.sinks import (
     encode_messages,
     ensure_table,
     replace_table,
+    stored,
     truncate_table,
     write_json_lines,
     write_parquet,
 )
 from tripflow.sources import (
+    footer_counts,
+    footer_marks,
     read_array_elements,
     read_columns,
     read_csv_files,
@@ -67,13 +78,19 @@ from tripflow.sources import (
     read_since,
     read_trip_files,
     time_range,
+    with_micros,
 )
 from tripflow.streaming import (
     decode_messages,
+    fold_updates,
     read_complete,
+    read_sorted,
+    read_updated,
     replay_files,
     start_append,
     start_complete,
+    start_sorted,
+    start_update,
     stream_zone_pair_counts,
     with_event_time,
     with_watermark,
@@ -603,6 +620,28 @@ def tumbling_counts_ms(spark, sf_dir):
     return tumbling_counts(with_event_time(events, "ms"), "event_time", ["user_id"], "ms")
 
 
+def _sessions_sql(closed: str = "") -> str:
+    return f"""
+WITH ordered AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
+numbered AS (SELECT *, sum(CASE WHEN ts - before <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END)
+  OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM ordered),
+sessions AS (SELECT user_id, session, count(*) AS event_count, min(event_id) AS first_id,
+  max(event_id) AS last_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end
+  FROM numbered GROUP BY user_id, session)
+SELECT * EXCLUDE (session) FROM sessions {closed}"""
+
+
+SESSION_NAMES = {"count_alias": "event_count", "low_alias": "first_id", "high_alias": "last_id"}
+
+
+@query(_sessions_sql())
+def session_event_counts(spark, sf_dir):
+    """A user's events until none comes for half an hour."""
+    events = fixtures.table(spark, sf_dir, "events")
+    return comparable(session_counts_by_span(events, "ts", ["user_id"], "event_id", "30 minutes",
+                                             **SESSION_NAMES))
+
+
 # --- streaming -------------------------------------------------------------
 
 def _event_stream(spark, sf_dir):
@@ -655,6 +694,14 @@ def stream_sql_counts(spark, sf_dir):
     return found
 
 
+@query(_sessions_sql("WHERE session_end <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)"))
+def stream_session_counts(spark, sf_dir):
+    """The sessions that the watermark has closed."""
+    timed = with_watermark(_event_stream(spark, sf_dir), "ts")
+    counts = session_counts(timed, "ts", ["user_id"], "event_id", "30 minutes", **SESSION_NAMES)
+    return _run(start_append, counts, "stream-sessions")
+
+
 MESSAGES_SQL = """
 messages AS (
   SELECT CAST(VendorID AS INT) AS VendorID, epoch_ms(pickup_datetime) AS lpep_pickup_datetime,
@@ -718,6 +765,116 @@ def stream_zone_pairs(spark, sf_dir):
     return _run(start_append, counts, "stream-pairs")
 
 
+EVENT_TEXT = """concat('{"event_id":', event_id, ',"user_id":', user_id,
+  CASE WHEN event_id % 50 = 9 THEN '' ELSE concat(',"ts":', {millis}) END,
+  CASE WHEN event_id % 50 = 7 THEN '' ELSE '}' END)"""
+
+
+@query(f"""
+WITH e AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS n FROM events),
+sent AS (SELECT {EVENT_TEXT.replace("{millis}", "epoch_us(ts) // 1000")} AS value,
+  CASE WHEN event_id % 50 IN (7, 9) THEN NULL
+    ELSE make_timestamp((epoch_us(ts) // 1000000) * 1000000) END AS t,
+  CASE WHEN event_id % 10 = 3 THEN 3 WHEN ts < (SELECT ts FROM e WHERE n =
+    (SELECT count(*) // 2 FROM e)) THEN 1 ELSE 2 END AS batch FROM events),
+marked AS (SELECT *, (SELECT max(t) - INTERVAL 5 SECOND FROM sent s WHERE s.batch < sent.batch) AS mark
+  FROM sent)
+SELECT value, CASE WHEN t IS NULL THEN 'undecodable'
+  WHEN time_bucket(INTERVAL 5 MINUTE, t) + INTERVAL 5 MINUTE <= mark THEN 'late' ELSE 'kept' END AS kind
+FROM marked""")
+def stream_sorted_rows(spark, sf_dir):
+    """Messages of three batches, all of them: kept, late behind the watermark, or not decodable."""
+    events = fixtures.table(spark, sf_dir, "events")
+    half = events.orderBy("ts", "event_id").select("ts").offset(events.count() // 2 - 1).first()["ts"]
+    late, early = F.col("event_id") % 10 == 3, F.col("ts") < F.lit(half)
+    text = F.expr(EVENT_TEXT.replace("{millis}", "unix_millis(cast(ts as timestamp))")).alias("value")
+    layout = T.StructType([T.StructField(c, T.LongType()) for c in ("event_id", "user_id", "ts")])
+    out = shared_dir(spark, "stream-sorted")
+    for rows in (events.where(~late & early), events.where(~late & ~early), events.where(late)):
+        rows.select(text).write.mode("append").text(f"{out}/in")
+        decoded = decode_messages(replay_files(spark, f"{out}/in", fmt="text"), layout, keep=["value"])
+        timed = decoded.withColumn("event_time", millis_to_timestamp("ts"))
+        start_sorted(timed, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return read_sorted(spark, f"{out}/rows").select("value", "kind")
+
+
+@query(EVENT_WINDOWS_SQL)
+def stream_updated_windows(spark, sf_dir):
+    """Windows kept up to date over three batches, the first two folded together on the way."""
+    events = fixtures.table(spark, sf_dir, "events")
+    out = shared_dir(spark, "stream-updates")
+    keys = [*EVENT_KEYS, "window_start", "window_end"]
+    for load in range(3):
+        events.where(F.col("event_id") % 3 == load).write.mode("append").parquet(f"{out}/in")
+        # No event is late behind so long a delay.
+        counts = stream_zone_pair_counts(
+            replay_files(spark, f"{out}/in", events.schema), "3650 days", event_time="ts",
+            keys=EVENT_KEYS, bound="event_id", **EVENT_NAMES)
+        start_update(counts, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+        if load == 1:
+            fold_updates(spark, f"{out}/rows", keys)
+    return comparable(read_updated(spark, f"{out}/rows", keys).drop("load_batch"))
+
+
+@query(f"WITH {TRIPS} SELECT {ALL_TRIP_COLUMNS} FROM trips")
+def arrival_load(spark, sf_dir):
+    """Both services' files, loaded as they arrive in three rounds without any order of time."""
+    table, location = _new_table(spark, "arrivals")
+    out = shared_dir(spark, "landed")
+    for load in range(3):
+        for name in SERVICE:
+            rows = fixtures.raw_trips(spark, sf_dir, name).where(F.col("passenger_count") % 3 == load)
+            rows.write.mode("append").csv(f"{out}/{name}", header=True)
+            load_arrivals(spark, f"{out}/{name}", name, table, f"{out}/checkpoint-{name}",
+                          location=location).awaitTermination()
+    loaded = spark.table(table).drop("load_source", "load_batch")
+    return comparable(_whole_numbers_as_int(loaded))
+
+
+# --- kept up by day --------------------------------------------------------
+
+@query(f"""
+WITH {TRIPS} SELECT {REVENUE_SQL} FROM trips WHERE year(pickup_datetime) = 1996 GROUP BY ALL""")
+def report_from_daily_sums(spark, sf_dir):
+    """A year's report from sums per day, of which those of late rows' days were computed anew."""
+    table, location = _new_table(spark, "trip_days")
+    sums = shared_dir(spark, "daily-sums")
+    trips = time_range(fixtures.trips(spark, sf_dir), "pickup_datetime", "1996-01-01", "1997-01-01",
+                       half_open=True)
+    late = (F.col("payment_type") == 2) & (F.month("pickup_datetime") == 10)
+    ensure_table(spark, table, TRIP_DATA, day_of="pickup_datetime", location=location)
+    append_table(trips.where(~late), table, day_of="pickup_datetime")
+    refresh_daily_sums(spark.table(table), sums)
+    append_table(trips.where(late), table, day_of="pickup_datetime")
+    changed = days_of(trips.where(late), F.to_date("pickup_datetime"))
+    refresh_daily_sums(spark.table(table), sums, changed)
+    return comparable(report_from_sums(spark.read.parquet(sums)))
+
+
+@query(f"""
+WITH {TRIPS} SELECT year(pickup_datetime) AS pickup_year, count(DISTINCT PULocationID) AS distinct_zones
+FROM trips GROUP BY ALL""")
+def distinct_zones_by_year(spark, sf_dir):
+    """Distinct zones of each year from stored bitmaps per day."""
+    trips = fixtures.trips(spark, sf_dir)
+    bitmaps = stored(distinct_bitmaps(trips, F.col("PULocationID"), [F.to_date("pickup_datetime").alias("day")]),
+                     "zone-bitmaps")
+    return count_bitmaps(bitmaps.withColumn("pickup_year", F.year("day")), ["pickup_year"], "distinct_zones")
+
+
+@query(f"""
+WITH {TRIPS} SELECT service_type, count(*) AS row_count, max(epoch_us(pickup_datetime)) AS mark
+FROM trips GROUP BY service_type""")
+def counts_and_marks_from_footers(spark, sf_dir):
+    """Rows and the latest pickup of each service, from footers alone."""
+    path = shared_dir(spark, "by-service")
+    with_micros(fixtures.trips(spark, sf_dir), "pickup_datetime").write.partitionBy("service_type").parquet(path)
+    marks = footer_marks(spark, path, list(SERVICE))
+    times = spark.createDataFrame(list(marks.items()), "service_type string, mark string").select(
+        "service_type", F.unix_micros(F.col("mark").cast("timestamp")).alias("mark"))
+    return footer_counts(spark, path, ["service_type"]).join(times, "service_type")
+
+
 # --- layout of tables ------------------------------------------------------
 
 @query("SELECT *, CAST(ts AS DATE) AS event_day FROM events")
@@ -745,8 +902,7 @@ def replaced_by_own_rows(spark, sf_dir):
                       location=location)
     except PySparkException:
         pass
-    stored = spark.table(table)
-    replace_table(stored.where((F.col("service_type") == "green") | (F.col("payment_type") < 4)), table,
+    replace_table(spark.table(table).where((F.col("service_type") == "green") | (F.col("payment_type") < 4)), table,
                   location=location)
     return comparable(spark.table(table))
 

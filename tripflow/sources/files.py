@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tripflow.schema import Service
 from tripflow.sources.jdbc import read_jdbc
@@ -50,15 +51,28 @@ def read_trip_files(
     fails the read in either case. Gzip files do not split, so one file is one
     task: pass ``partitions`` when there are fewer files than cores.
     """
+    files = _trip_columns(spark.read, paths, service)
+    return files.repartition(partitions) if partitions else files
+
+
+def stream_trip_files(spark: SparkSession, path: str, service: Service) -> DataFrame:
+    """A service's CSV files as a stream: each file that arrives under a folder or glob, once.
+
+    Files are read as by :func:`read_trip_files`, whatever their age.
+    """
+    # By default a file much older than the newest would be passed over.
+    reader = spark.readStream.option("maxFileAge", "36500d")
+    return _trip_columns(reader, path, service)
+
+
+def _trip_columns(reader: DataFrameReader | DataStreamReader, paths, service: Service) -> DataFrame:
     if service.ignore_extra_values:
         # Permissive parsing would turn bad values into nulls along with ignoring extras.
         as_text = T.StructType([T.StructField(f.name, T.StringType())
                                 for f in service.file_schema.fields])
-        text = spark.read.csv(paths, schema=as_text, header=True, mode="PERMISSIVE")
-        files = text.select(*[_strict(f).alias(f.name) for f in service.file_schema.fields])
-    else:
-        files = spark.read.csv(paths, schema=service.file_schema, header=True, mode="FAILFAST")
-    return files.repartition(partitions) if partitions else files
+        text = reader.schema(as_text).csv(paths, header=True, mode="PERMISSIVE")
+        return text.select(*[_strict(f).alias(f.name) for f in service.file_schema.fields])
+    return reader.schema(service.file_schema).csv(paths, header=True, mode="FAILFAST")
 
 
 def _strict(field: T.StructField) -> Column:

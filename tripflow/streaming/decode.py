@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,17 +14,18 @@ _WHOLE = (T.IntegerType, T.LongType)
 
 
 def decode_messages(
-    messages: DataFrame, schema: T.StructType, value_col: str = "value"
+    messages: DataFrame, schema: T.StructType, value_col: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per message with the schema's columns.
+    """One row per message with the schema's columns, after the message's own to ``keep``.
 
     A missing field, a value of another type, and every field of a message that is
     not JSON are null; the row stays. Fields are taken as text and then cast, so
     that ``1.0`` and ``"1"`` are read where a whole number is declared.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    parsed = messages.select(F.from_json(F.col(value_col).cast("string"), as_text).alias("_m"))
-    return parsed.select(*[_lenient(F.col("_m")[f.name], f.dataType).alias(f.name)
+    parsed = messages.select(
+        *keep, F.from_json(F.col(value_col).cast("string"), as_text).alias("_m"))
+    return parsed.select(*keep, *[_lenient(F.col("_m")[f.name], f.dataType).alias(f.name)
                            for f in schema.fields])
 
 

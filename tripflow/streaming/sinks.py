@@ -20,7 +20,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 @contextmanager
-def _state_on_disk(spark: SparkSession):
+def state_on_disk(spark: SparkSession):
     """RocksDB state for a query started inside, unless the session chose a store.
 
     The default store keeps all of a partition's groups on the executor's heap.
@@ -36,7 +36,7 @@ def _state_on_disk(spark: SparkSession):
         spark.conf.set(_PROVIDER, chosen)
 
 
-def _writer(df: DataFrame, mode: str, checkpoint: str, every: str | None):
+def stream_writer(df: DataFrame, mode: str, checkpoint: str, every: str | None):
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -48,8 +48,8 @@ def start_append(
 
     Without ``every`` the query takes what is available and stops.
     """
-    with _state_on_disk(df.sparkSession):
-        return _writer(df, "append", checkpoint, every).format(fmt).start(path)
+    with state_on_disk(df.sparkSession):
+        return stream_writer(df, "append", checkpoint, every).format(fmt).start(path)
 
 
 def start_complete(
@@ -65,8 +65,8 @@ def start_complete(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{BATCH}{batch_id}")
 
-    with _state_on_disk(df.sparkSession):
-        return _writer(df, "complete", checkpoint, every).foreachBatch(write).start()
+    with state_on_disk(df.sparkSession):
+        return stream_writer(df, "complete", checkpoint, every).foreachBatch(write).start()
 
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame:
@@ -79,6 +79,6 @@ def start_console(
     df: DataFrame, checkpoint: str, every: str | None = None, mode: str = "append"
 ) -> StreamingQuery:
     """Print rows; for looking at a stream, not for keeping it."""
-    with _state_on_disk(df.sparkSession):
-        return _writer(df, mode, checkpoint, every).format("console").option(
+    with state_on_disk(df.sparkSession):
+        return stream_writer(df, mode, checkpoint, every).format("console").option(
             "truncate", "false").start()
