@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tripflow.session import shared_dir
 
 
+_BATCH_BYTES, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared folder and read back.
 
@@ -31,6 +34,15 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let whole texts go to Python some megabytes at a time, unless the session chose a size.
+
+    Rows alone bound batches by default, and texts differ in length a thousandfold.
+    """
+    if spark.conf.get(_BATCH_BYTES) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_BYTES, "8m")
+
+
 def tasks(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,6 +15,7 @@ from tripflow.llm.common import (
     code_points,
     hashed_sample,
     mixed,
+    small_batches,
     text_of,
     text_runs,
     third_fold,
@@ -24,6 +25,7 @@ from tripflow.llm.common import (
 BUCKETS = 1 << 16
 LONGEST = 3  # characters of an n-gram
 SAMPLE_ROWS = 20_000
+SLICE = 1 << 18  # n-grams whose log-probabilities are held at a time
 UNDETERMINED = "und"
 OUTPUTS = ("lang_pred", "score")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -111,10 +113,11 @@ def score_texts(model: Model | None, texts: list[str]) -> tuple[list[str], np.nd
         total = np.tile(model.log_prior, (len(letters), 1))
         for n, found in gram_buckets(joined):
             # An n-gram counts for the text in which it starts and ends.
-            gained = model.log_prob[found]
             for i in np.flatnonzero(sizes >= n):
-                a, b = starts[i], starts[i + 1] - n + 1
-                total[i] += gained[a:b].sum(axis=0, dtype=np.float64)
+                own = found[starts[i]:starts[i + 1] - n + 1]
+                # Some at a time, as a text of a run of its own may be of any length.
+                for a in range(0, len(own), SLICE):
+                    total[i] += model.log_prob[own[a:a + SLICE]].sum(axis=0, dtype=np.float64)
         best = total.argmax(axis=1)
         sure = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         for i in np.flatnonzero(sizes > 0):
@@ -122,14 +125,9 @@ def score_texts(model: Model | None, texts: list[str]) -> tuple[list[str], np.nd
     return langs, scores
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (its probability) to every row, from ``text`` alone.
-
-    Null texts, texts without a letter, and all texts if there was nothing to learn
-    from, are ``und`` with score 0. Equal texts get equal answers. Input columns
-    named like the two new ones are replaced.
-    """
-    kept = without(docs, OUTPUTS)
+def predictor(docs: DataFrame, model: Model | None):
+    """A function from a text column to ``lang_pred`` and ``score``, for frames of the session."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -138,7 +136,18 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             langs, scores = score_texts(held.value, texts.fillna("").tolist())
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    return kept.withColumn("_found", predict("text")).select(
+    return predict
+
+
+def identify(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Add ``lang_pred`` and ``score`` (its probability) to every row, from ``text`` alone.
+
+    Null texts, texts without a letter, and all texts if there was nothing to learn
+    from, are ``und`` with score 0. Equal texts get equal answers. Input columns
+    named like the two new ones are replaced.
+    """
+    kept = without(docs, OUTPUTS)
+    return kept.withColumn("_found", predictor(docs, model)("text")).select(
         *[F.col(f"`{c}`") for c in kept.columns], "_found.lang_pred", "_found.score")
 
 
@@ -154,7 +163,7 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, *, least: float = 0.5) -> DataFrame:
     """The rows whose language can be told with a probability of ``least``, unchanged."""
-    marked = identify(docs.select(F.struct("*").alias("_row"), text_of().alias("text")),
-                      fit(docs.where(~third_fold())))
-    return marked.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(
-        "_row.*")
+    found = predictor(docs, fit(docs.where(~third_fold())))(text_of())
+    marked = docs.withColumn("_found", found)
+    return marked.where((F.col("_found.lang_pred") != UNDETERMINED) & (F.col("_found.score") >= least)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

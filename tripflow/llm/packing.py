@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import ranked, text_of, written
+from tripflow.llm.common import ranked, small_batches, text_of, written
 from tripflow.llm.tokens import ID_BYTES, word_tokens
 
 WINDOW = 2048
@@ -163,6 +163,7 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, window: int = WINDOW)
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     pieces = written(texts.mapInArrow(_pieces(tokenizer, window), PIECES), "pieces")
     counts = {r["length"]: r["n"] for r in

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import (
     code_points,
     hashed_sample,
+    small_batches,
     text_of,
     text_runs,
     third_fold,
@@ -195,14 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -
     return train(stats, words, (table["quality"] > 0).to_numpy().astype(np.float32))
 
 
-def score_quality(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
-    """Add ``score`` and ``predicted`` (1 from ``threshold`` on) from ``text`` and ``n_chars``.
-
-    Null texts count as empty, a null ``n_chars`` as 0; both are scored like any other.
-    Without a model every score is 0.5. Equal inputs get equal scores. Input columns
-    named like the two new ones are replaced.
-    """
-    kept = without(docs, OUTPUTS)
+def scorer(docs: DataFrame, model: Model | None):
+    """A function from a text and its ``n_chars`` to a score, for frames of the session."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -214,7 +210,18 @@ def score_quality(docs: DataFrame, model: Model | None, threshold: float = THRES
                 out[a:b] = held.value.score(held.value.inputs(*features(texts[a:b], known[a:b])))
             yield pd.Series(out)
 
-    scored = kept.withColumn("score", score("text", F.col("n_chars").cast("double")))
+    return score
+
+
+def score_quality(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
+    """Add ``score`` and ``predicted`` (1 from ``threshold`` on) from ``text`` and ``n_chars``.
+
+    Null texts count as empty, a null ``n_chars`` as 0; both are scored like any other.
+    Without a model every score is 0.5. Equal inputs get equal scores. Input columns
+    named like the two new ones are replaced.
+    """
+    kept = without(docs, OUTPUTS)
+    scored = kept.withColumn("score", scorer(docs, model)("text", F.col("n_chars").cast("double")))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -233,7 +240,6 @@ def score_held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """The rows scored ``threshold`` or more, unchanged."""
-    marked = score_quality(
-        docs.select(F.struct("*").alias("_row"), text_of().alias("text"), "n_chars"),
-        learnable(docs, labels), threshold)
-    return marked.where(F.col("predicted") == 1).select("_row.*")
+    score = scorer(docs, learnable(docs, labels))(text_of(), F.col("n_chars").cast("double"))
+    return docs.withColumn("_score", score).where(F.col("_score") >= threshold).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

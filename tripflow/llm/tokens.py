@@ -12,8 +12,9 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 # Letters whose lower case and composition depend on nothing around them.
 PLAIN = re.compile(r"[!-~\xa1-\u012f\u0131-\u024f]*")
-REMEMBERED = 800_000
-LONGEST_REMEMBERED = 64
+# Words, some 60 MB per worker process.
+REMEMBERED = 400_000
+LONGEST_REMEMBERED = 32
 ID_BYTES = 4
 
 
@@ -30,8 +31,8 @@ class WordTokens(dict):
 
     White space never joins what stands on its two sides, so the ids of a text are
     those of its words in turn. Words in Latin letters are merged piece by piece;
-    others, and such as hold special tokens, go through the whole tokenizer. The
-    memory is emptied when full.
+    others, and such as hold special tokens, go through the whole tokenizer. What
+    is met first is remembered, frequent words among it, until the memory is full.
     """
 
     def __init__(self, path: str):
@@ -42,7 +43,6 @@ class WordTokens(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         if "<|" in word or not PLAIN.fullmatch(word):
@@ -50,23 +50,13 @@ class WordTokens(dict):
             found = b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
         else:
             found = b"".join(self.piece(p) for p in PIECE.findall(word.lower()))
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
+        if len(self) < REMEMBERED and len(word) <= LONGEST_REMEMBERED:
             self[word] = found
         return found
 
     def piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            raw = piece if piece.isascii() else "".join(
-                self.letters[b] for b in piece.encode())
-            found = b"".join(t.id.to_bytes(ID_BYTES, "little") for t in self.model.tokenize(raw))
-            if len(piece) <= LONGEST_REMEMBERED:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
+        raw = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
+        return b"".join(t.id.to_bytes(ID_BYTES, "little") for t in self.model.tokenize(raw))
 
     def ids(self, text: str) -> bytes:
         """Ids of the whole text without special tokens around it."""

@@ -48,7 +48,7 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np
     each = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     with np.errstate(over="ignore"):
         run = np.zeros(total, dtype=np.uint64)
-        for k in range(size):
+        for k in range(min(size, total)):
             factor = mixed(np.array([k + 77], dtype=np.uint64)) | np.uint64(1)
             run[: total - k] += words[k:] * factor
         # Runs that would reach into the next text are not taken below, except in
