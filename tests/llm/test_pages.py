@@ -148,3 +148,16 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark):
         df = spark.createDataFrame([page(i) for i in range(size)], "page_id long, url string, html string")
         found = {r.page_id: r.text for r in main_texts(df).collect()}
         assert found == {i: f"text {i}" for i in range(size)}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<main><article class='related'>teaser</article><p>The body</p></main>", ["The body"]),
+    ("<article><p>Story</p></article><article class='comment'>I like it</article>", ["Story"]),
+    ("<article><p>Story</p><article class='comment-item x'>No</article></article>", ["Story"]),
+    ("<article><p class='search'>a</p><p class='notice'>b</p><h2 class='notification'>c</h2>"
+     "<div class='share'>d</div><div class='sidebar-free'>e</div></article>", ["a", "b", "c", "d", "e"]),
+    ("<article class='post with-sidebar'><p>Story</p></article>", ["Story"]),
+    ("<body><article class='teaser'>One</article><div class='share'>x</div><p>Own</p></body>", ["Own"]),
+])
+def test_main_parts_are_the_pages_own(page, text):
+    assert blocks(parse(page)) == text

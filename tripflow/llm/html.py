@@ -40,6 +40,13 @@ MARKS = frozenset(
     "subscribe subscription signup login sidebar widget related recommended recommendations share "
     "sharing social comment comments disqus respond reply replies breadcrumb breadcrumbs menu nav "
     "navbar navigation footer masthead toolbar pagination pager skip search".split())
+# Those of them that count within an article too, where the others may be about its subject;
+# what else an article's template holds recurs.
+FOREIGN = frozenset(
+    "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion "
+    "banner cookie cookies consent gdpr newsletter comment comments disqus respond reply replies".split())
+# First words of classes of articles that are not the page's own.
+ASIDE = FOREIGN | frozenset("related recommended recommendations teaser".split())
 # Elements of running text; inside the main part they are content however often they recur.
 FLOW = frozenset(
     "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th "
@@ -179,23 +186,26 @@ def is_marked(node: Element, inside: bool) -> bool:
         return True
     if not inside and node.tag == "header":
         return True
-    if node.marks and node.tag not in ("html", "body", "main", "article"):
+    if node.tag == "article":
+        firsts = (WORD.search(name) for name in node.classes.split())
+        return any(w and w.group().lower() in ASIDE for w in firsts)
+    if node.marks and node.tag not in ("html", "body", "main"):
         words = {w.lower() for w in WORD.findall(node.classes)}
         if node.tag in CONTAINERS or node.tag not in FLOW:
             # Within an article, and of sections, ids are slugs of what is written there.
             slug = inside or node.tag == "section"
             words.update(w.lower() for w in (node.ids.split() if slug else WORD.findall(node.ids)))
-        return bool(words & MARKS) or (not inside and "header" in words)
+        return bool(words & (FOREIGN if inside else MARKS)) or (not inside and "header" in words)
     return False
 
 
 def main_parts(root: Element) -> list[Element]:
-    """Outermost articles; else the main element; else the whole page."""
+    """Outermost articles, but for teasers and comments; else the main element; else the page."""
     for tag in ("article", "main"):
         found, stack = [], [root]
         while stack:
             node = stack.pop()
-            if node.tag == tag:
+            if node.tag == tag and not (tag == "article" and is_marked(node, False)):
                 found.append(node)
             elif not is_marked(node, False):
                 stack.extend(c for c in reversed(node.children) if not isinstance(c, str))
