@@ -107,11 +107,15 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-split AS (SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[ \t]+') IF w <> ''] AS words FROM pieces),
+numbered AS (SELECT lang, row_number() OVER () AS id, regexp_split_to_array(piece, '[ \t]+') AS words FROM pieces),
+words AS (SELECT lang, id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM numbered),
+runs AS (
+  SELECT lang, w AS w1, lead(w) OVER piece AS w2, lead(w, 2) OVER piece AS w3 FROM words WHERE w <> ''
+  WINDOW piece AS (PARTITION BY id ORDER BY i)),
 grams AS (
-  SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
-  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
-        FROM split, (VALUES (1), (2), (3)) AS s(size) WHERE len(words) >= size)),
+  SELECT lang, 1 AS size, w1 AS phrase FROM runs
+  UNION ALL SELECT lang, 2, concat(w1, ' ', w2) FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, concat(w1, ' ', w2, ' ', w3) FROM runs WHERE w3 IS NOT NULL),
 f AS (SELECT lang, size, phrase, count(*) AS times FROM grams GROUP BY ALL),
 totals AS (SELECT lang, CAST(sum(times) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
 candidates AS (SELECT lang, size, phrase, times AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND times >= 10),
