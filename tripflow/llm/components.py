@@ -11,30 +11,41 @@ from tripflow.llm.common import written
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label``, its component's smallest node, for all nodes of edges ``a``-``b``.
 
-    Each round every node takes the smallest label among its neighbours and then its
-    label's label, so that the rounds grow with the logarithm of the longest chain.
-    It ends when no edge joins two labels; only that reaches the driver. Nodes are longs;
-    loops and repeated edges do no harm. No edges give no rows.
+    Each round every node points to its smallest neighbour, if that is smaller, and the
+    trees that this makes become the nodes of the next round; only edges between trees
+    go on. Nodes at least halve in a round, and a group about one node is one tree, so
+    that later rounds are small. It ends when no edge is left; only that, and whether
+    pointers still moved, reaches the driver. Nodes are longs; loops and repeated edges
+    do no harm. No edges give no rows.
     """
-    both = written(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))),
-        "edges")
-    labels = written(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-        .select("node", F.least("node", "least").alias("label")), "labels")
-    while split(both, labels):
-        offered = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(
-            F.min("label").alias("offer"))
-        hooked = labels.join(offered, labels["node"] == offered["a"], "left").select(
-            "node", F.least("label", "offer").alias("label"))
-        above = hooked.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        jumped = hooked.join(above, "label").select("node", F.col("root").alias("label"))
-        labels = written(jumped, "labels")
+    left, labels = edges.select("a", "b"), None
+    while labels is None or left.take(1):
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        roots = rooted(written(
+            both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+            .select("node", F.least("node", "least").alias("label")), "pointers"))
+        left = written(relabelled(left, roots).distinct(), "edges")
+        labels = roots if labels is None else written(
+            labels.join(roots.select(F.col("node").alias("label"), F.col("label").alias("root")),
+                        "label", "left").select("node", F.coalesce("root", "label").alias("label")),
+            "labels")
     return labels
 
 
-def split(edges: DataFrame, labels: DataFrame) -> bool:
-    """Whether an edge joins nodes of different labels."""
-    left = labels.select(F.col("node").alias("a"), F.col("label").alias("of_a"))
-    right = labels.select(F.col("node").alias("b"), F.col("label").alias("of_b"))
-    return bool(edges.join(left, "a").join(right, "b").where("of_a != of_b").take(1))
+def rooted(pointers: DataFrame) -> DataFrame:
+    """Stored ``node`` and ``label``, the end of each node's chain of pointers."""
+    while True:
+        above = pointers.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        jumped = written(pointers.join(above, "label").select(
+            "node", F.col("root").alias("label"), (F.col("root") != F.col("label")).alias("moved")),
+            "pointers")
+        pointers = jumped.select("node", "label")
+        if not jumped.where("moved").take(1):
+            return pointers
+
+
+def relabelled(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges between the labels of their ends, without loops; they may repeat."""
+    of = [labels.select(F.col("node").alias(n), F.col("label").alias(f"of_{n}")) for n in "ab"]
+    return edges.join(of[0], "a").join(of[1], "b").where("of_a != of_b").select(
+        F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b"))
