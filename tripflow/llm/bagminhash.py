@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm.common import mixed, text_of, text_runs, written
-from tripflow.llm.components import components
+from tripflow.llm.components import components, relabelled
 from tripflow.llm.words import counted_runs, shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -31,6 +31,10 @@ ROWS = 4
 COMPONENTS = BANDS * ROWS
 # Of 80 components, how many may disagree in four bits; see ``likely``.
 MOST_DIFFERENT = 28
+# The same where nothing follows that could find a link that is ruled out.
+LAST_DIFFERENT = 36
+# Rounds of pivots go on while one of so many of a round's pairs is a link.
+WORTH = 100
 SKETCH = [f"s{k}" for k in range(5)]
 # Buckets of up to so many members compare all of them at once; larger ones after pivots.
 SMALL_BUCKET = 32
@@ -169,27 +173,33 @@ def crowded(nodes: DataFrame) -> DataFrame:
                    "crowded")
 
 
-def likely(left: str, right: str) -> Column:
+def field(of: str | Column, name: str) -> Column:
+    """A column by prefix and name, or a field of a struct."""
+    return F.col(f"{of}{name}") if isinstance(of, str) else of[name]
+
+
+def likely(left: str | Column, right: str | Column, most: int = MOST_DIFFERENT) -> Column:
     """Whether two sketches do not speak against the threshold.
 
     Four bits of a component agree with a probability of 0.8125 or more if the similarity is
-    0.8; more than 28 of 80 disagree in about one of ten thousand cases.
+    0.8; more than 28 of 80 disagree in under two of ten thousand cases, more than 36 in two
+    of a hundred million.
     """
-    *planes, rest = [F.col(f"{left}{c}").bitwiseXOR(F.col(f"{right}{c}")) for c in SKETCH]
+    *planes, rest = [field(left, c).bitwiseXOR(field(right, c)) for c in SKETCH]
     differ = planes[0].bitwiseOR(planes[1]).bitwiseOR(planes[2]).bitwiseOR(planes[3])
     for far in (32, 16):
         rest = rest.bitwiseOR(F.shiftright(rest, far))
-    return F.bit_count(differ) + F.bit_count(rest.bitwiseAND(F.lit(0xFFFF))) <= MOST_DIFFERENT
+    return F.bit_count(differ) + F.bit_count(rest.bitwiseAND(F.lit(0xFFFF))) <= most
 
 
 def pivot_pairs(bands: DataFrame, orders: Sequence[Column], *others: str,
-                where: Callable[[str, str], Column]) -> DataFrame:
+                where: Callable[[str | Column, str | Column], Column]) -> DataFrame:
     """Pairs ``a`` < ``b`` of each bucket's members with pivots of it; they may repeat.
 
-    Pivots are the first and last of the bucket in each order. A large bucket makes two
-    pairs per member and order, not all pairs, and a bucket of up to three members makes
-    all its pairs. ``where`` takes the prefixes of a member's and a pivot's columns
-    ``others`` and may rule pairs out at once.
+    Pivots are the first and last of the bucket in each order. A large bucket compares two
+    pivots per member and order, not all pairs, and a bucket of up to three members makes
+    all its pairs. ``where`` takes the prefix of a member's columns ``others`` and a pivot
+    with such fields, and may rule pairs out; a row is made only of what it leaves.
     """
     ends = []
     for order in orders:
@@ -199,10 +209,9 @@ def pivot_pairs(bands: DataFrame, orders: Sequence[Column], *others: str,
     pivots = written(
         bands.groupBy("bucket").agg(F.array_distinct(F.array(*ends)).alias("pivots"))
         .where(F.size("pivots") > 1), "pivots")
-    met = bands.join(pivots, "bucket").withColumn("p", F.explode("pivots"))
-    met = met.where((F.col("node") != F.col("p.node")) & where("", "p."))
-    return met.select(F.least("node", "p.node").alias("a"),
-                      F.greatest("node", "p.node").alias("b"))
+    near = F.filter("pivots", lambda p: (p["node"] != F.col("node")) & where("", p))
+    met = bands.join(pivots, "bucket").select("node", F.explode(near["node"]).alias("p"))
+    return met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
 
 
 def first_orders() -> list[Column]:
@@ -305,20 +314,22 @@ def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def rest_pairs(bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """All likely pairs of different classes among the members of the buckets ``bands``.
+    """All pairs of different classes, among the members of the buckets ``bands``, that can be links.
 
     Two multisets alike by ``threshold`` have one of their rarest shingles in common (prefix
     filter), so members are grouped anew by these: what a large bucket has in common is
-    frequent and comes last. Texts meet only in groups, none is left to chance.
+    frequent and comes last. All that meet in a group are compared. Sketches rule out only
+    pairs that differ in more components than a link does twice in a hundred million cases.
     """
     members = written(bands.select("node", "label", *SKETCH).dropDuplicates(["node"]), "members")
     own = texts.join(members.select("node", "label"), "node")
-    return cross_pairs(prefix_rows(own, threshold), members, *SKETCH, where=likely)
+    return cross_pairs(prefix_rows(own, threshold), members, *SKETCH,
+                       where=lambda left, right: likely(left, right, LAST_DIFFERENT))
 
 
-def apart(left: str, right: str) -> Column:
+def apart(left: str | Column, right: str | Column) -> Column:
     """Likely pairs of different classes."""
-    return (F.col(f"{left}label") != F.col(f"{right}label")) & likely(left, right)
+    return (field(left, "label") != field(right, "label")) & likely(left, right)
 
 
 def candidate_texts(docs: DataFrame, bands: DataFrame, reps: DataFrame) -> DataFrame:
@@ -331,9 +342,10 @@ def candidate_texts(docs: DataFrame, bands: DataFrame, reps: DataFrame) -> DataF
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Those of the distinct pairs, stored, of which the whole texts' multisets overlap by ``threshold`` or more."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("_left"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("_right"))
+    """Those of the distinct, stored pairs, stored, of which the whole texts' multisets overlap by
+    ``threshold`` or more. Only texts of the pairs are moved."""
+    left, right = [texts.select(F.col("node").alias(n), F.col("text").alias(t)).join(
+        pairs.select(n), n, "left_semi") for n, t in (("a", "_left"), ("b", "_right"))]
     both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     alike = both.where(overlap("_left", "_right") >= threshold).select("a", "b")
     return written(alike, "alike")
@@ -357,9 +369,10 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     Large buckets are not expanded into pairs: members meet two pivots in each of 20
     bands, those of large buckets up to eight. Of buckets that then still hold different classes,
     small ones compare all members of different classes, and large ones go on with new
-    pivots until a round finds no further pair. What large buckets then still hold apart is
+    pivots while these find enough. What large buckets then still hold apart is
     grouped by its rarest shingles and compared whole. Pairs are ruled out by four bits of each
-    signature component first and decided by the whole texts, each pair once.
+    signature component first and decided by the whole texts, each pair at most once.
+    What pairs found before have joined is not compared again.
     """
     signed = written(
         docs.select("doc_id", text_of().alias("text"))
@@ -380,13 +393,14 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     left = bands
     pairs = checked = written(
         pivot_pairs(bands, first_orders(), *SKETCH, where=likely).distinct(), "pairs")
+    # What one pair of every node has joined needs no further pairs.
+    chosen = written(one_of_each(pairs), "chosen")
+    labels, _ = merged(chosen, labels, texts, threshold)
+    pairs = written(between(pairs.join(chosen, ["a", "b"], "left_anti"), labels).select("a", "b"), "open")
     turn = 0
     while True:
-        found = verified(pairs, texts, threshold)
-        dry = not found.take(1)
-        if not dry:
-            labels = joined(labels, found)
-        if dry and turn:
+        labels, links = merged(pairs, labels, texts, threshold)
+        if turn and links * WORTH <= pairs.count():
             break
         left = unsettled(left, labels)
         turn += 1
@@ -398,9 +412,10 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
             left = large
         pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.unionByName(pairs)
+    left = unsettled(left, labels)
     if left.take(1):
         pairs = rest_pairs(left, texts, threshold).distinct().join(checked, ["a", "b"], "left_anti")
-        labels = joined(labels, verified(written(pairs, "pairs"), texts, threshold))
+        labels, _ = merged(written(pairs, "pairs"), labels, texts, threshold)
     known = groups.select("digest", "first", "n", F.col("first.uid").alias("node")).join(
         labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = written(known, "known")
@@ -417,14 +432,35 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
 
 def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
     """The stored labels of all nodes after further pairs, joining whole classes."""
-    of = [labels.select(F.col("node").alias(n), F.col("label").alias(f"of_{n}")) for n in "ab"]
-    between = found.join(of[0], "a").join(of[1], "b").select(
-        F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    roots = components(between).select(F.col("node").alias("label"), F.col("label").alias("root"))
+    edges = written(relabelled(found, labels).distinct(), "edges")
+    roots = components(edges).select(F.col("node").alias("label"), F.col("label").alias("root"))
     return written(labels.join(roots, "label", "left").select(
         "node", F.coalesce("root", "label").alias("label")), "classes")
 
 
+def one_of_each(pairs: DataFrame) -> DataFrame:
+    """One pair of every node, with the partner that comes first in an order of all nodes.
+
+    Copies that have met the same pivots so choose the same one.
+    """
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    first = ends.groupBy("a").agg(F.min(F.struct(F.xxhash64("b"), "b"))["b"].alias("b"))
+    return first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different classes, with these."""
+    of = [labels.select(F.col("node").alias(n), F.col("label").alias(f"of_{n}")) for n in "ab"]
+    return pairs.join(of[0], "a").join(of[1], "b").where("of_a != of_b")
+
+
+def merged(pairs: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """The stored labels after all of the stored pairs, and how many of these are links."""
+    found = verified(pairs, texts, threshold)
+    links = found.count()
+    return (joined(labels, found) if links else labels), links
+
+
 def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
     """Stored band rows, with labels, of buckets that hold different classes."""
     placed = bands.drop("label").join(labels, "node")

@@ -24,6 +24,7 @@ from tripflow.llm.bagminhash import (
     SMALL_BUCKET,
     all_pairs,
     cross_pairs,
+    field,
     first_orders,
     joined,
     later_orders,
@@ -294,10 +295,10 @@ def bands(found: pd.Series) -> pd.Series:
 
 def close_lengths(threshold: float, classes: bool = True):
     """Whether two texts' lengths do not rule the pair out, and whether their classes differ."""
-    def where(left: str, right: str) -> Column:
-        a, b = F.col(f"{left}n_chars"), F.col(f"{right}n_chars")
+    def where(left: str | Column, right: str | Column) -> Column:
+        a, b = field(left, "n_chars"), field(right, "n_chars")
         near = F.abs(a - b) <= F.floor(F.greatest(a, b) * (1 - threshold))
-        return near & (F.col(f"{left}label") != F.col(f"{right}label")) if classes else near
+        return near & (field(left, "label") != field(right, "label")) if classes else near
 
     return where
 
