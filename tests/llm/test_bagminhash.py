@@ -154,3 +154,24 @@ def test_rarest_tokens_of_likely_multisets_meet():
         if likeness(x, y) >= 0.8:
             one, two = (bagminhash.rarest(bagminhash.tokens(t), often, 0.8) for t in (x, y))
             assert set(one) & set(two)
+
+
+def test_parities_never_differ_more_than_the_multisets():
+    rng = np.random.default_rng(11)
+    tight = 0
+    for _ in range(200):
+        a = [f"w{i}" for i in rng.integers(0, 40, rng.integers(1, 400))]
+        b = [w if rng.random() < 0.95 else "z" for w in a] + ["more"] * int(rng.integers(0, 5))
+        known = bagminhash.sign([" ".join(a), " ".join(b)])[1]
+        bits = int(np.unpackbits((known[0, :-1] ^ known[1, :-1]).view(np.uint8)).sum())
+        one, two = shingles(" ".join(a)), shingles(" ".join(b))
+        differ = ((one - two) + (two - one)).total()
+        assert bits <= differ and list(known[:, -1]) == [one.total(), two.total()]
+        tight += bits >= 0.8 * differ
+    assert tight > 150
+
+
+def test_empty_texts_have_no_signature():
+    found, known = bagminhash.sign(["", " \n", "one"])
+    assert found[:2] == [None, None] and found[2] and list(known[:, -1]) == [0, 0, 1]
+    assert bagminhash.sign([])[0] == []

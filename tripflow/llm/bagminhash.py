@@ -12,6 +12,8 @@ a shingle occurs.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -30,12 +32,15 @@ BANDS = 20
 ROWS = 4
 COMPONENTS = BANDS * ROWS
 # Of 80 components, how many may disagree in four bits; see ``likely``.
-MOST_DIFFERENT = 28
-# The same where nothing follows that could find a link that is ruled out.
-LAST_DIFFERENT = 36
+MOST_DIFFERENT = 36
+# Bits that tell whether shingles occur an odd number of times; see ``possible``.
+PARITY_BITS = 1024
 # Rounds of pivots go on while one of so many of a round's pairs is a link.
 WORTH = 100
 SKETCH = [f"s{k}" for k in range(5)]
+PARITY = [f"p{k}" for k in range(PARITY_BITS // 64)]
+# What is known of a node without its text; ``size`` is its number of shingles.
+KNOWN = [*SKETCH, *PARITY, "size"]
 # Buckets of up to so many members compare all of them at once; larger ones after pivots.
 SMALL_BUCKET = 32
 # Members of a group that one task compares with as many others at a time.
@@ -83,18 +88,32 @@ def bag_min_hash(at: np.ndarray, element: np.ndarray, weight: np.ndarray, rows:
     return (best & np.uint64(0xFFFFFFFF)).astype(np.uint32).reshape(rows, size)
 
 
-def sign(texts: Sequence[str]) -> list[bytes | None]:
-    """Signature bytes of each whole text; None for texts without words."""
+def parities(hashes: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """Of each text's shingles, ``PARITY_BITS`` bits as longs: whether an odd number falls on a bit."""
+    slot = (mixed(hashes) % np.uint64(PARITY_BITS)).astype(np.int64)
+    found, often = np.unique(np.repeat(np.arange(len(each)), each) * PARITY_BITS + slot, return_counts=True)
+    odd = np.zeros(len(each) * PARITY_BITS, dtype=np.uint8)
+    odd[found[often % 2 == 1]] = 1
+    return np.packbits(odd.reshape(len(each), PARITY_BITS), axis=1).view(np.int64)
+
+
+def sign(texts: Sequence[str]) -> tuple[list[bytes | None], np.ndarray]:
+    """Signature bytes of each whole text, None for texts without words, and its parities and
+    number of shingles as a row of longs."""
     out: list[bytes | None] = [None] * len(texts)
+    known = np.zeros((len(texts), len(PARITY) + 1), dtype=np.int64)
     for a, b in text_runs(texts):
         hashes, each = shingle_hashes(*word_hashes(texts[a:b]), SHINGLE)
+        with np.errstate(over="ignore"):
+            known[a:b, :-1] = parities(hashes, each)
+        known[a:b, -1] = each
         at, element, often = counted_runs(hashes, each)
         some = np.flatnonzero(each > 0)
         place = np.cumsum(each > 0) - 1
         signed = bag_min_hash(place[at], element, often, len(some))
         for i, s in zip(some, signed):
             out[a + i] = s.tobytes()
-    return out
+    return out, known
 
 
 def bags(texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -134,17 +153,17 @@ def sketches(signed: np.ndarray) -> np.ndarray:
 
 
 @F.pandas_udf(T.StructType([T.StructField("buckets", T.ArrayType(T.LongType())),
-                            *[T.StructField(c, T.LongType()) for c in SKETCH]]))
+                            *[T.StructField(c, T.LongType()) for c in KNOWN]]))
 def banded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Band keys and sketch of each text; the keys are null for texts without words."""
+    """Band keys, sketch, parities and size of each text; the keys are null for texts without words."""
     for texts in batches:
-        found = sign(texts.tolist())
+        found, known = sign(texts.tolist())
         signed = np.frombuffer(b"".join(f or bytes(4 * COMPONENTS) for f in found),
                                dtype=np.uint32).reshape(-1, COMPONENTS)
         with np.errstate(over="ignore"):
             keys = band_keys(signed)
-        out = pd.DataFrame(sketches(signed) if len(signed) else np.zeros((0, 5), np.int64),
-                           columns=SKETCH)
+        short = sketches(signed) if len(signed) else np.zeros((0, len(SKETCH)), np.int64)
+        out = pd.DataFrame(np.concatenate([short, known], axis=1), columns=KNOWN)
         out.insert(0, "buckets", pd.Series([k if f else None for f, k in zip(found, keys)],
                                            dtype=object))
         yield out
@@ -163,13 +182,14 @@ def overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
 
 
 def crowded(nodes: DataFrame) -> DataFrame:
-    """Stored rows ``node``, ``bucket``, ``members`` and sketch of buckets with several members.
+    """Stored rows ``node``, ``bucket``, ``members`` and what is known of the node, of buckets
+    with several members.
 
     Most buckets have one member; theirs are dropped by key alone, before sketches are joined.
     """
     bands = written(nodes.select("node", F.explode("buckets").alias("bucket")), "bands")
     several = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return written(bands.join(several, "bucket").join(nodes.select("node", *SKETCH), "node"),
+    return written(bands.join(several, "bucket").join(nodes.select("node", *KNOWN), "node"),
                    "crowded")
 
 
@@ -178,18 +198,31 @@ def field(of: str | Column, name: str) -> Column:
     return F.col(f"{of}{name}") if isinstance(of, str) else of[name]
 
 
-def likely(left: str | Column, right: str | Column, most: int = MOST_DIFFERENT) -> Column:
+def likely(left: str | Column, right: str | Column) -> Column:
     """Whether two sketches do not speak against the threshold.
 
     Four bits of a component agree with a probability of 0.8125 or more if the similarity is
-    0.8; more than 28 of 80 disagree in under two of ten thousand cases, more than 36 in two
-    of a hundred million.
+    0.8; more than 36 of 80 disagree in two of a hundred million cases.
     """
     *planes, rest = [field(left, c).bitwiseXOR(field(right, c)) for c in SKETCH]
     differ = planes[0].bitwiseOR(planes[1]).bitwiseOR(planes[2]).bitwiseOR(planes[3])
     for far in (32, 16):
         rest = rest.bitwiseOR(F.shiftright(rest, far))
-    return F.bit_count(differ) + F.bit_count(rest.bitwiseAND(F.lit(0xFFFF))) <= most
+    return F.bit_count(differ) + F.bit_count(rest.bitwiseAND(F.lit(0xFFFF))) <= MOST_DIFFERENT
+
+
+def possible(left: str | Column, right: str | Column, threshold: float) -> Column:
+    """Whether two multisets can be alike by ``threshold``; false only if they are not.
+
+    Each shingle that one has more often than the other changes one parity bit or none, so
+    they differ in at least as many shingles as bits, and in at least the difference of
+    their sizes. At a likeness of t they differ in (1 - t) / (1 + t) of both sizes' sum. Bits
+    are enough to tell 0.75 from 0.8 up to some 700 words; of longer texts sketches decide.
+    """
+    bits = [F.bit_count(field(left, c).bitwiseXOR(field(right, c))) for c in PARITY]
+    sizes = field(left, "size"), field(right, "size")
+    most = (sizes[0] + sizes[1]) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
+    return (F.abs(sizes[0] - sizes[1]) <= most) & (functools.reduce(operator.add, bits) <= most)
 
 
 def pivot_pairs(bands: DataFrame, orders: Sequence[Column], *others: str,
@@ -318,18 +351,12 @@ def rest_pairs(bands: DataFrame, texts: DataFrame, threshold: float) -> DataFram
 
     Two multisets alike by ``threshold`` have one of their rarest shingles in common (prefix
     filter), so members are grouped anew by these: what a large bucket has in common is
-    frequent and comes last. All that meet in a group are compared. Sketches rule out only
-    pairs that differ in more components than a link does twice in a hundred million cases.
+    frequent and comes last. All that meet in a group are compared, by ``likely`` and ``possible``.
     """
-    members = written(bands.select("node", "label", *SKETCH).dropDuplicates(["node"]), "members")
+    members = written(bands.select("node", "label", *KNOWN).dropDuplicates(["node"]), "members")
     own = texts.join(members.select("node", "label"), "node")
-    return cross_pairs(prefix_rows(own, threshold), members, *SKETCH,
-                       where=lambda left, right: likely(left, right, LAST_DIFFERENT))
-
-
-def apart(left: str | Column, right: str | Column) -> Column:
-    """Likely pairs of different classes."""
-    return (field(left, "label") != field(right, "label")) & likely(left, right)
+    return cross_pairs(prefix_rows(own, threshold), members, *KNOWN,
+                       where=lambda left, right: likely(left, right) & possible(left, right, threshold))
 
 
 def candidate_texts(docs: DataFrame, bands: DataFrame, reps: DataFrame) -> DataFrame:
@@ -371,9 +398,15 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     small ones compare all members of different classes, and large ones go on with new
     pivots while these find enough. What large buckets then still hold apart is
     grouped by its rarest shingles and compared whole. Pairs are ruled out by four bits of each
-    signature component first and decided by the whole texts, each pair at most once.
-    What pairs found before have joined is not compared again.
+    signature component and by parities first and decided by the whole texts, each pair at most
+    once. What pairs found before have joined is not compared again.
     """
+    def near(left: str | Column, right: str | Column) -> Column:
+        return likely(left, right) & possible(left, right, threshold)
+
+    def apart(left: str | Column, right: str | Column) -> Column:
+        return (field(left, "label") != field(right, "label")) & near(left, right)
+
     signed = written(
         docs.select("doc_id", text_of().alias("text"))
         .select("doc_id", F.md5("text").alias("digest"),
@@ -386,13 +419,13 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
                          F.col("digest").alias("rep_digest"))
     nodes = reps.select("node").join(
         signed.where(F.col("buckets").isNotNull()).select(
-            F.col("uid").alias("node"), "buckets", *SKETCH), "node")
+            F.col("uid").alias("node"), "buckets", *KNOWN), "node")
     bands = crowded(nodes)
     texts = candidate_texts(docs, bands, reps)
     labels = texts.select("node", F.col("node").alias("label"))
     left = bands
     pairs = checked = written(
-        pivot_pairs(bands, first_orders(), *SKETCH, where=likely).distinct(), "pairs")
+        pivot_pairs(bands, first_orders(), *KNOWN, where=near).distinct(), "pairs")
     # What one pair of every node has joined needs no further pairs.
     chosen = written(one_of_each(pairs), "chosen")
     labels, _ = merged(chosen, labels, texts, threshold)
@@ -405,7 +438,7 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
         left = unsettled(left, labels)
         turn += 1
         large = left.where(F.col("members") > SMALL_BUCKET)
-        pairs = pivot_pairs(large, later_orders(turn), "label", *SKETCH, where=apart)
+        pairs = pivot_pairs(large, later_orders(turn), "label", *KNOWN, where=apart)
         if turn == 1:
             # Whether or not the first pivots found anything.
             pairs = pairs.union(all_pairs(left.where(F.col("members") <= SMALL_BUCKET), apart))
