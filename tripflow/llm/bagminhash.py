@@ -39,7 +39,7 @@ PARITY_BITS = 1024
 WORTH = 100
 SKETCH = [f"s{k}" for k in range(5)]
 PARITY = [f"p{k}" for k in range(PARITY_BITS // 64)]
-# What is known of a node without its text; ``size`` is its number of shingles.
+# The fields of ``known``, what is known of a node without its text; ``size`` is its number of shingles.
 KNOWN = [*SKETCH, *PARITY, "size"]
 # Buckets of up to so many members compare all of them at once; larger ones after pivots.
 SMALL_BUCKET = 32
@@ -182,14 +182,13 @@ def overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
 
 
 def crowded(nodes: DataFrame) -> DataFrame:
-    """Stored rows ``node``, ``bucket``, ``members`` and what is known of the node, of buckets
-    with several members.
+    """Stored rows ``node``, ``bucket``, ``members`` and ``known`` of buckets with several members.
 
     Most buckets have one member; theirs are dropped by key alone, before sketches are joined.
     """
     bands = written(nodes.select("node", F.explode("buckets").alias("bucket")), "bands")
     several = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return written(bands.join(several, "bucket").join(nodes.select("node", *KNOWN), "node"),
+    return written(bands.join(several, "bucket").join(nodes.select("node", "known"), "node"),
                    "crowded")
 
 
@@ -204,7 +203,8 @@ def likely(left: str | Column, right: str | Column) -> Column:
     Four bits of a component agree with a probability of 0.8125 or more if the similarity is
     0.8; more than 36 of 80 disagree in two of a hundred million cases.
     """
-    *planes, rest = [field(left, c).bitwiseXOR(field(right, c)) for c in SKETCH]
+    one, two = field(left, "known"), field(right, "known")
+    *planes, rest = [one[c].bitwiseXOR(two[c]) for c in SKETCH]
     differ = planes[0].bitwiseOR(planes[1]).bitwiseOR(planes[2]).bitwiseOR(planes[3])
     for far in (32, 16):
         rest = rest.bitwiseOR(F.shiftright(rest, far))
@@ -219,10 +219,10 @@ def possible(left: str | Column, right: str | Column, threshold: float) -> Colum
     their sizes. At a likeness of t they differ in (1 - t) / (1 + t) of both sizes' sum. Bits
     are enough to tell 0.75 from 0.8 up to some 700 words; of longer texts sketches decide.
     """
-    bits = [F.bit_count(field(left, c).bitwiseXOR(field(right, c))) for c in PARITY]
-    sizes = field(left, "size"), field(right, "size")
-    most = (sizes[0] + sizes[1]) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
-    return (F.abs(sizes[0] - sizes[1]) <= most) & (functools.reduce(operator.add, bits) <= most)
+    one, two = field(left, "known"), field(right, "known")
+    bits = [F.bit_count(one[c].bitwiseXOR(two[c])) for c in PARITY]
+    most = (one["size"] + two["size"]) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
+    return (F.abs(one["size"] - two["size"]) <= most) & (functools.reduce(operator.add, bits) <= most)
 
 
 def pivot_pairs(bands: DataFrame, orders: Sequence[Column], *others: str,
@@ -353,9 +353,9 @@ def rest_pairs(bands: DataFrame, texts: DataFrame, threshold: float) -> DataFram
     filter), so members are grouped anew by these: what a large bucket has in common is
     frequent and comes last. All that meet in a group are compared, by ``likely`` and ``possible``.
     """
-    members = written(bands.select("node", "label", *KNOWN).dropDuplicates(["node"]), "members")
+    members = written(bands.select("node", "label", "known").dropDuplicates(["node"]), "members")
     own = texts.join(members.select("node", "label"), "node")
-    return cross_pairs(prefix_rows(own, threshold), members, *KNOWN,
+    return cross_pairs(prefix_rows(own, threshold), members, "known",
                        where=lambda left, right: likely(left, right) & possible(left, right, threshold))
 
 
@@ -419,13 +419,13 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
                          F.col("digest").alias("rep_digest"))
     nodes = reps.select("node").join(
         signed.where(F.col("buckets").isNotNull()).select(
-            F.col("uid").alias("node"), "buckets", *KNOWN), "node")
+            F.col("uid").alias("node"), "buckets", F.struct(*KNOWN).alias("known")), "node")
     bands = crowded(nodes)
     texts = candidate_texts(docs, bands, reps)
     labels = texts.select("node", F.col("node").alias("label"))
     left = bands
     pairs = checked = written(
-        pivot_pairs(bands, first_orders(), *KNOWN, where=near).distinct(), "pairs")
+        pivot_pairs(bands, first_orders(), "known", where=near).distinct(), "pairs")
     # What one pair of every node has joined needs no further pairs.
     chosen = written(one_of_each(pairs), "chosen")
     labels, _ = merged(chosen, labels, texts, threshold)
@@ -438,7 +438,7 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
         left = unsettled(left, labels)
         turn += 1
         large = left.where(F.col("members") > SMALL_BUCKET)
-        pairs = pivot_pairs(large, later_orders(turn), "label", *KNOWN, where=apart)
+        pairs = pivot_pairs(large, later_orders(turn), "label", "known", where=apart)
         if turn == 1:
             # Whether or not the first pivots found anything.
             pairs = pairs.union(all_pairs(left.where(F.col("members") <= SMALL_BUCKET), apart))
