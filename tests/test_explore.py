@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from tripflow.operators import (
     mean_by_group,
     on_day,
     same_day,
+    time_at,
     with_zone,
     zone_counts,
 )
@@ -108,3 +109,32 @@ def test_only_needed_columns_are_read(spark, trips, tmp_path):
     assert "ReadSchema: struct<PULocationID:int>" in plan_of(count_distinct(stored, "PULocationID"))
     assert "PushedFilters: [IsNotNull(fare), EqualTo(fare,0.0)]" in plan_of(
         count_where(stored, F.col("fare") == 0))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_time_at_a_position_as_in_a_sort(spark, kind):
+    start = datetime(1969, 12, 31, 23, 59, 59)
+    times = [None, None, *[start + timedelta(microseconds=m) for m in
+             (0, 0, 1, 999_999, 1_000_000, 60_000_000, 60_000_001, 86_400_000_000, 86_400_000_001, 4 * 86_400_000_000)]]
+    df = spark.createDataFrame([(t,) for t in times[::-1]], "t timestamp_ntz").select(F.col("t").cast(kind))
+    wanted = [r["t"] for r in df.orderBy("t").collect()]
+    assert [time_at(df, "t", k) for k in range(len(times))] == wanted
+    for k in (-1, len(times)):
+        with pytest.raises(ValueError):
+            time_at(df, "t", k)
+
+
+def test_time_at_sends_counts_not_rows_to_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    sent, collect = [], DataFrame.collect
+
+    def counted(df):
+        rows = collect(df)
+        sent.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    df = spark.range(20000).select(F.timestamp_millis(F.col("id") * 60_000 % 3_600_000).alias("t"))
+    assert time_at(df, "t", 9999).minute == 29
+    assert sent and max(sent) <= 60

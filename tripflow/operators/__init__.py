@@ -10,6 +10,7 @@ from tripflow.operators.explore import (
     mean_by_group,
     on_day,
     same_day,
+    time_at,
 )
 from tripflow.operators.harmonize import harmonize, union_services
 from tripflow.operators.marks import high_water_mark, latest_marks
@@ -49,6 +50,7 @@ __all__ = [
     "same_day",
     "session_counts",
     "session_counts_by_span",
+    "time_at",
     "tumbling_counts",
     "union_services",
     "with_row_id",

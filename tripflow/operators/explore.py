@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,3 +59,27 @@ def mean_by_group(
     """Rounded mean per group, largest first; equal means are ordered by group."""
     means = df.groupBy(group).agg(F.round(F.avg(value), digits).alias(alias))
     return means.orderBy(F.desc(alias), group)
+
+
+def time_at(df: DataFrame, time_col: str, position: int) -> datetime | None:
+    """The time at a position, from 0, of all rows in order of time, those without one first.
+
+    Rows are counted per day, then per minute, second and microsecond of what holds the position.
+    These counts reach the driver and are bounded by calendar and clock, not by the rows.
+    """
+    rows = df.select(F.col(time_col).alias("time"), F.unix_micros(F.col(time_col).cast("timestamp")).alias("micros"))
+    part, before = F.lit(True), 0
+    for micros in (86_400_000_000, 60_000_000, 1_000_000, 1):
+        place = F.col("micros") - F.pmod("micros", F.lit(micros))
+        counts = rows.where(part).groupBy(place.alias("place")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("time").alias("time")).collect()
+        for found in sorted(counts, key=lambda r: (r["place"] is not None, r["place"])):
+            if before + found["n"] > position >= before:
+                break
+            before += found["n"]
+        else:
+            raise ValueError(f"no row at position {position}")
+        if found["place"] is None:
+            return None
+        part = place == found["place"]
+    return found["time"]

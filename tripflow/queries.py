@@ -35,6 +35,7 @@ from tripflow.operators import (
     same_day,
     session_counts,
     session_counts_by_span,
+    time_at,
     tumbling_counts,
     union_services,
     with_row_id,
@@ -785,7 +786,7 @@ FROM marked""")
 def stream_sorted_rows(spark, sf_dir):
     """Messages of three batches, all of them: kept, late behind the watermark, or not decodable."""
     events = fixtures.table(spark, sf_dir, "events")
-    half = events.orderBy("ts", "event_id").select("ts").offset(events.count() // 2 - 1).first()["ts"]
+    half = time_at(events, "ts", events.count() // 2 - 1)
     late, early = F.col("event_id") % 10 == 3, F.col("ts") < F.lit(half)
     text = F.expr(EVENT_TEXT.replace("{millis}", "unix_millis(cast(ts as timestamp))")).alias("value")
     layout = T.StructType([T.StructField(c, T.LongType()) for c in ("event_id", "user_id", "ts")])
@@ -1061,7 +1062,7 @@ HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 5 SECOND F
 def stream_late_rows(spark, sf_dir):
     """Three batches; a tenth of the rows comes in the last, behind the watermark, and is dropped."""
     events = fixtures.table(spark, sf_dir, "events")
-    half = events.orderBy("ts", "event_id").select("ts").offset(events.count() // 2 - 1).first()["ts"]
+    half = time_at(events, "ts", events.count() // 2 - 1)
     late = F.col("event_id") % 10 == 3
     early = F.col("ts") < F.lit(half)
     out = shared_dir(spark, "stream-late")
