@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL, executed_plan_of, values
 from tripflow import fixtures
 from tripflow.functions import concat_key
-from tripflow.operators import days_of, insert_only, on_days, with_row_id
+from tripflow.operators import days_of, insert_only, insert_only_stored, on_days, with_row_id
 from tripflow.plans import merge_into_table, staged_merge
 from tripflow.schema import SERVICE, database_types
 
@@ -208,3 +208,43 @@ def test_merge_reads_only_the_staging_days(spark, tmp_path):
     assert any("pickup_date" in f and "1998-01-05" in f and "1998-01-06" in f for f in filters)
     assert new.count() == 0
     spark.sql("DROP TABLE green_pruned")
+
+
+@pytest.mark.parametrize("layout", [{}, {"by_day": False}, {"buckets": 3}])
+def test_a_merge_moves_ids_not_rows(spark, tmp_path, layout, monkeypatch):
+    """An empty table takes rows as they come; later only rows of days it holds are compared."""
+    from tripflow.operators import merge
+    from tripflow.plans import jobs
+
+    kept = []
+
+    def stored(df, label, store=merge.stored):
+        kept.append((label, store(df, label)))
+        return kept[-1][1]
+
+    monkeypatch.setattr(merge, "stored", stored)
+    monkeypatch.setattr(jobs, "stored", stored)
+    raw = fixtures.raw_trips(spark, SMALL, "green")
+    raw = raw.where(F.date_format("lpep_pickup_datetime", "yyyy-MM") == "1998-01")
+    raw = raw.unionByName(raw.limit(1).withColumn("lpep_pickup_datetime", F.lit(None).cast("timestamp_ntz")))
+    early = raw.where("lpep_pickup_datetime < '1998-01-20'")
+    table = f"green_moved_{len(layout)}_{'buckets' in layout}"
+    load = [dict(location=str(tmp_path / "t"), **layout)] * 2
+    merge_into_table(spark, early.unionByName(early), table, "green", "early.csv", **load[0])
+    assert not kept and spark.table(table).count() == 2 * early.count()
+    late = early.limit(1).withColumn("PULocationID", F.lit("new"))
+    merge_into_table(spark, raw.unionByName(late).unionByName(late), table, "green", "all.csv", **load[1])
+    assert [label for label, _ in kept] == ["staging", "new-ids"]
+    # Of a held day, twice; rows of other days and without one are not compared.
+    assert kept[1][1].count() == 1
+    assert spark.table(table).count() == early.count() + raw.count() + 2
+    merge_into_table(spark, raw, table, "green", "again.csv", **load[1])
+    assert spark.table(table).count() == early.count() + raw.count() + 2
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_stored_staging_keeps_rows_without_an_id(spark):
+    staging = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3), ("b", 3)], "id string, v int")
+    target = spark.createDataFrame([("a",), (None,)], "id string")
+    for found in (insert_only_stored(staging, target, "id"), insert_only(staging, target, "id")):
+        assert values(found.select("v")) == [(1,), (3,), (3,)]

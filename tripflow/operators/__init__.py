@@ -18,6 +18,7 @@ from tripflow.operators.merge import (
     days_of,
     insert_only,
     insert_only_bucketed,
+    insert_only_stored,
     on_days,
     with_row_id,
 )
@@ -38,6 +39,7 @@ __all__ = [
     "days_of",
     "insert_only",
     "insert_only_bucketed",
+    "insert_only_stored",
     "on_days",
     "latest_marks",
     "least_frequent_zones",

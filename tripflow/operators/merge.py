@@ -57,7 +57,30 @@ def insert_only_bucketed(staging: DataFrame, target: DataFrame, key: str = ROW_I
     The new ids are stored, so that adaptive execution can split a hot one when they choose
     the staging rows. The staging is read twice and should be stored too.
     """
-    return staging.join(stored(new_ids(staging, target, key), "new-ids"), key, "left_semi")
+    return insert_only_stored(staging, target, key)
+
+
+def insert_only_stored(
+    staging: DataFrame, target: DataFrame, key: str = ROW_ID, *,
+    day: Column | None = None, target_day: Column | None = None,
+) -> DataFrame:
+    """:func:`insert_only` for a stored staging and a stored target: ids are moved, not rows.
+
+    Where ids of different days differ, give the staging's ``day`` and the target's: rows of
+    days that the target lacks are then new without a comparison, and of the target only days
+    of the others are read. Staging rows are moved only if many of the compared ones are new.
+    """
+    fresh = None
+    if day is not None:
+        days = days_of(staging, day)
+        held = days_of(on_days(target, target_day, days), target_day)
+        fresh = on_days(staging, day, [d for d in days if d not in held])
+        staging, target = on_days(staging, day, held), on_days(target, target_day, held)
+        if not held:
+            return fresh
+    new = stored(new_ids(staging, target, key), "new-ids").withColumnRenamed(key, "_new")
+    found = staging.join(new, staging[key].eqNullSafe(new["_new"]), "left_semi")
+    return found if fresh is None else fresh.unionByName(found)
 
 
 def days_of(rows: DataFrame, day: Column) -> list:

@@ -21,7 +21,7 @@ from tripflow.operators.merge import (
     ROW_ID,
     days_of,
     insert_only,
-    insert_only_bucketed,
+    insert_only_stored,
     on_days,
     with_row_id,
 )
@@ -83,6 +83,10 @@ def merge_into_table(
 ) -> None:
     """Load a service's raw rows into its table, by pickup day, in buckets, or neither.
 
+    An empty table takes the rows as they come. Otherwise they are stored with their ids, and
+    ids alone are compared, by :func:`~tripflow.operators.merge.insert_only_stored`; if the
+    pickup time is in the key, only those of days that the table holds.
+
     The table is created if need be. Running the job again, also after a failure,
     adds nothing twice. One writer per table at a time. The key defaults to the
     service's hashed key and the layout to its table's; a database-like table takes
@@ -99,23 +103,19 @@ def merge_into_table(
     day_of = service.pickup if by_day else None
     ensure_table(spark, table, schema or service.table_schema, day_of=day_of, day_col=day_col,
                  location=location, bucket_by=bucket_by)
-    if bucket_by:
-        dedupe = options.pop("dedupe", False)
-        staging = stored(with_row_id(raw, key_cols or service.hashed_key, source_name, **options),
-                         "staging")
-        new = insert_only_bucketed(staging, spark.table(table))
-        append_table(new.dropDuplicates([ROW_ID]) if dedupe else new, table, bucket_by=bucket_by)
-        return
-    new = staged_merge(
-        raw,
-        spark.table(table),
-        key_cols or service.hashed_key,
-        source_name,
-        time_col=service.pickup,
-        target_day=F.col(day_col) if by_day else F.to_date(service.pickup),
-        **options,
-    )
-    append_table(new, table, day_of=day_of, day_col=day_col, partitions=partitions)
+    key = key_cols or service.hashed_key
+    target = spark.table(table)
+    dedupe = options.pop("dedupe", False)
+    new = with_row_id(raw, key, source_name, **options)
+    if partitions or target.take(1):
+        new = stored(new, "staging")
+        days = {}
+        if service.pickup in [c for c in key if isinstance(c, str)]:
+            days = {"day": F.to_date(service.pickup),
+                    "target_day": F.col(day_col) if by_day else F.to_date(service.pickup)}
+        new = insert_only_stored(new, target, **days)
+    append_table(new.dropDuplicates([ROW_ID]) if dedupe else new, table, day_of=day_of,
+                 day_col=day_col, partitions=partitions, bucket_by=bucket_by)
 
 
 HARMONIZED_KEY = ["service_type", "VendorID", "pickup_datetime", "dropoff_datetime",
