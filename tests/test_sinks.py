@@ -211,3 +211,20 @@ def test_unfinished_versions_are_passed_over(spark, tmp_path):
     assert not (tmp_path / "t" / "v000000000009-broken").exists()
     assert spark.table("versioned").count() == 7
     spark.sql("DROP TABLE versioned")
+
+
+def test_a_large_result_is_split_beyond_the_given_files(spark, tmp_path):
+    """A task's share of it does not grow with it; the given number is the least."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 100_000, 1, 16)
+    joining = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(size, "20k")
+    try:
+        write_parquet(rows, str(tmp_path / "large"), files=2)
+        write_parquet(rows.limit(10), str(tmp_path / "small"), files=2)
+    finally:
+        spark.conf.unset(size)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == joining
+    assert len(list((tmp_path / "small").glob("*.parquet"))) == 2
+    assert len(list((tmp_path / "large").glob("*.parquet"))) > 8
+    assert spark.read.parquet(str(tmp_path / "large")).distinct().count() == 100_000
