@@ -175,3 +175,15 @@ def test_empty_texts_have_no_signature():
     found, known = bagminhash.sign(["", " \n", "one"])
     assert found[:2] == [None, None] and found[2] and list(known[:, -1]) == [0, 0, 1]
     assert bagminhash.sign([])[0] == []
+
+
+def test_no_rows_are_made_of_shingles_of_one_text(spark):
+    words = [f"w{i}" for i in range(40)]
+    near = [*words[:20], "x", *words[21:]]
+    texts = [" ".join(words), " ".join(near), " ".join(f"v{i}" for i in range(40))]
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "node long, label long, text string")
+    found = {}
+    for r in bagminhash.prefix_rows(rows, 0.5).collect():
+        found.setdefault(r.bucket, set()).add(r.node)
+    # Each prefix begins with the five shingles about the word that differs, which are in one text.
+    assert found and set(map(frozenset, found.values())) == {frozenset({0, 1})}

@@ -322,8 +322,13 @@ def rarest(found: np.ndarray, often: np.ndarray, threshold: float) -> np.ndarray
     return found[order[:len(found) - shared + 1]]
 
 
+def several(found: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The tokens without those whose slot counts no other token: they are in one set alone."""
+    return found[often[found % np.uint64(len(often))] > 1]
+
+
 def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
-    """``node``, ``label`` and ``bucket``, the rarest shingles of each text."""
+    """``node``, ``label`` and ``bucket``, the rarest shingles of each text that another may have."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
@@ -340,7 +345,8 @@ def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def prefix(column: pd.Series) -> pd.Series:
-        return pd.Series([rarest(tokens(bag), held.value, threshold).view(np.int64)
+        often = held.value
+        return pd.Series([several(rarest(tokens(bag), often, threshold), often).view(np.int64)
                           for bag in bags(column.tolist())], dtype=object)
 
     return written(texts.select("node", "label", F.explode(prefix("text")).alias("bucket")), "prefixes")
