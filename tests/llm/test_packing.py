@@ -76,6 +76,22 @@ def test_remembered_words_give_the_same_ids():
         assert np.frombuffer(own.ids(text), np.uint32).tolist() == whole_ids(text)[:-1], text
 
 
+def test_pieces_are_merged_once():
+    own = WordTokens(public.path("word_bpe_49k.json"))
+    model, merged = own.model, []
+
+    class Counting:
+        def tokenize(self, piece):
+            merged.append(piece)
+            return model.tokenize(piece)
+
+    own.model = Counting()
+    for text in ["packing", "Packing PACKING, packing. (packing)", "Ñandú ñandú."]:
+        assert np.frombuffer(own.ids(text), np.uint32).tolist() == whole_ids(text)[:-1]
+        assert own.ids(text.encode()) == own.ids(text)
+    assert len(merged) == len(set(merged)) and "packing" in merged
+
+
 def check(docs, packed):
     texts: dict = {}
     for r in docs.select("doc_id", "text").collect():

@@ -132,9 +132,9 @@ def _pieces(path: str, window: int):
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                whole = text.as_py()
+                whole = text.as_buffer().to_pybytes()
                 ids = tokens.ids(whole) + end
-                mark = zlib.crc32(whole.encode("utf-8", "surrogatepass"))
+                mark = zlib.crc32(whole)
                 for at in range(0, len(ids), step):
                     part = ids[at:at + step]
                     rows.append((doc, at // ID_BYTES, len(part) // ID_BYTES, zlib.crc32(part),
