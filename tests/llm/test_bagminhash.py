@@ -187,3 +187,15 @@ def test_no_rows_are_made_of_shingles_of_one_text(spark):
         found.setdefault(r.bucket, set()).add(r.node)
     # Each prefix begins with the five shingles about the word that differs, which are in one text.
     assert found and set(map(frozenset, found.values())) == {frozenset({0, 1})}
+
+
+def test_a_task_sends_a_row_for_each_block_of_slots(spark):
+    texts = [" ".join(f"w{i}x{k}" for k in range(400)) for i in range(60)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, *texts[:10], "", "one two"]], "text string").repartition(5)
+    wanted = np.zeros(bagminhash.SLOTS, dtype=np.int64)
+    for bag in bagminhash.bags([*texts, *texts[:10], "", "one two"]):
+        np.add.at(wanted, (bagminhash.tokens(bag) % np.uint64(bagminhash.SLOTS)).astype(np.int64), 1)
+    assert (bagminhash.slot_counts(rows) == wanted).all()
+    assert (wanted > 0).sum() > 10 * bagminhash.SLOT_BLOCKS
+    assert bagminhash.block_counts(rows).count() <= 5 * bagminhash.SLOT_BLOCKS
+    assert not bagminhash.slot_counts(rows.limit(0)).any()

@@ -47,6 +47,8 @@ SMALL_BUCKET = 32
 BLOCK = 512
 # Slots of the table that tells frequent shingles from rare ones.
 SLOTS = 1 << 18
+# Blocks of slots; a task sends a row for each, whatever the number of its shingles.
+SLOT_BLOCKS = 128
 # So many of the orders that give a large bucket new pivots take classes evenly.
 CLASS_ORDERS = 10
 NEVER = np.uint64(np.iinfo(np.uint64).max)
@@ -327,21 +329,38 @@ def several(found: np.ndarray, often: np.ndarray) -> np.ndarray:
     return found[often[found % np.uint64(len(often))] > 1]
 
 
-def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
-    """``node``, ``label`` and ``bucket``, the rarest shingles of each text that another may have."""
+def block_counts(texts: DataFrame) -> DataFrame:
+    """How many tokens of a task's texts fall on each slot, as a row per task and ``block`` of slots."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = np.zeros(SLOTS, dtype=np.int64)
         for batch in batches:
             for bag in bags(batch["text"].tolist()):
                 often += np.bincount((tokens(bag) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
-        some = np.flatnonzero(often)
-        yield pd.DataFrame({"slot": some, "n": often[some]})
-
-    counts = texts.select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(
-        F.sum("n").alias("n")).toPandas()
-    often = np.zeros(SLOTS, dtype=np.int64)
-    often[counts["slot"]] = counts["n"]
-    held = texts.sparkSession.sparkContext.broadcast(often)
+        found = [(i, some, part[some]) for i, part in enumerate(often.reshape(SLOT_BLOCKS, -1))
+                 if len(some := np.flatnonzero(part))]
+        yield pd.DataFrame(found, columns=["block", "slots", "n"])
+
+    return texts.select("text").mapInPandas(count, "block int, slots array<int>, n array<long>")
+
+
+def slot_counts(texts: DataFrame) -> np.ndarray:
+    """How many tokens of all texts fall on each slot; blocks are added up on Spark."""
+    def total(part: pd.DataFrame) -> pd.DataFrame:
+        often = np.zeros(SLOTS // SLOT_BLOCKS, dtype=np.int64)
+        for slots, n in zip(part["slots"], part["n"]):
+            often[slots] += n
+        return pd.DataFrame({"block": part["block"].iloc[:1], "n": [often]})
+
+    often = np.zeros((SLOT_BLOCKS, SLOTS // SLOT_BLOCKS), dtype=np.int64)
+    blocks = block_counts(texts).groupBy("block").applyInPandas(total, "block int, n array<long>")
+    for r in blocks.collect():
+        often[r["block"]] = r["n"]
+    return often.ravel()
+
+
+def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
+    """``node``, ``label`` and ``bucket``, the rarest shingles of each text that another may have."""
+    held = texts.sparkSession.sparkContext.broadcast(slot_counts(texts))
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def prefix(column: pd.Series) -> pd.Series:
