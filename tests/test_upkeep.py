@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import plan_of, values
 from tests.test_sources import GREEN_ROW, write_csv
+from tripflow import fixtures, queries
 from tripflow.operators import (
     count_bitmaps,
     distinct_bitmaps,
@@ -271,3 +272,24 @@ def test_daily_sums_read_changed_days_only(spark, tmp_path):
     refresh_daily_sums(spark.table("daily"), sums, [date(2024, 1, 30)])
     assert spark.read.parquet(sums).select("report_day").distinct().count() == 2
     spark.sql("DROP TABLE daily")
+
+
+def test_incremental_load_by_day_joins_orders_once(spark, tmp_path, monkeypatch):
+    days = ["1998-01-01", "1999-06-01", "1999-06-01", "2000-06-01"]
+    spark.createDataFrame(
+        [(i, i + 1, 10.0, d) for i, d in enumerate(days)], "o_orderkey long, o_custkey long, o_totalprice double, d string",
+    ).selectExpr("* except (d)", "cast(d as timestamp_ntz) o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(o, 5, 7, n, 2.0, 3.0, 0.1, 0.2, "R", status) for o in range(4) for n, status in ((1, "O"), (2, "F"))]
+    spark.createDataFrame(
+        lines + lines[:1], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+    ).selectExpr("*", "timestamp_ntz'2001-01-01 00:00:00' l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    read = []
+    table = fixtures.table
+    monkeypatch.setattr(fixtures, "table", lambda s, d, name: read.append(name) or table(s, d, name))
+    found = queries.QUERIES["incremental_load_by_day"](spark, str(tmp_path))
+    # Loaded are green to 1999 and yellow to 2000; the rest comes by the marks.
+    assert sorted((r.pickup_date.year, r.service_type) for r in found.collect()) == sorted(
+        [(1998, "yellow")] * 2 + [(1998, "green")] + [(1999, s) for s in ("green", "yellow")] * 2
+        + [(2000, s) for s in ("green", "yellow")])
+    assert read.count("orders") == 1

@@ -356,7 +356,10 @@ MARKS_SQL = """marks AS (
 
 def _loaded(spark, sf_dir):
     """A target that has been loaded up to a different time for each service."""
-    trips = fixtures.trips(spark, sf_dir)
+    return _up_to_marks(fixtures.trips(spark, sf_dir))
+
+
+def _up_to_marks(trips):
     until = F.when(F.col("service_type") == "yellow", F.lit("2000-01-01")).otherwise("1999-01-01")
     return trips.where(F.col("pickup_datetime") < until.cast("timestamp_ntz"))
 
@@ -402,8 +405,9 @@ def incremental_load_by_day(spark, sf_dir):
     """The same into a table partitioned by day, by twenty tasks."""
     table, location = _new_table(spark, "trip_data")
     ensure_table(spark, table, TRIP_DATA, day_of="pickup_datetime", location=location)
-    append_table(_loaded(spark, sf_dir), table, day_of="pickup_datetime")
-    load_increment(spark, fixtures.raw_by_service(spark, sf_dir), table, by_day=True,
+    trips = fixtures.as_trips(stored(fixtures.lines(spark, sf_dir), "lines"))
+    append_table(_up_to_marks(trips), table, day_of="pickup_datetime")
+    load_increment(spark, {name: fixtures.as_raw(trips, name) for name in SERVICE}, table, by_day=True,
                    partitions=20)
     return comparable(_whole_numbers_as_int(spark.table(table)))
 
