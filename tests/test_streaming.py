@@ -59,6 +59,14 @@ def test_messages_survive_encoding(spark):
     assert back.exceptAll(trips).count() == 0 and trips.exceptAll(back).count() == 0
 
 
+def test_messages_are_parsed_once(spark):
+    messages = spark.createDataFrame([('{"lpep_dropoff_datetime": 1570000000999}',), (None,)], "value string")
+    timed = with_event_time(decode_messages(messages, SMALL_MESSAGE), "lpep_dropoff_datetime")
+    counts = tumbling_counts(timed, "event_time", ["PULocationID"], "lpep_dropoff_datetime")
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert values(counts.select("trip_count")) == [(1,)]
+
+
 def test_messages_of_a_few_text_columns_have_no_event_time(spark, tmp_path):
     """A producer that sends text times: rows decode, and none has an event time."""
     (tmp_path / "g.csv").write_text(
@@ -218,6 +226,23 @@ def test_state_store_setting_is_put_back(spark, tmp_path):
         spark.conf.set(key, chosen)
 
 
+def test_state_rows_are_not_counted_unless_asked(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    for name, chosen in (("unset", None), ("true", "true")):
+        (tmp_path / name).mkdir()
+        write_batches(tmp_path / name / "in", [[(1, 0, 0), (2, 0, 0)]])
+        if chosen:
+            spark.conf.set(key, chosen)
+        try:
+            query, _ = run(start_append, stream_zone_pair_counts(replay(spark, tmp_path / name / "in")),
+                           tmp_path / name)
+            assert spark.conf.get(key, None) == chosen
+        finally:
+            spark.conf.unset(key)
+        total = query.recentProgress[0].stateOperators[0].numRowsTotal
+        assert (total == 2) is bool(chosen)
+
+
 def test_partial_counts_come_before_the_state(spark, tmp_path):
     events = fixtures.table(spark, SMALL, "events")
     counts = tumbling_counts(events, "ts", ["user_id"], "event_id")

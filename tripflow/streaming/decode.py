@@ -23,10 +23,12 @@ def decode_messages(
     that ``1.0`` and ``"1"`` are read where a whole number is declared.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    parsed = messages.select(
-        *keep, F.from_json(F.col(value_col).cast("string"), as_text).alias("_m"))
-    return parsed.select(*keep, *[_lenient(F.col("_m")[f.name], f.dataType).alias(f.name)
-                           for f in schema.fields])
+    parts = {f"_m_{f.name}": f for f in schema.fields}
+    message = F.from_json(F.col(value_col).cast("string"), as_text)
+    # A condition on a generated column stays above it; below, it would parse every message again.
+    parsed = messages.select(*keep, F.inline_outer(F.array(message)).alias(*parts))
+    return parsed.select(*keep, *[_lenient(F.col(f"`{part}`"), f.dataType).alias(f.name)
+                           for part, f in parts.items()])
 
 
 def _lenient(text: Column, kind: T.DataType) -> Column:

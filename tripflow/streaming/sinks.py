@@ -15,6 +15,7 @@ from tripflow.sources.files import list_paths
 
 BATCH = "batch-"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROW_COUNT = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 _ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -23,17 +24,26 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 def state_on_disk(spark: SparkSession):
     """RocksDB state for a query started inside, unless the session chose a store.
 
-    The default store keeps all of a partition's groups on the executor's heap.
+    The default store keeps all of a partition's groups on the executor's heap. Unless the
+    session says so, RocksDB does not keep count of its rows, for which it would look up each
+    group before it writes or removes it; progress then reports no total of state rows.
     """
-    chosen = spark.conf.get(_PROVIDER, _ON_HEAP)
-    if chosen != _ON_HEAP:
-        yield
-        return
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    ours = {}
+    if spark.conf.get(_PROVIDER, _ON_HEAP) == _ON_HEAP:
+        ours[_PROVIDER] = _ROCKSDB
+    if spark.conf.get(_ROW_COUNT, None) is None:
+        ours[_ROW_COUNT] = "false"
+    chosen = {key: spark.conf.get(key, None) for key in ours}
+    for key, value in ours.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER, chosen)
+        for key, value in chosen.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def stream_writer(df: DataFrame, mode: str, checkpoint: str, every: str | None):
