@@ -82,6 +82,12 @@ def test_declared_yellow_file(spark, tmp_path):
     assert str(row.fare_amount) == "10.100000000"
 
 
+def test_green_values_are_cast_once(spark, tmp_path):
+    green = read_trip_files(spark, write_csv(tmp_path / "g.csv.gz", GREEN_FILE, GREEN_ROW), SERVICE["green"])
+    plan = green._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(f"cast({c}#") for c in ("lpep_pickup_datetime", "passenger_count", "fare_amount")] == [1] * 3
+
+
 def test_extra_trailing_values(spark, tmp_path):
     green = write_csv(tmp_path / "g.csv.gz", GREEN_FILE, GREEN_ROW, GREEN_ROW + ",extra,more")
     kept = read_trip_files(spark, green, SERVICE["green"])

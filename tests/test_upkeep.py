@@ -293,3 +293,25 @@ def test_incremental_load_by_day_joins_orders_once(spark, tmp_path, monkeypatch)
         [(1998, "yellow")] * 2 + [(1998, "green")] + [(1999, s) for s in ("green", "yellow")] * 2
         + [(2000, s) for s in ("green", "yellow")])
     assert read.count("orders") == 1
+
+
+def test_arrival_load_joins_orders_once(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(
+        [(o, o + 1, 10.0) for o in (0, 1, 1)], "o_orderkey long, o_custkey long, o_totalprice double",
+    ).selectExpr("*", "timestamp_ntz'1998-01-01 00:00:00' o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    # No yellow row is of the third round. Rows without passengers, or of a negative rest, are of none.
+    lines = [(0, 5, 7, 1, q, 3.0, 0.1, 0.2, "R", status)
+             for q, status in ((3.0, "O"), (4.0, "O"), (3.0, "F"), (4.0, "F"), (5.0, "F"), (None, "F"), (-1.0, "O"))]
+    spark.createDataFrame(
+        lines + [(1, *lines[0][1:])], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string",
+    ).selectExpr("*", "timestamp_ntz'2001-01-01 00:00:00' l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    read = []
+    table = fixtures.table
+    monkeypatch.setattr(fixtures, "table", lambda s, d, name: read.append(name) or table(s, d, name))
+    found = queries.QUERIES["arrival_load"](spark, str(tmp_path))
+    assert values(found.select("DOLocationID", "service_type", "passenger_count", "fare_amount")) == sorted(
+        [("1", "yellow", 3, 3.0), ("1", "yellow", 4, 3.0), *[("1", "green", q, 3.0) for q in (3, 4, 5)],
+         *[("2", "yellow", 3, 3.0)] * 2], key=repr)
+    assert read.count("orders") == 1

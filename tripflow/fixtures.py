@@ -36,10 +36,16 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_trips(joined: DataFrame) -> DataFrame:
     """Harmonised trips of the rows that :func:`lines` gives."""
+    columns = trip_columns()
+    return joined.select(*[columns[c].alias(c) for c in TRIP_DATA.fieldNames()])
+
+
+def trip_columns() -> dict[str, Column]:
+    """What each column of a trip is, in those that :func:`lines` gives."""
     def money(value: Column) -> Column:
         return value.cast(MONEY)
 
-    columns = {
+    return {
         "VendorID": (F.col("l_partkey") % 2 + 1).cast("string"),
         "pickup_datetime": F.col("o_orderdate"),
         "dropoff_datetime": F.col("l_shipdate"),
@@ -60,7 +66,6 @@ def as_trips(joined: DataFrame) -> DataFrame:
         "congestion_surcharge": F.when(F.col("l_suppkey") % 3 == 0, money(F.lit(2.5))),
         "service_type": F.when(F.col("l_linestatus") == "O", "yellow").otherwise("green"),
     }
-    return joined.select(*[columns[c].alias(c) for c in TRIP_DATA.fieldNames()])
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, service_name: str) -> DataFrame:

@@ -7,6 +7,7 @@ engines are compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 from functools import reduce
 
@@ -826,10 +827,22 @@ def arrival_load(spark, sf_dir):
     """Both services' files, loaded as they arrive in three rounds without any order of time."""
     table, location = _new_table(spark, "arrivals")
     out = shared_dir(spark, "landed")
-    for load in range(3):
-        for name in SERVICE:
-            rows = fixtures.raw_trips(spark, sf_dir, name).where(F.col("passenger_count") % 3 == load)
-            rows.write.mode("append").csv(f"{out}/{name}", header=True)
+    trip = fixtures.trip_columns()
+    lines = stored(fixtures.lines(spark, sf_dir).withColumns(
+        {"service": trip["service_type"], "load": trip["passenger_count"] % 3}), "lines", ["service", "load"])
+
+    def land(load: int, name: str) -> None:
+        rows = lines.where((F.col("service") == name) & (F.col("load") == load))
+        fixtures.as_raw(fixtures.as_trips(rows), name).write.mode("append").csv(f"{out}/{name}", header=True)
+
+    arrivals = [(load, name) for load in range(3) for name in SERVICE]
+    with ThreadPoolExecutor(1) as pool:
+        landing = pool.submit(land, *arrivals[0])
+        for n, (_, name) in enumerate(arrivals, 1):
+            landing.result()
+            if n < len(arrivals):
+                # The other service's files land while this one's are loaded.
+                landing = pool.submit(land, *arrivals[n])
             load_arrivals(spark, f"{out}/{name}", name, table, f"{out}/checkpoint-{name}",
                           location=location).awaitTermination()
     loaded = spark.table(table).drop("load_source", "load_batch")

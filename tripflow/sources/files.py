@@ -78,10 +78,10 @@ def _trip_columns(reader: DataFrameReader | DataStreamReader, paths, service: Se
 def _strict(field: T.StructField) -> Column:
     """The text column as the field's type; a value that is not of it raises."""
     text = F.col(field.name)
-    value = text.try_cast(field.dataType)
     problem = F.concat(F.lit(f"bad value in {field.name}: "), text)
-    return F.when(text.isNotNull() & value.isNull(),
-                  F.raise_error(problem).cast(field.dataType)).otherwise(value)
+    # The value is named once, so that each text is cast once.
+    return F.coalesce(text.try_cast(field.dataType),
+                      F.when(text.isNotNull(), F.raise_error(problem).cast(field.dataType)))
 
 
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
