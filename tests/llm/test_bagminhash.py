@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from tripflow.llm import bagminhash
+from tripflow.llm import bagminhash, common
 from tripflow.llm.bagminhash import bag_min_hash, bags, keep_one, likeness, near_classes
 from tripflow.llm.components import components
 
@@ -141,6 +141,45 @@ def test_large_buckets_have_an_exact_end(spark, monkeypatch):
     assert len(set(got.values())) == 24 and got == {i: wanted[text[i]] for i in got}
 
 
+def test_rounds_that_join_few_classes_leave_large_buckets_to_the_exact_end(spark, monkeypatch):
+    rounds, pivots = [], bagminhash.pivot_pairs
+
+    def later_pivots(bands, orders, *others, where):
+        rounds.append(len(orders))
+        return (pivots if len(rounds) > 1 else no_pivots)(bands, orders, *others, where=where)
+
+    monkeypatch.setattr(bagminhash, "pivot_pairs", later_pivots)
+    monkeypatch.setattr(bagminhash, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(bagminhash, "WORTH", 2)
+    rows = related_texts()
+    found, _ = near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    wanted, text = brute_classes(rows), dict(rows)
+    assert {r.doc_id: r.class_id for r in found.collect()} == {i: wanted[text[i]] for i, _ in rows}
+    # The second round finds true pairs alone, but joins six classes at most in far more rows.
+    assert len(rounds) == 2
+
+
+def test_few_rows_lie_in_one_file(spark, monkeypatch):
+    rows = spark.range(1000, numPartitions=8)
+    few = common.gathered(rows, "few")
+    assert len(few.inputFiles()) == 1 and few.dtypes == rows.dtypes
+    assert few.exceptAll(rows).count() == 0 and few.count() == 1000
+    monkeypatch.setattr(common, "FEW", 999)
+    assert len(common.gathered(rows, "many").inputFiles()) == 8
+    assert common.gathered(rows.limit(0), "none").count() == 0
+
+
+def test_pairs_are_verified_alike_whether_few_or_many(spark, monkeypatch):
+    texts = common.written(spark.createDataFrame(
+        [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i j"), (3, "a b c d e f g h i z"), (4, "x y")],
+        "node long, text string"), "texts")
+    pairs = common.written(spark.createDataFrame([(1, 2), (1, 3), (2, 3), (3, 4)], "a long, b long"), "pairs")
+    for few in (100, 0):
+        monkeypatch.setattr(bagminhash, "FEW", few)
+        found = bagminhash.verified(pairs, texts, 0.7)
+        assert sorted(map(tuple, found.collect())) == [(1, 2), (1, 3), (2, 3)]
+
+
 def test_rarest_tokens_of_likely_multisets_meet():
     rng = np.random.default_rng(10)
     often = rng.integers(0, 9, 64)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.common import mixed, text_of, text_runs, written
+from tripflow.llm.common import FEW, gathered, mixed, text_of, text_runs, written
 from tripflow.llm.components import components, relabelled
 from tripflow.llm.words import counted_runs, shingle_hashes, word_hashes
 
@@ -35,7 +35,7 @@ COMPONENTS = BANDS * ROWS
 MOST_DIFFERENT = 36
 # Bits that tell whether shingles occur an odd number of times; see ``possible``.
 PARITY_BITS = 1024
-# Rounds of pivots go on while one of so many of a round's pairs is a link.
+# Rounds of pivots go on while a round joins a class for so many rows of large buckets.
 WORTH = 100
 SKETCH = [f"s{k}" for k in range(5)]
 PARITY = [f"p{k}" for k in range(PARITY_BITS // 64)]
@@ -371,14 +371,13 @@ def prefix_rows(texts: DataFrame, threshold: float) -> DataFrame:
     return written(texts.select("node", "label", F.explode(prefix("text")).alias("bucket")), "prefixes")
 
 
-def rest_pairs(bands: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of different classes, among the members of the buckets ``bands``, that can be links.
+def rest_pairs(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different classes, among the stored ``members`` with ``node``, ``label`` and ``known``, that can be links.
 
     Two multisets alike by ``threshold`` have one of their rarest shingles in common (prefix
     filter), so members are grouped anew by these: what a large bucket has in common is
     frequent and comes last. All that meet in a group are compared, by ``likely`` and ``possible``.
     """
-    members = written(bands.select("node", "label", "known").dropDuplicates(["node"]), "members")
     own = texts.join(members.select("node", "label"), "node")
     return cross_pairs(prefix_rows(own, threshold), members, "known",
                        where=lambda left, right: likely(left, right) & possible(left, right, threshold))
@@ -394,13 +393,16 @@ def candidate_texts(docs: DataFrame, bands: DataFrame, reps: DataFrame) -> DataF
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Those of the distinct, stored pairs, stored, of which the whole texts' multisets overlap by
-    ``threshold`` or more. Only texts of the pairs are moved."""
+    """Those of the distinct, stored pairs of which the whole texts' multisets overlap by
+    ``threshold`` or more. Only texts of the pairs are moved; few pairs go to the left texts."""
     left, right = [texts.select(F.col("node").alias(n), F.col("text").alias(t)).join(
         pairs.select(n), n, "left_semi") for n, t in (("a", "_left"), ("b", "_right"))]
-    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    alike = both.where(overlap("_left", "_right") >= threshold).select("a", "b")
-    return written(alike, "alike")
+    if pairs.count() <= FEW:
+        met = texts.select(F.col("node").alias("a"), F.col("text").alias("_left")).join(F.broadcast(pairs), "a")
+    else:
+        met = pairs.join(left.hint("merge"), "a")
+    both = met.join(right.hint("merge"), "b")
+    return both.where(overlap("_left", "_right") >= threshold).select("a", "b")
 
 
 def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -421,7 +423,7 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     Large buckets are not expanded into pairs: members meet two pivots in each of 20
     bands, those of large buckets up to eight. Of buckets that then still hold different classes,
     small ones compare all members of different classes, and large ones go on with new
-    pivots while these find enough. What large buckets then still hold apart is
+    pivots while these join enough classes: each round moves all rows of large buckets. What large buckets then still hold apart is
     grouped by its rarest shingles and compared whole. Pairs are ruled out by four bits of each
     signature component and by parities first and decided by the whole texts, each pair at most
     once. What pairs found before have joined is not compared again.
@@ -449,16 +451,16 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
     texts = candidate_texts(docs, bands, reps)
     labels = texts.select("node", F.col("node").alias("label"))
     left = bands
-    pairs = checked = written(
+    pairs = checked = gathered(
         pivot_pairs(bands, first_orders(), "known", where=near).distinct(), "pairs")
     # What one pair of every node has joined needs no further pairs.
-    chosen = written(one_of_each(pairs), "chosen")
+    chosen = written(one_of_each(pairs).coalesce(1 + pairs.count() // FEW), "chosen")
     labels, _ = merged(chosen, labels, texts, threshold)
-    pairs = written(between(pairs.join(chosen, ["a", "b"], "left_anti"), labels).select("a", "b"), "open")
+    pairs = gathered(between(pairs.join(chosen, ["a", "b"], "left_anti"), labels).select("a", "b"), "open")
     turn = 0
     while True:
-        labels, links = merged(pairs, labels, texts, threshold)
-        if turn and links * WORTH <= pairs.count():
+        labels, joins = merged(pairs, labels, texts, threshold)
+        if turn and (not (rows := left.count()) or joins * WORTH <= rows):
             break
         left = unsettled(left, labels)
         turn += 1
@@ -468,12 +470,12 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
             # Whether or not the first pivots found anything.
             pairs = pairs.union(all_pairs(left.where(F.col("members") <= SMALL_BUCKET), apart))
             left = large
-        pairs = written(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
+        pairs = gathered(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
         checked = checked.unionByName(pairs)
-    left = unsettled(left, labels)
-    if left.take(1):
-        pairs = rest_pairs(left, texts, threshold).distinct().join(checked, ["a", "b"], "left_anti")
-        labels, _ = merged(written(pairs, "pairs"), labels, texts, threshold)
+    members = written(unsettled_rows(left, labels).select("node", "label", "known").dropDuplicates(["node"]), "members")
+    if members.take(1):
+        pairs = rest_pairs(members, texts, threshold).distinct().join(checked, ["a", "b"], "left_anti")
+        labels, _ = merged(gathered(pairs, "pairs"), labels, texts, threshold)
     known = groups.select("digest", "first", "n", F.col("first.uid").alias("node")).join(
         labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     known = written(known, "known")
@@ -490,9 +492,13 @@ def near_classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> tuple[Data
 
 def joined(labels: DataFrame, found: DataFrame) -> DataFrame:
     """The stored labels of all nodes after further pairs, joining whole classes."""
-    edges = written(relabelled(found, labels).distinct(), "edges")
+    return contracted(labels, gathered(relabelled(found, labels).distinct(), "edges"))
+
+
+def contracted(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The stored labels of all nodes after joining classes by stored edges between them."""
     roots = components(edges).select(F.col("node").alias("label"), F.col("label").alias("root"))
-    return written(labels.join(roots, "label", "left").select(
+    return gathered(labels.join(roots, "label", "left").select(
         "node", F.coalesce("root", "label").alias("label")), "classes")
 
 
@@ -513,18 +519,24 @@ def between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def merged(pairs: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, int]:
-    """The stored labels after all of the stored pairs, and how many of these are links."""
-    found = verified(pairs, texts, threshold)
-    links = found.count()
-    return (joined(labels, found) if links else labels), links
+    """The stored labels after all of the stored pairs, and between how many pairs of classes these found links."""
+    found = relabelled(verified(pairs, texts, threshold), labels).distinct()
+    edges = written(found.coalesce(1 + pairs.count() // FEW), "edges")
+    joins = edges.count()
+    return (contracted(labels, edges) if joins else labels), joins
 
 
 def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """Stored band rows, with labels, of buckets that hold different classes."""
+    """As :func:`unsettled_rows`, stored."""
+    return written(unsettled_rows(bands, labels), "unsettled")
+
+
+def unsettled_rows(bands: DataFrame, labels: DataFrame) -> DataFrame:
+    """Band rows, with labels, of buckets that hold different classes."""
     placed = bands.drop("label").join(labels, "node")
     split = placed.groupBy("bucket").agg(
         F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    return written(placed.join(split, "bucket"), "unsettled")
+    return placed.join(split, "bucket")
 
 
 def keep_one(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:

@@ -14,6 +14,9 @@ from tripflow.session import shared_dir
 
 _BATCH_BYTES, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
+# Rows, of some numbers each, that one task may take without slowing others.
+FEW = 50_000
+
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared folder and read back.
@@ -26,6 +29,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, label: str) -> DataFrame:
+    """The frame, written and read back; up to ``FEW`` rows then lie in one file.
+
+    What reads them takes one task in place of one per shuffle partition, and Spark
+    sees that they are small enough to broadcast.
+    """
+    stored = written(df, label)
+    if len(stored.inputFiles()) > 1 and stored.count() <= FEW:
+        return written(stored.coalesce(1), label)
+    return stored
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a frame that :func:`written` gave and that no one reads any more."""
     spark = df.sparkSession
